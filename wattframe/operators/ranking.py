@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattframe.session import checkpoint_root
+from wattframe.session import keep
 
 
 def sum_by(rows: DataFrame, keys: list[str], metric: str, agg=F.sum) -> DataFrame:
@@ -37,11 +37,8 @@ def rank_all(groups: DataFrame, order: list[Column], position: str = "position")
     The rows are range-sorted and kept; a row's position is its place in its own partition plus
     the number of rows in the partitions before it. Only one count per partition is broadcast.
     """
-    checkpoint_root(groups.sparkSession)
     # The upper 31 bits of the id are the partition, the lower 33 the row's place in it.
-    placed = (
-        groups.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()).checkpoint()
-    )
+    placed = keep(groups.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()))
     partition = F.shiftright("_id", 33)
     counts = placed.groupBy(partition.alias("_part")).agg(F.count("*").alias("_rows"))
     # One row per sorted partition: bounded by the number of shuffle partitions, not by the data.

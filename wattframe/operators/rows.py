@@ -57,3 +57,15 @@ def within_range(
     if end is not None:
         rows = rows.where(F.col(column) <= F.lit(end))
     return rows
+
+
+def doubles(rows: DataFrame) -> DataFrame:
+    """Decimal measures as doubles; other columns as they are."""
+    return rows.select(
+        *[
+            F.col(f"`{field.name}`").cast("double").alias(field.name)
+            if isinstance(field.dataType, T.DecimalType)
+            else F.col(f"`{field.name}`")
+            for field in rows.schema.fields
+        ]
+    )

@@ -6,29 +6,33 @@ task has to hold a whole group, and a NULL key keeps a NULL total.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattframe.functions.measures import percent
-from wattframe.session import checkpoint_root
+from wattframe.session import keep
 
 SLICES = 16
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+FIELD_BYTES = 16
 
 
 def broadcast_or_none(table: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES):
     """``(table, fits)``: the table computed once and kept, and whether it may be broadcast.
 
-    The size is measured, not guessed: the rows are counted and multiplied by their widest
-    likely width. The kept copy serves both outcomes, so the check costs no second computation.
+    The size is measured, not guessed, as fixed fields plus the bytes of texts. The kept copy
+    serves both outcomes, so the check costs no second computation.
     """
-    checkpoint_root(table.sparkSession)
-    kept = table.checkpoint()
-    text_bytes = F.lit(0)
-    for name, kind in kept.dtypes:
-        width = F.coalesce(F.length(name), F.lit(0)) * 4 + 16 if kind == "string" else F.lit(16)
-        text_bytes = text_bytes + width
-    size = kept.agg(F.coalesce(F.sum(text_bytes.cast("long")), F.lit(0))).first()[0]
+    kept = keep(table)
+    widths = [
+        F.coalesce(F.octet_length(name), F.lit(0)) + FIELD_BYTES if kind == "string"
+        else F.lit(FIELD_BYTES)
+        for name, kind in kept.dtypes
+    ]
+    row_bytes = reduce(lambda a, b: a + b, widths).cast("long")
+    size = kept.agg(F.coalesce(F.sum(row_bytes), F.lit(0))).first()[0]
     return kept, size <= max_bytes
 
 
@@ -44,7 +48,7 @@ def join_totals_sliced(rows: DataFrame, totals: DataFrame, keys: list[str]) -> D
         return rows.join(totals, keys, "left")
     sliced_rows = rows.withColumn("_slice", F.pmod(F.xxhash64(*others), F.lit(SLICES)))
     sliced_totals = totals.withColumn(
-        "_slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))).cast("long")
+        "_slice", F.explode(F.expr(f"sequence(0L, {SLICES - 1}L)"))
     )
     return sliced_rows.join(sliced_totals, [*keys, "_slice"], "left").drop("_slice")
 

@@ -29,12 +29,12 @@ def prepare(table: DataFrame, spec: TableSpec) -> DataFrame:
     tables fall back to ``state_id`` where ``state_name`` is missing.
     """
     rows = table if spec.unique_rows else distinct_rows(table)
-    if spec.place is not None and spec.place in rows.columns:
-        name = F.col(spec.place)
-        if spec.place == "state_name" and "state_id" in rows.columns:
-            name = F.coalesce(name, F.col("state_id"))
-        rows = rows.withColumn(spec.place, place_name(name))
-        rows = rows.withColumnRenamed(spec.place, PLACE)
+    spellings = [spec.place, "state_id"] if spec.place == "state_name" else [spec.place]
+    spellings = [name for name in spellings if name in rows.columns]
+    if spellings:
+        rows = rows.withColumn(PLACE, place_name(F.coalesce(*spellings)))
+        if spec.place != PLACE:
+            rows = rows.drop(spec.place)
     if spec.grain in (WEEKLY, MONTHLY) and "period" in rows.columns:
         rows = rows.withColumn("period", F.col("period").try_cast("date"))
         rows = rows.where(F.col("period").isNotNull())

@@ -11,29 +11,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wattframe.functions import fixed_values as fixed
 from wattframe.functions.measures import mean
 from wattframe.operators.changes import change_from_previous
-from wattframe.operators.pivots import (
-    discover_codes,
-    pivot_discovered,
-    pivot_named,
-    pivot_share,
-)
+from wattframe.operators.pivots import pivot_discovered, pivot_named, pivot_share
+from wattframe.operators.rows import doubles
 from wattframe.operators.shares import group_share, row_share
-
-
-def _doubles(table: DataFrame) -> DataFrame:
-    """Decimal measures as doubles; other columns as they are."""
-    return table.withColumns(
-        {
-            field.name: F.col(f"`{field.name}`").cast("double")
-            for field in table.schema.fields
-            if isinstance(field.dataType, T.DecimalType)
-        }
-    )
+from wattframe.session import keep
 
 
 # ---------------------------------------------------------------- natural gas
@@ -41,7 +26,7 @@ def _doubles(table: DataFrame) -> DataFrame:
 
 def gas_production(clean: DataFrame) -> DataFrame:
     """Each production row with the month's total and its share."""
-    return _doubles(
+    return doubles(
         row_share(
             clean, "production_mmcf", ["period"], total="us_total_mmcf", share="pct_us_production"
         ).select(
@@ -53,7 +38,7 @@ def gas_production(clean: DataFrame) -> DataFrame:
 
 def _gas_wide(clean: DataFrame, columns: dict[str, str]) -> DataFrame:
     keys = ["year", "duoarea", "state_name"]
-    return _doubles(pivot_named(clean, keys, "process", "value_mmcf", columns))
+    return doubles(pivot_named(clean, keys, "process", "value_mmcf", columns))
 
 
 def gas_international(clean: DataFrame) -> DataFrame:
@@ -76,13 +61,13 @@ def _crude_groups(clean: DataFrame, keys: list[str], total: str) -> DataFrame:
 def crude_by_origin(clean: DataFrame) -> DataFrame:
     """Imports per month, refinery state and country."""
     keys = ["period", "refinery_state", "origin_country"]
-    return _doubles(_crude_groups(clean, keys, "total_thousand_bbl"))
+    return doubles(_crude_groups(clean, keys, "total_thousand_bbl"))
 
 
 def crude_by_state(clean: DataFrame) -> DataFrame:
     """Imports per month and refinery state with the share of the month."""
     groups = _crude_groups(clean, ["period", "refinery_state"], "total_thousand_bbl")
-    return _doubles(
+    return doubles(
         group_share(
             groups, "total_thousand_bbl", ["period"],
             total="us_total_thousand_bbl", share="pct_us_imports",
@@ -95,7 +80,7 @@ def crude_by_grade(clean: DataFrame) -> DataFrame:
     groups = _crude_groups(
         clean, ["period", "refinery_state", "crude_grade"], "grade_quantity_thousand_bbl"
     )
-    return _doubles(
+    return doubles(
         group_share(
             groups, "grade_quantity_thousand_bbl", ["period", "refinery_state"],
             total="state_total_thousand_bbl", share="pct_of_state_imports",
@@ -110,18 +95,18 @@ _MOVEMENT_KEYS = ["period", "duoarea", "area_name", "product_id", "product_name"
 
 def petroleum_rows(clean: DataFrame) -> DataFrame:
     """Weekly production rows as cleaned."""
-    return _doubles(clean)
+    return doubles(clean)
 
 
 def movement_rows(clean: DataFrame) -> DataFrame:
     """Weekly movement rows as cleaned."""
-    return _doubles(clean)
+    return doubles(clean)
 
 
 def movements_wide(clean: DataFrame) -> DataFrame:
     """Exports, imports and net imports per week, area and product, with the trade balance."""
     wide = pivot_named(clean, _MOVEMENT_KEYS, "process_id", "value_kbd", fixed.MOVEMENT_COLUMNS)
-    return _doubles(
+    return doubles(
         wide.withColumn("trade_balance_kbd", F.col("exports_kbd") - F.col("imports_kbd"))
     )
 
@@ -134,7 +119,7 @@ def movements_by_area(clean: DataFrame) -> DataFrame:
         .agg(F.sum("value_kbd").alias("total_kbd"))
     )
     published = groups.where(F.col("duoarea") == fixed.US_PUBLISHED_AREA)
-    return _doubles(
+    return doubles(
         group_share(
             groups, "total_kbd", ["period", "process_id", "product_id"],
             total="us_total_kbd", share="pct_us", base=published,
@@ -149,14 +134,15 @@ _COAL_TOTAL_KEYS = ["year", "export_import_type", "coal_rank_id"]
 
 def coal_rows(clean: DataFrame) -> DataFrame:
     """Annual trade rows as cleaned."""
-    return _doubles(clean)
+    return doubles(clean)
 
 
 def _coal_share(clean: DataFrame, keys: list[str], share: str, aggregates: dict) -> DataFrame:
     """Grouped coal trade with the total and mean price of its direction and rank.
 
     Sum and count of the price travel with the groups, so that the national mean comes from the
-    groups and not from a second pass over the rows.
+    groups and not from a second pass over the rows. Groups with further aggregates are kept:
+    pruned to what the totals need, their plan would differ and scan the rows again.
     """
     groups = clean.groupBy(*_COAL_TOTAL_KEYS, *keys).agg(
         F.sum("quantity_short_tons").alias("total_short_tons"),
@@ -164,13 +150,15 @@ def _coal_share(clean: DataFrame, keys: list[str], share: str, aggregates: dict)
         F.count("price_usd_per_ton").alias("_price_count"),
         *[column.alias(name) for name, column in aggregates.items()],
     )
+    if aggregates:
+        groups = keep(groups)
     us_mean = F.try_divide(F.sum("_price_sum").cast("double"), F.sum("_price_count").cast("double"))
     shared = group_share(
         groups, "total_short_tons", _COAL_TOTAL_KEYS, total="us_total_short_tons", share=share,
         more_totals={"us_avg_price_usd_per_ton": us_mean},
     )
     own_mean = F.try_divide(F.col("_price_sum").cast("double"), F.col("_price_count").cast("double"))
-    return _doubles(
+    return doubles(
         shared.select(
             *_COAL_TOTAL_KEYS, *keys, "total_short_tons",
             own_mean.alias("avg_price_usd_per_ton"),
@@ -207,7 +195,7 @@ def coal_by_district(clean: DataFrame) -> DataFrame:
 
 def coal_by_rank(clean: DataFrame) -> DataFrame:
     """Trade, price range and number of countries and districts per direction and rank."""
-    return _doubles(
+    return doubles(
         clean.groupBy(*_COAL_TOTAL_KEYS, "coal_rank_desc").agg(
             F.sum("quantity_short_tons").alias("total_short_tons"),
             mean("price_usd_per_ton").alias("avg_price_usd_per_ton"),
@@ -230,11 +218,13 @@ def coal_country_change(clean: DataFrame) -> DataFrame:
 
 def coal_rank_wide(clean: DataFrame, ranks: list[str] | None = None) -> DataFrame:
     """Quantity per year and direction, one column per coal rank found."""
-    return _doubles(
-        pivot_discovered(
-            clean, ["year", "export_import_type"], "coal_rank_id", "quantity_short_tons", ranks
-        )
+    keys = ["year", "export_import_type"]
+    groups = clean.groupBy(*keys, "coal_rank_id").agg(
+        F.sum("quantity_short_tons").alias("_tons")
     )
+    if ranks is None:  # one pass over the rows, then both the codes and the pivot from the groups
+        groups = keep(groups)
+    return doubles(pivot_discovered(groups, keys, "coal_rank_id", "_tons", ranks))
 
 
 # ---------------------------------------------------------------- electricity
@@ -243,7 +233,7 @@ def coal_rank_wide(clean: DataFrame, ranks: list[str] | None = None) -> DataFram
 def electricity_by_fuel(clean: DataFrame) -> DataFrame:
     """Rows of single fuels with the month's national total of the fuel and the share."""
     fuels = clean.where(F.col("fuel_type_id") != fixed.ALL_FUELS)
-    return _doubles(
+    return doubles(
         row_share(
             fuels, "consumption_thousand_mwh", ["period", "fuel_type_id"],
             total="us_fuel_thousand_mwh", share="pct_us_fuel_consumption",
@@ -261,7 +251,7 @@ def electricity_state_total(clean: DataFrame) -> DataFrame:
         .groupBy("period", "state_name")
         .agg(F.sum("consumption_thousand_mwh").alias("state_total_thousand_mwh"))
     )
-    return _doubles(
+    return doubles(
         group_share(
             groups, "state_total_thousand_mwh", ["period"],
             total="us_total_thousand_mwh", share="pct_us_consumption",
@@ -276,7 +266,7 @@ def ranking_rows(clean: DataFrame) -> DataFrame:
 
 def net_metering_rows(clean: DataFrame) -> DataFrame:
     """Net metering as cleaned."""
-    return _doubles(clean)
+    return doubles(clean)
 
 
 def capacity_by_state(clean: DataFrame) -> DataFrame:
@@ -290,7 +280,7 @@ def capacity_by_state(clean: DataFrame) -> DataFrame:
     groups = by_type.groupBy(*keys).agg(
         F.sum("_mw").alias("state_total_mw"), F.count("producer_type").alias("num_producer_types")
     )
-    return _doubles(
+    return doubles(
         group_share(
             groups, "state_total_mw", ["year", "energy_source"],
             total="us_total_mw", share="pct_us_capacity",
@@ -303,7 +293,7 @@ def capacity_by_state(clean: DataFrame) -> DataFrame:
 
 def total_energy_rows(clean: DataFrame) -> DataFrame:
     """Monthly series as cleaned."""
-    return _doubles(clean)
+    return doubles(clean)
 
 
 _STATE_KEYS = ["year", "state_id", "state_name"]
@@ -323,7 +313,7 @@ def _state_fuel(clean: DataFrame) -> DataFrame:
 
 def state_fuel_shares(clean: DataFrame) -> DataFrame:
     """Btu per state and fuel with the share of the fuel's national total."""
-    return _doubles(
+    return doubles(
         group_share(
             _state_fuel(clean), "total_btu", ["year", "fuel_prefix"],
             total="us_total_btu", share="pct_us_fuel_consumption",
@@ -334,13 +324,21 @@ def state_fuel_shares(clean: DataFrame) -> DataFrame:
     )
 
 
+def _state_btu(clean: DataFrame) -> DataFrame:
+    return (
+        clean.where(F.col("unit_type") == fixed.BTU_UNIT)
+        .groupBy(*_STATE_KEYS)
+        .agg(F.sum("value").alias("total_btu"))
+    )
+
+
 def _state_shares(groups: DataFrame, share: str) -> DataFrame:
     shared = group_share(groups, "total_btu", ["year"], total="us_all_btu", share=share)
     changed = change_from_previous(
         shared, ["state_id"], "year", "total_btu",
         change="yoy_change_btu", change_pct="yoy_change_pct", ties=("state_name",),
     )
-    return _doubles(
+    return doubles(
         changed.select(
             *_STATE_KEYS, "total_btu", "us_all_btu", share, "yoy_change_btu", "yoy_change_pct"
         )
@@ -349,28 +347,27 @@ def _state_shares(groups: DataFrame, share: str) -> DataFrame:
 
 def state_shares(clean: DataFrame) -> DataFrame:
     """All-source Btu per year and state with share and change, from the published TE series."""
-    groups = _state_fuel(clean).where(F.col("fuel_prefix") == fixed.TOTAL_ENERGY_PREFIX)
-    return _state_shares(groups.select(*_STATE_KEYS, "total_btu"), "pct_us_total_consumption")
+    all_sources = clean.where(F.col("fuel_prefix") == fixed.TOTAL_ENERGY_PREFIX)
+    return _state_shares(_state_btu(all_sources), "pct_us_total_consumption")
 
 
 def state_shares_all_fuels(clean: DataFrame) -> DataFrame:
     """Like :func:`state_shares`, but summed over every fuel prefix."""
-    groups = (
-        clean.where(F.col("unit_type") == fixed.BTU_UNIT)
-        .groupBy(*_STATE_KEYS)
-        .agg(F.sum("value").alias("total_btu"))
-    )
-    return _state_shares(groups, "pct_us_total")
+    return _state_shares(_state_btu(clean), "pct_us_total")
 
 
 def state_fuel_mix(clean: DataFrame, fuels: list[str] | None = None) -> DataFrame:
     """One row per year and state, one column per fuel found, and each fuel's percent of TE."""
-    btu = clean.where(F.col("unit_type") == fixed.BTU_UNIT)
+    groups = (
+        clean.where(F.col("unit_type") == fixed.BTU_UNIT)
+        .groupBy(*_STATE_KEYS, "fuel_prefix")
+        .agg(F.sum("value").alias("total_btu"))
+    )
     if fuels is None:
-        fuels = discover_codes(btu, "fuel_prefix")
-    return _doubles(
+        groups = keep(groups)
+    return doubles(
         pivot_share(
-            btu, _STATE_KEYS, "fuel_prefix", "value", fixed.TOTAL_ENERGY_PREFIX, codes=fuels
+            groups, _STATE_KEYS, "fuel_prefix", "total_btu", fixed.TOTAL_ENERGY_PREFIX, codes=fuels
         )
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -35,6 +35,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/wattframe/{label}-{uuid.uuid4().hex}"
 
 
+def keep(table: DataFrame) -> DataFrame:
+    """The table computed once and stored in the shared folder, with its lineage cut there.
+
+    Lost executors cost a re-read, not a recomputation.
+    """
+    checkpoint_root(table.sparkSession)
+    return table.checkpoint()
+
+
 def local_session(cpus: int | str = 8, **settings: str) -> SparkSession:
     """Session for tests and timings on one machine; cluster users bring their own."""
     builder = (

@@ -1,35 +1,35 @@
 """Incremental pick-up of newly landed raw files into a cleaned table.
 
 Each run reads only files it has not seen, cleans them and appends the rows that the table does
-not hold yet. A micro-batch owns the folder ``batch_id=<n>``: a repeated batch (lost executors, a
-restarted driver) replaces that folder only, and stored rows are never rewritten or deleted.
+not hold yet. A micro-batch owns the folder ``batch_id=<query>-<n>``, where the query's id lives in
+its checkpoint: a repeated batch (lost executors, a restarted driver) replaces that folder only,
+and rows of other batches are never rewritten or deleted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from wattframe.sources.files import text_schema
 
 BATCH, BUCKET = "batch_id", "period_year"
+QUERY_ID = "sql.streaming.queryId"
 
 
 def stored_rows(spark: SparkSession, path: str) -> DataFrame | None:
     """The table with its folder columns, or None before the first batch."""
-    layout = T.StructType([T.StructField(BATCH, T.LongType()), T.StructField(BUCKET, T.IntegerType())])
     try:
         table = spark.read.parquet(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
             return None
         raise
-    return table.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in layout.fields})
+    return table.withColumns({BATCH: F.col(BATCH).cast("string"), BUCKET: F.col(BUCKET).cast("int")})
 
 
 def read_picked_up(spark: SparkSession, path: str) -> DataFrame:
@@ -41,29 +41,30 @@ def _year_of(rows: DataFrame) -> Column:
     return F.year("period") if "period" in rows.columns else F.col("year")
 
 
-def append_new_rows(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Append the distinct rows that earlier batches did not bring.
+def append_new_rows(rows: DataFrame, path: str, batch: str) -> None:
+    """Append the distinct rows that other batches did not bring.
 
     Only folders of the years in this batch are compared. The set difference matches NULLs too.
     """
     spark = rows.sparkSession
-    fresh = rows.withColumn(BUCKET, _year_of(rows))
+    fresh = rows.withColumn(BUCKET, _year_of(rows)).persist()
     stored = stored_rows(spark, path)
     if stored is None:
-        fresh = fresh.dropDuplicates()
+        new = fresh.dropDuplicates()
     else:
         # Calendar years of a date, or published years: a handful per batch.
         years = [row[0] for row in fresh.select(BUCKET).distinct().toLocalIterator()]
-        known = F.col(BUCKET).isin([year for year in years if year is not None])
+        same_years = F.col(BUCKET).isin([year for year in years if year is not None])
         if None in years:
-            known = known | F.col(BUCKET).isNull()
-        earlier = stored.where((F.col(BATCH) < batch_id) & known).select(*fresh.columns)
-        fresh = fresh.subtract(earlier)
+            same_years = same_years | F.col(BUCKET).isNull()
+        others = stored.where((F.col(BATCH) != batch) & same_years).select(*fresh.columns)
+        new = fresh.subtract(others)
     (
-        fresh.write.mode("overwrite")
+        new.write.mode("overwrite")
         .partitionBy(BUCKET)
-        .parquet(f"{path.rstrip('/')}/{BATCH}={batch_id}")
+        .parquet(f"{path.rstrip('/')}/{BATCH}={batch}")
     )
+    fresh.unpersist()
 
 
 def pick_up(
@@ -89,9 +90,14 @@ def pick_up(
     )
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
+
+    def append(raw: DataFrame, number: int) -> None:
+        query = raw.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
+        append_new_rows(clean(raw), table_path, f"{query}-{number}")
+
     return (
         reader.csv(landing)
-        .writeStream.foreachBatch(lambda raw, batch: append_new_rows(clean(raw), table_path, batch))
+        .writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint_path)
         .trigger(availableNow=True)
         .start()
