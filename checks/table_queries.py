@@ -5,10 +5,10 @@ from __future__ import annotations
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from checks.feeds import feed, feed_sql
 from checks.registry import check
-from wattframe.operators.rows import doubles
 from wattframe.plans import serving
 from wattframe.plans.cleaning import CLEANING
 from wattframe.plans.tables import ANALYSES, RESULT_TABLES
@@ -467,8 +467,6 @@ SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY state
   ORDER BY grade_quantity_thousand_bbl DESC, crude_grade) AS position FROM g) WHERE position <= 3""",
 )
 def _breakdown_all(spark, sf_dir):
-    from pyspark.sql import functions as F
-
     spec = TABLES["crude_grade"]
     rows = serving.time_slice(_prepared(spark, sf_dir, spec.name), spec, 1998)
     top = serving.breakdown(rows, spec, n=3)
@@ -480,27 +478,25 @@ def _breakdown_all(spark, sf_dir):
     "s04_trend_one_place",
     f"""WITH tab AS ({TABLE_SQL["electricity_by_fuel"]})
 SELECT period, round(coalesce(sum(consumption_btu), 0), 2) AS consumption_btu
-FROM tab WHERE state_name = 'NATION_7' GROUP BY period""",
+FROM tab WHERE state_name = 'NATION_15' GROUP BY period""",
 )
 def _trend_one(spark, sf_dir):
-    from pyspark.sql import functions as F
-
     spec = TABLES["electricity_by_fuel"]
     rows = _prepared(spark, sf_dir, spec.name)
-    found = serving.trend(rows, spec, "consumption_btu", place="NATION_7")
+    found = serving.trend(rows, spec, "consumption_btu", place="NATION_15")
     return found.withColumn("consumption_btu", F.round("consumption_btu", 2))
 
 
 @check(
     "s05_snapshot",
     f"""WITH tab AS ({TABLE_SQL["electricity_net_metering"]})
-SELECT CAST(sum(customers_count) AS BIGINT) AS customers_count, min("sectorName") AS "sectorName"
-FROM tab WHERE state_name = 'NATION_11' AND year = 1998""",
+SELECT CAST(coalesce(sum(customers_count), 0) AS BIGINT) AS customers_count, min("sectorName") AS "sectorName"
+FROM tab WHERE state_name = 'NATION_15' AND year = 1998""",
 )
 def _snapshot(spark, sf_dir):
     spec = TABLES["electricity_net_metering"]
     rows = serving.time_slice(_prepared(spark, sf_dir, spec.name), spec, 1998)
-    return serving.snapshot(rows, spec, "NATION_11")
+    return serving.snapshot(rows, spec, "NATION_15")
 
 
 @check(
@@ -511,8 +507,6 @@ WHERE isoyear(period) = 1998 AND week(period) = 1 GROUP BY area_name
 ORDER BY value_kbd DESC, state LIMIT 15""",
 )
 def _top_week(spark, sf_dir):
-    from pyspark.sql import functions as F
-
     spec = TABLES["petroleum_movements"]
     rows = serving.time_slice(_prepared(spark, sf_dir, spec.name), spec, 1998, week=1)
     return serving.top_places(rows, spec, spec.value).withColumn(
@@ -526,13 +520,9 @@ def _top_week(spark, sf_dir):
 SELECT year, round(avg(carbon_dioxide_rank), 6) AS carbon_dioxide_rank FROM tab GROUP BY year""",
 )
 def _mean_rank(spark, sf_dir):
-    from pyspark.sql import functions as F
-
     spec = TABLES["electricity_rankings"]
     rows = _prepared(spark, sf_dir, spec.name)
     return serving.trend(rows, spec, "carbon_dioxide_rank", agg=F.avg).withColumn(
         "carbon_dioxide_rank", F.round("carbon_dioxide_rank", 6)
     )
 
-
-__all__ = ["CLEAN_SQL", "TABLE_SQL", "doubles"]
