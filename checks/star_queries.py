@@ -35,6 +35,7 @@ from wattframe.sources.files import (
     explode_records,
     raw_folder,
     read_csv,
+    read_pages,
     read_table,
     write_csv,
     write_table,
@@ -149,7 +150,7 @@ def share_of_member(spark, sf_dir):
     return doubles(
         group_share(
             groups, "order_value", ["month", "status"], total="member_value",
-            share="pct_of_member", base=groups.where(F.col("priority") == "1-URGENT"),
+            share="pct_of_member", member=F.col("priority") == "1-URGENT",
         )
     )
 
@@ -742,7 +743,8 @@ UNION ALL SELECT DISTINCT 'week', CAST(week(o_orderdate) AS INTEGER) FROM orders
 UNION ALL SELECT DISTINCT 'iso_year', CAST(isoyear(o_orderdate) AS INTEGER) FROM orders""",
 )
 def choices(spark, sf_dir):
-    dates = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("period"))
+    days = F.col("o_orderdate").cast("date").alias("period")
+    dates = keep(table(spark, sf_dir, "orders").select(days).distinct())
     monthly = dates.withColumns(calendar_columns(F.col("period"), MONTHLY))
     weekly = dates.withColumns(calendar_columns(F.col("period"), WEEKLY)).withColumnRenamed(
         "year", "iso_year"
@@ -908,12 +910,12 @@ UNION ALL SELECT segment, 'annual', CAST(y AS VARCHAR) FROM r,
   unnest(generate_series(year(first), year(last))) AS u(y)""",
 )
 def load_period_list(spark, sf_dir):
-    date_text = F.col("o_orderdate").cast("date").cast("string")
+    days = F.col("o_orderdate").cast("date")
     ranges = (
         table(spark, sf_dir, "orders")
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .groupBy(F.col("c_mktsegment").alias("segment"))
-        .agg(F.min(date_text).alias("first"), F.max(date_text).alias("last"))
+        .agg(F.min(days).cast("string").alias("first"), F.max(days).cast("string").alias("last"))
     )
     lists = [
         ranges.select(
@@ -960,6 +962,27 @@ def page_records(spark, sf_dir):
     )
 
 
+@check(
+    "q29b_landed_page_files",
+    """SELECT event_type, count(*) AS records,
+  CAST(sum(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS BIGINT) AS total
+FROM events GROUP BY 1""",
+)
+def landed_pages(spark, sf_dir):
+    """Every event lands as a page of two records, one of which has none of the fields."""
+    base = scratch_path(spark, "pages")
+    record = F.struct("event_type", F.get_json_object("props", "$.k").alias("k"))
+    other = F.struct(F.lit(None).cast("string").alias("event_type"), F.lit(None).cast("string").alias("k"))
+    page = F.struct(F.lit("2").alias("total"), F.array(record, other).alias("data"))
+    table(spark, sf_dir, "events").select(page.alias("response")).write.json(base)
+    rows = read_pages(spark, base, ["event_type", "k"], one_per_line=True)
+    return (
+        rows.where(F.col("event_type").isNotNull())
+        .groupBy("event_type")
+        .agg(F.count("*").alias("records"), F.sum(whole("k")).alias("total"))
+    )
+
+
 _ROUND_TRIP_SQL = f"""SELECT strftime(o_orderdate, '%Y-%m') AS period, o_orderpriority AS priority,
   count(*) AS n, CAST(sum({AMOUNT_SQL}) AS DOUBLE) AS amount FROM orders GROUP BY ALL"""
 

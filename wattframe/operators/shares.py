@@ -42,15 +42,25 @@ def join_totals_sliced(rows: DataFrame, totals: DataFrame, keys: list[str]) -> D
     Each key is cut into slices by a hash of the row's other columns (the same on a retried
     task), and each total is repeated once per slice. AQE still turns the join into a broadcast
     when the totals prove small at run time.
+
+    Keys compare NULL-safe and the totals of NULL keys are blanked afterwards. A plain left join
+    gives the same rows, but Catalyst would push its not-null test into the totals' side only, and
+    two sides that come from the same rows could then no longer share one exchange.
     """
     others = [name for name in rows.columns if name not in keys]
-    if not others:
-        return rows.join(totals, keys, "left")
-    sliced_rows = rows.withColumn("_slice", F.pmod(F.xxhash64(*others), F.lit(SLICES)))
+    sliced_rows = rows.withColumn(
+        "_slice", F.pmod(F.xxhash64(*others), F.lit(SLICES)) if others else F.lit(0).cast("long")
+    )
     sliced_totals = totals.withColumn(
         "_slice", F.explode(F.expr(f"sequence(0L, {SLICES - 1}L)"))
+    ).withColumnsRenamed({key: f"_of_{key}" for key in [*keys, "_slice"]})
+    matches = [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in keys]
+    matches.append(F.col("_slice") == F.col("_of__slice"))
+    has_key = reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in keys])
+    total_names = [name for name in totals.columns if name not in keys]
+    return sliced_rows.join(sliced_totals, matches, "left").select(
+        *rows.columns, *[F.when(has_key, F.col(name)).alias(name) for name in total_names]
     )
-    return sliced_rows.join(sliced_totals, [*keys, "_slice"], "left").drop("_slice")
 
 
 def join_totals(rows: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame:
@@ -88,15 +98,18 @@ def group_share(
     share: str,
     digits: int = 4,
     more_totals: dict[str, Column] | None = None,
-    base: DataFrame | None = None,
+    member: Column | None = None,
 ) -> DataFrame:
     """Share of already grouped rows in the total of their ``within`` group.
 
-    The totals are summed from the groups themselves (``base`` gives other rows to sum, such as a
-    published national member), so both join sides share one scan and one exchange of the facts.
+    The totals are summed from the groups themselves, so both join sides share one scan and one
+    exchange of the facts. ``member`` restricts what counts as the total, such as a published
+    national row; without a row of it the total is NULL. It is a condition inside the sum and not
+    a filter for the same reason: a filter would reach the scan and make a second one.
     """
-    totals = (groups if base is None else base).groupBy(*within).agg(
-        F.sum(value).alias(total),
+    counted = F.col(value) if member is None else F.when(member, F.col(value))
+    totals = groups.groupBy(*within).agg(
+        F.sum(counted).alias(total),
         *[column.alias(name) for name, column in (more_totals or {}).items()],
     )
     return join_totals_sliced(groups, totals, within).withColumn(

@@ -118,11 +118,11 @@ def movements_by_area(clean: DataFrame) -> DataFrame:
         .groupBy(*_MOVEMENT_KEYS, "process_id")
         .agg(F.sum("value_kbd").alias("total_kbd"))
     )
-    published = groups.where(F.col("duoarea") == fixed.US_PUBLISHED_AREA)
+    published = F.col("duoarea") == fixed.US_PUBLISHED_AREA
     return doubles(
         group_share(
             groups, "total_kbd", ["period", "process_id", "product_id"],
-            total="us_total_kbd", share="pct_us", base=published,
+            total="us_total_kbd", share="pct_us", member=published,
         )
     )
 

@@ -123,11 +123,17 @@ def read_csv(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def read_pages(spark: SparkSession, root: str | list[str], columns: list[str] | None = None) -> DataFrame:
+def read_pages(
+    spark: SparkSession,
+    root: str | list[str],
+    columns: list[str] | None = None,
+    one_per_line: bool = False,
+) -> DataFrame:
     """Records of landed JSON pages ``{"response": {"total", "data": [...]}}`` as text columns.
 
     Without ``columns`` the first record of the first page (by path) fixes them. Other fields are
-    ignored and absent ones are NULL. A page holds at most one page size of records.
+    ignored and absent ones are NULL. A page holds at most one page size of records; a file is one
+    page, or with ``one_per_line`` many, which Spark can then split.
     """
     page = T.StructType(
         [
@@ -146,7 +152,7 @@ def read_pages(spark: SparkSession, root: str | list[str], columns: list[str] |
     )
     pages = (
         spark.read.schema(page)
-        .option("multiLine", True)
+        .option("multiLine", not one_per_line)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json")
         .json(root)
@@ -156,9 +162,11 @@ def read_pages(spark: SparkSession, root: str | list[str], columns: list[str] |
             pages.where(F.size("response.data") > 0)
             .select(
                 F.col("_metadata.file_path").alias("path"),
+                F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("place"),
                 F.map_keys(F.col("response.data")[0]).alias("names"),
             )
-            .orderBy("path")
+            .orderBy("path", "block", "place")
             .first()
         )
         if first is None:
