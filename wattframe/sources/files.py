@@ -205,6 +205,8 @@ def write_csv(records: DataFrame, folder: str) -> None:
         .option("header", True)
         .option("escape", '"')
         .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(folder)
     )
 
