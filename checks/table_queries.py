@@ -11,7 +11,13 @@ from checks.feeds import feed, feed_sql
 from checks.registry import check
 from wattframe.plans import serving
 from wattframe.plans.cleaning import CLEANING
-from wattframe.plans.tables import ANALYSES, RESULT_TABLES
+from wattframe.plans.tables import (
+    ANALYSES,
+    RESULT_TABLES,
+    electricity_by_fuel,
+    gas_production,
+)
+from wattframe.session import keep
 from wattframe.sources.catalog import TABLES
 
 EXACT = "decimal(18,2)"  # the feeds have two decimals; exact sums compare bit for bit
@@ -408,8 +414,13 @@ FROM (SELECT *, lag(total_short_tons) OVER (PARTITION BY export_import_type, coa
 }
 
 
+# Builders that read the cleaned rows more than once get a stored copy, as in a refresh.
+_READ_TWICE = (gas_production, electricity_by_fuel)
+
+
 def _built(spark: SparkSession, sf_dir: str, source: str, build) -> DataFrame:
-    return build(_clean(spark, sf_dir, source))
+    clean = _clean(spark, sf_dir, source)
+    return build(keep(clean) if build in _READ_TWICE else clean)
 
 
 for _letter, _group in (("t", RESULT_TABLES), ("n", ANALYSES)):
@@ -424,7 +435,7 @@ for _letter, _group in (("t", RESULT_TABLES), ("n", ANALYSES)):
 
 def _prepared(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     source, build = RESULT_TABLES[name]
-    return serving.prepare(build(_clean(spark, sf_dir, source)), TABLES[name])
+    return serving.prepare(_built(spark, sf_dir, source, build), TABLES[name])
 
 
 _CRUDE_PLACE = """CASE refinery_state WHEN 'TEXAS' THEN 'Texas' WHEN 'OHIO' THEN 'Ohio'

@@ -11,7 +11,7 @@ from wattframe.sources.files import text_schema  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4)
+    session = local_session(4, **{"spark.sql.maxMetadataStringLength": "5000"})
     yield session
     session.stop()
 

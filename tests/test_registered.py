@@ -1,0 +1,36 @@
+"""Registered queries against DuckDB over the smallest test tables, if these are there."""
+
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from tools.compare import compare, connect  # noqa: E402
+
+SF_DIR = "/root/testdata/sf0.001"
+
+pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return connect(SF_DIR)
+
+
+def test_every_query_has_its_sql():
+    assert queries().keys() == oracle_sql().keys()
+
+
+def test_entry(spark):
+    frame = entry(spark)
+    assert frame.columns == ["month", "nation", "order_value", "month_value", "pct_of_month"]
+    assert frame.count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_query_agrees_with_its_sql(spark, duck, name):
+    problem = compare(spark, duck, SF_DIR, name)
+    assert not problem, problem
