@@ -3,13 +3,21 @@ import os
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from wattframe.plans.cleaning import distinct_rows
-from wattframe.sources.catalog import SOURCES, TABLES, SourceSpec, TableSpec, tables_by_category
+from wattframe.sources.catalog import (
+    SOURCES,
+    TABLES,
+    SourceSpec,
+    TableSpec,
+    list_tables,
+    tables_by_category,
+)
 from wattframe.sources.files import (
     csv_layouts,
     list_files,
-    newest_file,
+    newest_extract,
     raw_folder,
     read_csv,
     read_pages,
@@ -63,12 +71,22 @@ def test_incremental_files_are_skipped_unless_asked_for(spark, raw_root):
 
 def test_newest_file_and_load_time(spark, raw_root):
     os.utime(raw_root + "/x%20other.csv", (time.time() + 100,) * 2)
-    assert newest_file(list_files(spark, raw_root)).first()["path"].endswith("other.csv")
+    assert newest_extract(list_files(spark, raw_root)).first()["path"].endswith("other.csv")
     newest = read_csv(spark, raw_root, newest_only=True, loaded_at=True)
     assert rows(newest, "period") == [("2025-03",)]
     assert newest.schema["loaded_at"].dataType.typeName() == "timestamp"
 
 
+def test_newest_extract_may_be_incremental_or_a_folder_of_parts(spark, raw_root):
+    os.utime(raw_root + "/incremental/x_2025-05.csv", (time.time() + 100,) * 2)
+    assert rows(read_csv(spark, raw_root, newest_only=True), "period") == [("2025-05",)]
+    extract = spark.createDataFrame([(f"2026-{m:02d}", "1") for m in range(1, 13)], "period string, value string")
+    write_csv(extract.repartition(3), raw_root + "/x_2026-01_to_2026-12")
+    for name in os.listdir(raw_root + "/x_2026-01_to_2026-12"):
+        os.utime(f"{raw_root}/x_2026-01_to_2026-12/{name}", (time.time() + 200,) * 2)
+    assert read_csv(spark, raw_root, newest_only=True).count() == 12
+
+
 def test_declared_header_is_checked(spark, tmp_path):
     put(tmp_path / "a.csv", "period,value\n2025-01,1\n")
     assert rows(read_csv(spark, str(tmp_path), ["period", "value"]), "value") == [("1",)]
@@ -138,12 +156,18 @@ def test_table_sink_sorts_and_replaces(spark, tmp_path):
     for row in parts:
         by_file.setdefault(row["f"], []).append((row["year"], -row["v"]))
     assert all(part == sorted(part) for part in by_file.values())
+    one_key = spark.range(20000).selectExpr("1 AS year", "id AS v")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    write_table(one_key, str(tmp_path / "one"), sort=("year",))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = read_table(spark, str(tmp_path / "one")).groupBy(F.input_file_name()).count().collect()
+    assert len(sizes) > 1 and max(row["count"] for row in sizes) < 15000
     write_table(frame, str(tmp_path / "p"), partition_by=["year"])
     plan = read_table(spark, str(tmp_path / "p")).where("year = 3")._jdf.queryExecution().executedPlan()
     assert "PartitionFilters: [isnotnull(year" in plan.toString()
 
 
-def test_catalog():
+def test_catalog(spark):
     assert len(SOURCES) == 14 and len(TABLES) == 19
     assert all(spec.unique_rows and spec.sort for spec in TABLES.values())
     assert len({spec.path for spec in TABLES.values()}) == 19
@@ -154,6 +178,8 @@ def test_catalog():
     assert list(groups) == [
         "Natural Gas", "Crude Oil", "Petroleum", "Coal", "Electricity", "Total Energy", "SEDS"
     ]
+    listed = list_tables(spark).groupBy("category").count().collect()
+    assert {row["category"]: row["count"] for row in listed}["Electricity"] == 4
     own = TableSpec("mine", "Mine", "mine", "state_name", "v", "V", "MWh", "monthly", "Own")
     assert tables_by_category({**TABLES, "mine": own})["Own"] == ["mine"]
     assert SourceSpec("a", "A", "weekly", ("v",), None, "1 month").raw_prefix == "raw/a/weekly"

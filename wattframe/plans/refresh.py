@@ -44,6 +44,16 @@ def clean_range(
     return within_range(rows, "period", end=last)
 
 
+def build_tables(clean: DataFrame, source: str, out: str) -> list[str]:
+    """Write every result table of a source from its cleaned rows, which should be stored: several
+    tables read them. Returns the names of the tables."""
+    written = [name for name, (needs, _) in RESULT_TABLES.items() if needs == source]
+    for name in written:
+        build = RESULT_TABLES[name][1]
+        write_table(build(clean), table_path(out, name), sort=TABLES[name].sort)
+    return written
+
+
 def refresh_source(
     spark: SparkSession,
     base: str,
@@ -53,17 +63,17 @@ def refresh_source(
     newest_only: bool = False,
     out: str | None = None,
 ) -> list[str]:
-    """Clean one source and rebuild its tables; returns the names of the tables written."""
+    """Clean one source and rebuild its tables; returns the names of the tables written.
+
+    ``start`` and ``end`` limit what is processed, so cleaned rows and tables hold that range only;
+    ``out`` keeps them apart from the full ones. Continuous loads go through the streaming pick-up
+    and :func:`build_tables`.
+    """
     out = out or base
     source = SOURCES[name]
     raw = read_csv(spark, f"{base.rstrip('/')}/{source.raw_prefix}", newest_only=newest_only)
     write_table(clean_range(CLEANING[name](raw), source, start, end), clean_path(out, name))
-    clean = read_table(spark, clean_path(out, name))
-    written = [table for table, (from_source, _) in RESULT_TABLES.items() if from_source == name]
-    for table in written:
-        build = RESULT_TABLES[table][1]
-        write_table(build(clean), table_path(out, table), sort=TABLES[table].sort)
-    return written
+    return build_tables(read_table(spark, clean_path(out, name)), name, out)
 
 
 def refresh(spark: SparkSession, base: str, names: list[str] | None = None, **options) -> list[str]:

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.sql import DataFrame, SparkSession
+
 from wattframe.functions.calendar import ANNUAL, MONTHLY, WEEKLY
 
 
@@ -343,3 +345,16 @@ def tables_by_category(tables: dict[str, TableSpec] = TABLES) -> dict[str, list[
     for spec in tables.values():
         grouped.setdefault(spec.category, []).append(spec.name)
     return grouped
+
+
+def list_tables(spark: SparkSession, tables: dict[str, TableSpec] = TABLES) -> DataFrame:
+    """The catalog as a table, one row per result table."""
+    rows = [
+        (spec.category, spec.name, spec.label, spec.path, spec.grain, spec.unit, spec.on_map)
+        for spec in tables.values()
+    ]
+    return spark.createDataFrame(
+        rows,
+        "category string, name string, label string, path string, grain string, unit string,"
+        " on_map boolean",
+    )

@@ -40,9 +40,21 @@ def list_files(
     return files.where(~F.col("path").contains(INCREMENTAL_FOLDER))
 
 
-def newest_file(files: DataFrame) -> DataFrame:
-    """The one file modified last; the path decides between equal times."""
-    return files.orderBy(F.desc("modificationTime"), F.desc("path")).limit(1)
+def newest_extract(files: DataFrame) -> DataFrame:
+    """The files of the extract modified last; the path decides between equal times.
+
+    An extract is one file, or a folder of part files when Spark wrote it.
+    """
+    extracts = files.withColumn("extract", F.regexp_replace("path", "/part-[^/]*$", ""))
+    newest = (
+        extracts.groupBy("extract")
+        .agg(F.max("modificationTime").alias("modified"))
+        .orderBy(F.desc("modified"), F.desc("extract"))
+        .first()
+    )
+    if newest is None:
+        return files
+    return extracts.where(F.col("extract") == newest["extract"]).drop("extract")
 
 
 def csv_layouts(spark: SparkSession, paths: list[str], key: str = "period") -> dict:
@@ -84,7 +96,7 @@ def read_csv(
     root: str | list[str],
     columns: list[str] | None = None,
     *,
-    include_incremental: bool = False,
+    include_incremental: bool | None = None,
     newest_only: bool = False,
     loaded_at: bool = False,
     key: str = "period",
@@ -94,12 +106,15 @@ def read_csv(
     Without ``columns`` the files may differ in column order and in columns (see
     :func:`csv_layouts`); a column that a file lacks is NULL there. With ``columns`` all files are
     taken to have exactly that header and to hold one record per line: no extra pass, and Spark
-    raises if a header differs. ``loaded_at`` adds the file's modification time, which orders
-    revisions of the same key.
+    raises if a header differs. ``newest_only`` reads the newest extract alone, an incremental one
+    too; otherwise incremental folders are skipped, unless ``include_incremental`` says different.
+    ``loaded_at`` adds the file's modification time, which orders revisions of the same key.
     """
+    if include_incremental is None:
+        include_incremental = newest_only
     files = list_files(spark, root, include_incremental=include_incremental)
     if newest_only:
-        files = newest_file(files)
+        files = newest_extract(files)
     paths = [row["path"] for row in files.select("path").toLocalIterator()]
     if not paths:
         raise FileNotFoundError(f"no CSV files below {root}")
@@ -213,7 +228,9 @@ def write_csv(records: DataFrame, folder: str) -> None:
 
 def sort_columns(names) -> list[Column]:
     """``-name`` sorts descending."""
-    return [F.desc(n[1:]) if n.startswith("-") else F.asc(n) for n in names]
+    return [
+        F.desc(f"`{name[1:]}`") if name.startswith("-") else F.asc(f"`{name}`") for name in names
+    ]
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -226,11 +243,14 @@ def write_table(
     """Replace a Parquet table.
 
     Sorting happens here and only here: range partitions by the sort key, each sorted, so that the
-    files' statistics let a time slice skip most of them. ``partition_by`` adds folders for very
-    long histories.
+    files' statistics let a time slice skip most of them. The other columns follow in the key:
+    distinct rows then never tie, and a sort key that much of the table shares still splits evenly.
+    ``partition_by`` adds folders for very long histories.
     """
     if sort:
-        table = table.orderBy(*sort_columns(sort))
+        named = {name.removeprefix("-") for name in sort}
+        rest = [name for name in table.columns if name not in named]
+        table = table.orderBy(*sort_columns([*sort, *rest]))
     writer = table.write.mode("overwrite").option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
