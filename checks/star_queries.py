@@ -778,7 +778,7 @@ def top_parts(spark, sf_dir):
 
 @check(
     "q19_top_parts_per_nation",
-    f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY nation ORDER BY amount DESC, l_partkey) AS position
+    f"""SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY nation ORDER BY amount DESC, l_partkey) AS INTEGER) AS position
 FROM (SELECT n_name AS nation, l_partkey, CAST(sum({PRICE_SQL}) AS DOUBLE) AS amount
   FROM {_LINES_SQL} GROUP BY ALL)) WHERE position <= 10""",
 )

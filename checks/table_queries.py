@@ -474,8 +474,8 @@ def _ranking_year(spark, sf_dir):
     f"""WITH tab AS ({TABLE_SQL["crude_grade"]}), g AS (
 SELECT state, crude_grade, round(sum(grade_quantity_thousand_bbl), 2) AS grade_quantity_thousand_bbl
 FROM (SELECT *, {_CRUDE_PLACE} FROM tab) WHERE year(period) = 1998 GROUP BY state, crude_grade)
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY state
-  ORDER BY grade_quantity_thousand_bbl DESC, crude_grade) AS position FROM g) WHERE position <= 3""",
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY state
+  ORDER BY grade_quantity_thousand_bbl DESC, crude_grade) AS INTEGER) AS position FROM g) WHERE position <= 3""",
 )
 def _breakdown_all(spark, sf_dir):
     spec = TABLES["crude_grade"]

@@ -80,3 +80,34 @@ def test_no_python_workers_anywhere(stored):
     groups = stored.groupBy("year", "state").agg(F.sum("v").alias("v"))
     plan = final_plan(group_share(groups, "v", ["year"], total="t", share="p"))
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_hot_key_is_cut_by_adaptive_execution(spark, monkeypatch):
+    """A plain join to an aggregate is never split; the sliced join is, even with one slice."""
+    from wattframe.operators import shares
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        monkeypatch.setattr(shares, "SLICES", 1)
+        rows = spark.range(0, 400_000, 1, 8).selectExpr(
+            "id", "IF(id % 3 = 0, -1, id % 1009) AS key", "id % 7 AS v", "concat('text ', id) AS t"
+        )
+        totals = rows.groupBy("key").agg(F.sum("v").alias("total"))
+        joined = shares.join_totals_sliced(rows, totals, ["key"])
+        summed = joined.agg(F.count("*"), F.sum("total"), F.max("t"))
+        assert "SortMergeJoin(skew=true)" in final_plan(summed)
+        plain = rows.join(totals, "key", "left").agg(F.count("*"), F.sum("total"), F.max("t"))
+        assert "skew=true" not in final_plan(plain)
+        assert summed.first() == plain.first()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -23,4 +23,4 @@ def percent(part: str | Column, base: str | Column, digits: int) -> Column:
 def mean(source: str | Column) -> Column:
     """Unweighted mean as sum over count: exact for decimals, NULL for an all-NULL group."""
     column = _column(source)
-    return F.try_divide(F.sum(column).cast("double"), F.count(column).cast("double"))
+    return ratio(F.sum(column), F.count(column))

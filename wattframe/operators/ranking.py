@@ -36,7 +36,10 @@ def rank_all(groups: DataFrame, order: list[Column], position: str = "position")
 
     The rows are range-sorted and kept; a row's position is its place in its own partition plus
     the number of rows in the partitions before it. Only one count per partition is broadcast.
+    The groups themselves are kept first: the sort samples them, and a task that runs again after a
+    loss must find the same sums.
     """
+    groups = keep(groups)
     # The upper 31 bits of the id are the partition, the lower 33 the row's place in it.
     placed = keep(groups.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()))
     partition = F.shiftright("_id", 33)

@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattframe.functions.measures import percent
 from wattframe.session import keep
@@ -36,21 +37,24 @@ def broadcast_or_none(table: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES):
     return kept, size <= max_bytes
 
 
-def join_totals_sliced(rows: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame:
+def join_totals_sliced(
+    rows: DataFrame, totals: DataFrame, keys: list[str], spread_by: list[str] | None = None
+) -> DataFrame:
     """Left join to unique totals that survives one key holding much of the rows.
 
-    Each key is cut into slices by a hash of the row's other columns (the same on a retried
-    task), and each total is repeated once per slice. AQE still turns the join into a broadcast
-    when the totals prove small at run time.
+    Each key is cut into slices by a hash of ``spread_by`` (the row's other columns), and each total
+    is repeated once per slice. Both sides then have an exchange of their own right below the
+    join, which is what AQE needs to cut a partition that is still too large, or to turn the join
+    into a broadcast when the totals prove small.
 
     Keys compare NULL-safe and the totals of NULL keys are blanked afterwards. A plain left join
     gives the same rows, but Catalyst would push its not-null test into the totals' side only, and
     two sides that come from the same rows could then no longer share one exchange.
     """
-    others = [name for name in rows.columns if name not in keys]
-    sliced_rows = rows.withColumn(
-        "_slice", F.pmod(F.xxhash64(*others), F.lit(SLICES)) if others else F.lit(0).cast("long")
-    )
+    if spread_by is None:
+        spread_by = [name for name in rows.columns if name not in keys]
+    spread = F.pmod(F.xxhash64(*spread_by), F.lit(SLICES)) if spread_by else F.lit(0).cast("long")
+    sliced_rows = rows.withColumn("_slice", spread)
     sliced_totals = totals.withColumn(
         "_slice", F.explode(F.expr(f"sequence(0L, {SLICES - 1}L)"))
     ).withColumnsRenamed({key: f"_of_{key}" for key in [*keys, "_slice"]})
@@ -112,6 +116,13 @@ def group_share(
         F.sum(counted).alias(total),
         *[column.alias(name) for name, column in (more_totals or {}).items()],
     )
-    return join_totals_sliced(groups, totals, within).withColumn(
+    # Sums of doubles may differ in their last bit when a lost task runs again, so they must not
+    # decide where a group goes.
+    exact = [
+        field.name
+        for field in groups.schema.fields
+        if field.name not in within and not isinstance(field.dataType, T.FractionalType)
+    ]
+    return join_totals_sliced(groups, totals, within, exact).withColumn(
         share, percent(value, total, digits)
     )

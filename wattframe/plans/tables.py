@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattframe.functions import fixed_values as fixed
-from wattframe.functions.measures import mean
+from wattframe.functions.measures import ratio
 from wattframe.operators.changes import change_from_previous
 from wattframe.operators.pivots import pivot_discovered, pivot_named, pivot_share
 from wattframe.operators.rows import doubles
@@ -152,16 +152,15 @@ def _coal_share(clean: DataFrame, keys: list[str], share: str, aggregates: dict)
     )
     if aggregates:
         groups = keep(groups)
-    us_mean = F.try_divide(F.sum("_price_sum").cast("double"), F.sum("_price_count").cast("double"))
+    us_mean = ratio(F.sum("_price_sum"), F.sum("_price_count"))
     shared = group_share(
         groups, "total_short_tons", _COAL_TOTAL_KEYS, total="us_total_short_tons", share=share,
         more_totals={"us_avg_price_usd_per_ton": us_mean},
     )
-    own_mean = F.try_divide(F.col("_price_sum").cast("double"), F.col("_price_count").cast("double"))
     return doubles(
         shared.select(
             *_COAL_TOTAL_KEYS, *keys, "total_short_tons",
-            own_mean.alias("avg_price_usd_per_ton"),
+            ratio("_price_sum", "_price_count").alias("avg_price_usd_per_ton"),
             *aggregates, "us_total_short_tons", "us_avg_price_usd_per_ton", share,
         )
     )
@@ -194,13 +193,25 @@ def coal_by_district(clean: DataFrame) -> DataFrame:
 
 
 def coal_by_rank(clean: DataFrame) -> DataFrame:
-    """Trade, price range and number of countries and districts per direction and rank."""
+    """Trade, price range and number of countries and districts per direction and rank.
+
+    Two distinct counts multiply the rows they see, so the rows are first summed per country and
+    district.
+    """
+    keys = [*_COAL_TOTAL_KEYS, "coal_rank_desc"]
+    by_route = clean.groupBy(*keys, "country_id", "customs_district_id").agg(
+        F.sum("quantity_short_tons").alias("_tons"),
+        F.sum("price_usd_per_ton").alias("_price_sum"),
+        F.count("price_usd_per_ton").alias("_price_count"),
+        F.min("price_usd_per_ton").alias("_price_min"),
+        F.max("price_usd_per_ton").alias("_price_max"),
+    )
     return doubles(
-        clean.groupBy(*_COAL_TOTAL_KEYS, "coal_rank_desc").agg(
-            F.sum("quantity_short_tons").alias("total_short_tons"),
-            mean("price_usd_per_ton").alias("avg_price_usd_per_ton"),
-            F.min("price_usd_per_ton").alias("min_price_usd_per_ton"),
-            F.max("price_usd_per_ton").alias("max_price_usd_per_ton"),
+        by_route.groupBy(*keys).agg(
+            F.sum("_tons").alias("total_short_tons"),
+            ratio(F.sum("_price_sum"), F.sum("_price_count")).alias("avg_price_usd_per_ton"),
+            F.min("_price_min").alias("min_price_usd_per_ton"),
+            F.max("_price_max").alias("max_price_usd_per_ton"),
             F.countDistinct("country_id").alias("num_countries"),
             F.countDistinct("customs_district_id").alias("num_districts"),
         )

@@ -38,7 +38,9 @@ def read_picked_up(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _year_of(rows: DataFrame) -> Column:
-    return F.year("period") if "period" in rows.columns else F.col("year")
+    """The folder of a row. What is no calendar year shares one folder, so folders stay few."""
+    year = F.year("period") if "period" in rows.columns else F.col("year")
+    return F.when(year.between(1, 9999), year)
 
 
 def append_new_rows(rows: DataFrame, path: str, batch: str) -> None:
