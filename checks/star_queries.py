@@ -929,14 +929,15 @@ def load_period_list(spark, sf_dir):
 
 @check(
     "q28_latest_revision",
-    """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+    """SELECT * EXCLUDE (rn) REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
   ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC,
   l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) AS rn FROM lineitem) WHERE rn = 1""",
 )
 def newest_lines(spark, sf_dir):
-    return latest_revision(
-        table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], [F.desc("l_shipdate")]
+    lines = table(spark, sf_dir, "lineitem").withColumn(
+        "l_shipdate", F.col("l_shipdate").cast("date")
     )
+    return latest_revision(lines, ["l_orderkey", "l_linenumber"], [F.desc("l_shipdate")])
 
 
 @check(

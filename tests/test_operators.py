@@ -57,8 +57,7 @@ def expected_shares(rows):
 
 @pytest.mark.parametrize("bound", [shares.MAX_BROADCAST_BYTES, 0])
 def test_row_share_with_and_without_broadcast(facts, monkeypatch, bound):
-    real = shares.broadcast_or_none
-    monkeypatch.setattr(shares, "broadcast_or_none", lambda table: real(table, bound))
+    monkeypatch.setattr(shares, "MAX_BROADCAST_BYTES", bound)
     shared = shares.row_share(facts, "value", ["key"], total="total", share="pct")
     found = {row["id"]: (row["total"], row["pct"]) for row in shared.collect()}
     wanted = expected_shares(facts.collect())
@@ -69,9 +68,11 @@ def test_row_share_with_and_without_broadcast(facts, monkeypatch, bound):
 
 
 def test_size_check_measures_bytes(facts):
-    kept, fits = shares.broadcast_or_none(facts, 1000)
-    assert not fits and kept.count() == facts.count()
-    assert shares.broadcast_or_none(facts)[1]
+    kept, size = shares.keep_measured(facts)
+    texts = sum(len(row["key"] or "") + len(row["member"]) for row in facts.collect())
+    assert kept.count() == facts.count()
+    assert size == texts + facts.count() * 4 * shares.FIELD_BYTES
+    assert shares.keep_measured(facts.limit(0))[1] == 0
 
 
 def test_group_shares_sum_to_hundred(facts):

@@ -20,11 +20,10 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 FIELD_BYTES = 16
 
 
-def broadcast_or_none(table: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES):
-    """``(table, fits)``: the table computed once and kept, and whether it may be broadcast.
+def keep_measured(table: DataFrame) -> tuple[DataFrame, int]:
+    """The table computed once and kept, and its size in memory: fixed fields and bytes of texts.
 
-    The size is measured, not guessed, as fixed fields plus the bytes of texts. The kept copy
-    serves both outcomes, so the check costs no second computation.
+    The kept copy serves whatever follows from the size, so the check costs no second computation.
     """
     kept = keep(table)
     widths = [
@@ -33,8 +32,7 @@ def broadcast_or_none(table: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES):
         for name, kind in kept.dtypes
     ]
     row_bytes = reduce(lambda a, b: a + b, widths).cast("long")
-    size = kept.agg(F.coalesce(F.sum(row_bytes), F.lit(0))).first()[0]
-    return kept, size <= max_bytes
+    return kept, kept.agg(F.coalesce(F.sum(row_bytes), F.lit(0))).first()[0]
 
 
 def join_totals_sliced(
@@ -73,8 +71,8 @@ def join_totals(rows: DataFrame, totals: DataFrame, keys: list[str]) -> DataFram
     The totals are computed first and broadcast when their measured size allows it, so the rows
     are only scanned. Beyond the bound the sliced join takes over.
     """
-    kept, fits = broadcast_or_none(totals)
-    if fits:
+    kept, size = keep_measured(totals)
+    if size <= MAX_BROADCAST_BYTES:
         return rows.join(F.broadcast(kept), keys, "left")
     return join_totals_sliced(rows, kept, keys)
 
