@@ -11,14 +11,16 @@ from checks.feeds import feed, feed_sql
 from checks.registry import check
 from wattframe.plans import serving
 from wattframe.plans.cleaning import CLEANING
+from wattframe.plans.refresh import refresh
 from wattframe.plans.tables import (
     ANALYSES,
     RESULT_TABLES,
     electricity_by_fuel,
     gas_production,
 )
-from wattframe.session import keep
-from wattframe.sources.catalog import TABLES
+from wattframe.session import keep, scratch_path
+from wattframe.sources.catalog import SOURCES, TABLES
+from wattframe.sources.files import raw_folder, write_csv
 
 EXACT = "decimal(18,2)"  # the feeds have two decimals; exact sums compare bit for bit
 
@@ -537,3 +539,20 @@ def _mean_rank(spark, sf_dir):
         "carbon_dioxide_rank", F.round("carbon_dioxide_rank", 6)
     )
 
+
+
+@check(
+    "s08_refresh_then_trend",
+    f"""WITH tab AS ({TABLE_SQL["ng_intl_trade"]})
+SELECT year, round(coalesce(sum(net_intl_mmcf), 0), 2) AS net_intl_mmcf FROM tab GROUP BY year""",
+)
+def _refreshed_trend(spark, sf_dir):
+    """From raw CSV files through a full refresh to a query on the stored table."""
+    base = scratch_path(spark, "refresh")
+    source, spec = SOURCES["natural_gas_trade"], TABLES["ng_intl_trade"]
+    write_csv(feed(spark, sf_dir, source.name), raw_folder(base, source, "1995", "2001"))
+    refresh(spark, base, [source.name])
+    rows = serving.load(spark, spec, f"{base}/processed")
+    return serving.trend(rows, spec, "net_intl_mmcf").withColumn(
+        "net_intl_mmcf", F.round("net_intl_mmcf", 2)
+    )

@@ -104,9 +104,20 @@ def test_doubled_extract_with_repeated_header(spark, tmp_path):
 
 
 def test_a_file_without_header_is_an_error(spark, tmp_path):
-    put(tmp_path / "a.csv", 'a,b\n"x\n",2\n')
-    with pytest.raises(ValueError, match="header"):
+    put(tmp_path / "a" / "a.csv", 'a,b\n"x\n",2\n')
+    put(tmp_path / "b" / "b.csv", "a,b\n1,a long period\n")
+    for folder in ("a", "b"):
+        with pytest.raises(ValueError, match="header"):
+            read_csv(spark, str(tmp_path / folder))
+
+
+def test_empty_files_count_for_nothing(spark, tmp_path):
+    put(tmp_path / "empty.csv", "")
+    with pytest.raises(FileNotFoundError):
         read_csv(spark, str(tmp_path))
+    put(tmp_path / "a.csv", "period,value\n2025-01,1\n")
+    put(tmp_path / "header only.csv", "value,period\n")
+    assert rows(read_csv(spark, str(tmp_path)), "period", "value") == [("2025-01", "1")]
 
 
 def test_pages(spark, tmp_path):

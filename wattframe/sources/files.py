@@ -84,9 +84,9 @@ def csv_layouts(spark: SparkSession, paths: list[str], key: str = "period") -> d
     )
     layouts: dict[tuple[tuple[str, ...], bool], list[str]] = {}
     for row in per_file.toLocalIterator():  # one row per file, as many as the listing itself has
-        if row["header"] is None:
+        header = tuple(next(csv.reader([row["header"] or ""]), ()))
+        if key not in header:
             raise ValueError(f"no header with a column {key!r} in {row['path']}")
-        header = tuple(next(csv.reader([row["header"]])))
         layouts.setdefault((header, row["spans"]), []).append(unquote(row["path"]))
     return layouts
 
@@ -119,6 +119,8 @@ def read_csv(
     if not paths:
         raise FileNotFoundError(f"no CSV files below {root}")
     layouts = {(tuple(columns), False): paths} if columns else csv_layouts(spark, paths, key)
+    if not layouts:
+        raise FileNotFoundError(f"only empty CSV files below {root}")
 
     def read_layout(layout, layout_paths):
         header, spans_lines = layout
