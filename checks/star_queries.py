@@ -1045,3 +1045,38 @@ def streamed_pick_up(spark, sf_dir):
     picked = read_picked_up(spark, f"{base}/table")
     return _by_period(picked.withColumn("period", F.date_format("period", "yyyy-MM")))
 
+
+
+@check(
+    "q33b_latest_revision_of_deliveries",
+    f"""SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS period, o_orderkey,
+  o_orderpriority AS priority, CAST(CASE WHEN o_orderstatus = 'F' THEN 2 * {AMOUNT_SQL}
+    ELSE {AMOUNT_SQL} END AS DOUBLE) AS amount FROM orders""",
+)
+def streamed_revisions(spark, sf_dir):
+    """Orders land twice, filled ones with a revised value; the last delivery of each counts."""
+    base = scratch_path(spark, "revisions")
+    filled = F.col("o_orderstatus") == "F"
+
+    def extract(amount):
+        return table(spark, sf_dir, "orders").select(
+            F.date_format("o_orderdate", "yyyy-MM").alias("period"), "o_orderkey",
+            F.col("o_orderpriority").alias("priority"), amount.cast("string").alias("value"),
+        )
+
+    def clean(raw):
+        return raw.select(
+            month_start("period").alias("period"), F.col("o_orderkey").cast("long"), "priority",
+            number("value").alias("amount"),
+        )
+
+    first = extract(money("o_totalprice"))
+    second = extract(F.when(filled, money("o_totalprice") * 2).otherwise(money("o_totalprice")))
+    for number_, landed in enumerate((first, second)):
+        write_csv(landed, f"{base}/landing/{number_}")
+        pick_up(
+            spark, f"{base}/landing", landed.columns, clean, f"{base}/table", f"{base}/state",
+            every_delivery=True,
+        ).awaitTermination()
+    picked = read_picked_up(spark, f"{base}/table", picked_at=True)
+    return latest_revision(picked, ["o_orderkey"], [F.desc("picked_at")]).drop("picked_at")

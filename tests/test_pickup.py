@@ -1,3 +1,6 @@
+from pyspark.sql import functions as F
+
+from wattframe.operators.rows import latest_revision
 from wattframe.plans.cleaning import natural_gas
 from wattframe.streaming.pickup import append_new_rows, pick_up, read_picked_up, stored_rows
 
@@ -44,3 +47,15 @@ def test_a_repeated_batch_replaces_only_itself(spark, tmp_path):
         append_new_rows(second, path, "q-1")
         found = sorted((tuple(r) for r in read_picked_up(spark, path).collect()), key=repr)
         assert found == [(2024, "a"), (2024, "b"), (2025, "c"), (None, "n")]
+
+
+def test_latest_revision_of_every_delivery(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for batch, value in enumerate(["first", "second", "first"]):
+        delivered = spark.createDataFrame([(2024, "k", value)] * 2, "year int, key string, v string")
+        append_new_rows(delivered, path, f"q-{batch}", every_delivery=True)
+    rows = read_picked_up(spark, path, picked_at=True)
+    assert rows.count() == 3
+    latest = latest_revision(rows, ["year", "key"], [F.desc("picked_at")])
+    assert [row["v"] for row in latest.collect()] == ["first"]
+    assert read_picked_up(spark, path).columns == ["year", "key", "v"]

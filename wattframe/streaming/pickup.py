@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wattframe.sources.files import text_schema
 
 BATCH, BUCKET = "batch_id", "period_year"
+PICKED_AT = "picked_at"
 QUERY_ID = "sql.streaming.queryId"
 
 
@@ -32,9 +33,10 @@ def stored_rows(spark: SparkSession, path: str) -> DataFrame | None:
     return table.withColumns({BATCH: F.col(BATCH).cast("string"), BUCKET: F.col(BUCKET).cast("int")})
 
 
-def read_picked_up(spark: SparkSession, path: str) -> DataFrame:
-    """The cleaned rows; distinct, as every batch appends only what is new."""
-    return spark.read.parquet(path).drop(BATCH, BUCKET)
+def read_picked_up(spark: SparkSession, path: str, picked_at: bool = False) -> DataFrame:
+    """The cleaned rows, and with ``picked_at`` when each was picked up, which orders revisions."""
+    hidden = [BATCH, BUCKET] if picked_at else [BATCH, BUCKET, PICKED_AT]
+    return spark.read.parquet(path).drop(*hidden)
 
 
 def _year_of(rows: DataFrame) -> Column:
@@ -43,18 +45,22 @@ def _year_of(rows: DataFrame) -> Column:
     return F.when(year.between(1, 9999), year)
 
 
-def append_new_rows(rows: DataFrame, path: str, batch: str) -> None:
+def append_new_rows(
+    rows: DataFrame, path: str, batch: str, every_delivery: bool = False
+) -> None:
     """Append the distinct rows that other batches did not bring.
 
     Only folders of the years in this batch are compared. The set difference matches NULLs too.
+    ``every_delivery`` appends rows that are known as well: where the latest revision of a key
+    counts, a value that returns to what it was before must not be lost.
     """
     spark = rows.sparkSession
     fresh = rows.withColumn(BUCKET, _year_of(rows)).persist()
-    stored = stored_rows(spark, path)
+    stored = None if every_delivery else stored_rows(spark, path)
     if stored is None:
         new = fresh.dropDuplicates()
     else:
-        # Calendar years of a date, or published years: a handful per batch.
+        # Calendar years: a handful per batch.
         years = [row[0] for row in fresh.select(BUCKET).distinct().toLocalIterator()]
         same_years = F.col(BUCKET).isin([year for year in years if year is not None])
         if None in years:
@@ -62,7 +68,8 @@ def append_new_rows(rows: DataFrame, path: str, batch: str) -> None:
         others = stored.where((F.col(BATCH) != batch) & same_years).select(*fresh.columns)
         new = fresh.subtract(others)
     (
-        new.write.mode("overwrite")
+        new.withColumn(PICKED_AT, F.current_timestamp())
+        .write.mode("overwrite")
         .partitionBy(BUCKET)
         .parquet(f"{path.rstrip('/')}/{BATCH}={batch}")
     )
@@ -77,10 +84,13 @@ def pick_up(
     table_path: str,
     checkpoint_path: str,
     max_files: int | None = None,
+    every_delivery: bool = False,
 ) -> StreamingQuery:
     """Start a run over all files landed since the last one; it ends by itself.
 
-    ``columns`` is the header of the landed files; Spark raises when a file has another one.
+    ``columns`` is the header of the landed files; Spark raises when a file has another one. By
+    default the table holds distinct rows. With ``every_delivery`` it holds each delivery of a
+    row, from which ``latest_revision`` by ``picked_at`` takes the last one per key.
     """
     reader = (
         spark.readStream.schema(text_schema(columns))
@@ -95,7 +105,7 @@ def pick_up(
 
     def append(raw: DataFrame, number: int) -> None:
         query = raw.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
-        append_new_rows(clean(raw), table_path, f"{query}-{number}")
+        append_new_rows(clean(raw), table_path, f"{query}-{number}", every_delivery)
 
     return (
         reader.csv(landing)
