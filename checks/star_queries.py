@@ -375,7 +375,7 @@ def labelled_long(spark, sf_dir):
     f"""WITH g AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, n_name AS nation,
   sum({AMOUNT_SQL}) AS order_value FROM {_ORDERS_SQL} GROUP BY ALL),
 t AS (SELECT year, sum(order_value) AS year_value FROM g GROUP BY ALL),
-p AS (SELECT *, lag(order_value) OVER (PARTITION BY nation ORDER BY year) AS previous FROM g)
+p AS (SELECT *, lag(order_value) OVER (PARTITION BY nation ORDER BY year NULLS FIRST) AS previous FROM g)
 SELECT p.year, nation, CAST(order_value AS DOUBLE) AS order_value,
   CAST(year_value AS DOUBLE) AS year_value, {_pct("order_value", "year_value", 4)} AS pct_of_year,
   CAST(order_value - previous AS DOUBLE) AS yoy_change,
@@ -402,7 +402,7 @@ def nation_year_change(spark, sf_dir):
     f"""WITH g AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, l_returnflag, l_linestatus,
   n_name AS nation, sum({PRICE_SQL}) AS line_value FROM {_LINES_SQL} GROUP BY ALL),
 p AS (SELECT *, lag(line_value) OVER w AS previous, lag(year) OVER w AS previous_year FROM g
-  WINDOW w AS (PARTITION BY l_returnflag, l_linestatus, nation ORDER BY year))
+  WINDOW w AS (PARTITION BY l_returnflag, l_linestatus, nation ORDER BY year NULLS FIRST))
 SELECT year, l_returnflag, l_linestatus, nation, CAST(line_value AS DOUBLE) AS line_value,
   CAST(line_value - previous AS DOUBLE) AS change,
   {_pct("(line_value - previous)", "previous", 2)} AS change_pct FROM p""",
@@ -584,12 +584,12 @@ def presence(spark, sf_dir):
 
 
 _TEXT_SQL = """SELECT o_orderkey,
-  concat(' ', CASE o_orderstatus WHEN 'P' THEN concat(substr(CAST(o_orderdate AS VARCHAR), 1, 4), '-13')
+  (' ' || CASE o_orderstatus WHEN 'P' THEN (substr(CAST(o_orderdate AS VARCHAR), 1, 4) || '-13')
     ELSE substr(CAST(o_orderdate AS VARCHAR), 1, 7) END) AS month_text,
   substr(CAST(o_orderdate AS VARCHAR), 1, 10) AS day_text,
   substr(CAST(o_orderdate AS VARCHAR), 1, 4) AS year_text,
   CASE o_orderpriority WHEN '5-LOW' THEN 'NA'
-    ELSE concat(' ', CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR), ' ') END AS amount_text
+    ELSE (' ' || CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) || ' ') END AS amount_text
 FROM orders"""
 
 
@@ -633,7 +633,7 @@ def parsing(spark, sf_dir):
 @check(
     "q25b_period_labels",
     """SELECT strftime(o_orderdate, '%B %Y') AS month_label,
-  concat('Week ', CAST(week(o_orderdate) AS VARCHAR), ', ', CAST(isoyear(o_orderdate) AS VARCHAR)) AS week_label,
+  'Week ' || CAST(week(o_orderdate) AS VARCHAR) || ', ' || CAST(isoyear(o_orderdate) AS VARCHAR) AS week_label,
   CAST(year(o_orderdate) AS VARCHAR) AS year_label, count(*) AS n FROM orders GROUP BY ALL""",
 )
 def period_labels(spark, sf_dir):
@@ -737,10 +737,10 @@ def month_slice(spark, sf_dir):
 
 @check(
     "q17_choices",
-    """SELECT DISTINCT 'year' AS kind, CAST(year(o_orderdate) AS INTEGER) AS choice FROM orders
-UNION ALL SELECT DISTINCT 'month', CAST(month(o_orderdate) AS INTEGER) FROM orders
-UNION ALL SELECT DISTINCT 'week', CAST(week(o_orderdate) AS INTEGER) FROM orders
-UNION ALL SELECT DISTINCT 'iso_year', CAST(isoyear(o_orderdate) AS INTEGER) FROM orders""",
+    """SELECT DISTINCT 'year' AS kind, CAST(year(o_orderdate) AS INTEGER) AS choice FROM orders WHERE o_orderdate IS NOT NULL
+UNION ALL SELECT DISTINCT 'month', CAST(month(o_orderdate) AS INTEGER) FROM orders WHERE o_orderdate IS NOT NULL
+UNION ALL SELECT DISTINCT 'week', CAST(week(o_orderdate) AS INTEGER) FROM orders WHERE o_orderdate IS NOT NULL
+UNION ALL SELECT DISTINCT 'iso_year', CAST(isoyear(o_orderdate) AS INTEGER) FROM orders WHERE o_orderdate IS NOT NULL""",
 )
 def choices(spark, sf_dir):
     days = F.col("o_orderdate").cast("date").alias("period")
@@ -763,7 +763,7 @@ def choices(spark, sf_dir):
 
 @check(
     "q18_top_parts",
-    f"""SELECT p_name, CAST(sum({PRICE_SQL}) AS DOUBLE) AS amount
+    f"""SELECT p_name, CAST(coalesce(sum({PRICE_SQL}), 0) AS DOUBLE) AS amount
 FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_name
 ORDER BY amount DESC, p_name LIMIT 15""",
 )
@@ -779,7 +779,7 @@ def top_parts(spark, sf_dir):
 @check(
     "q19_top_parts_per_nation",
     f"""SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY nation ORDER BY amount DESC, l_partkey) AS INTEGER) AS position
-FROM (SELECT n_name AS nation, l_partkey, CAST(sum({PRICE_SQL}) AS DOUBLE) AS amount
+FROM (SELECT n_name AS nation, l_partkey, CAST(coalesce(sum({PRICE_SQL}), 0) AS DOUBLE) AS amount
   FROM {_LINES_SQL} GROUP BY ALL)) WHERE position <= 10""",
 )
 def top_parts_per_nation(spark, sf_dir):
@@ -792,8 +792,8 @@ def top_parts_per_nation(spark, sf_dir):
 
 @check(
     "q20_trend",
-    f"""SELECT {MONTH_SQL} AS period, CAST(sum({AMOUNT_SQL}) AS DOUBLE) AS amount
-FROM orders GROUP BY 1 ORDER BY 1""",
+    f"""SELECT {MONTH_SQL} AS period, CAST(coalesce(sum({AMOUNT_SQL}), 0) AS DOUBLE) AS amount
+FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1 ORDER BY 1""",
 )
 def trend(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select(
@@ -804,8 +804,8 @@ def trend(spark, sf_dir):
 
 @check(
     "q21_trend_of_one_place",
-    f"""SELECT period, CAST(sum(amount) AS DOUBLE) AS amount FROM ({_ORDER_ROWS_SQL})
-WHERE state = 'NATION_3' GROUP BY period ORDER BY period""",
+    f"""SELECT period, CAST(coalesce(sum(amount), 0) AS DOUBLE) AS amount FROM ({_ORDER_ROWS_SQL})
+WHERE state = 'NATION_3' AND period IS NOT NULL GROUP BY period ORDER BY period""",
 )
 def trend_of_place(spark, sf_dir):
     rows = _order_rows(spark, sf_dir)
@@ -815,7 +815,7 @@ def trend_of_place(spark, sf_dir):
 @check(
     "q22_full_ranking",
     f"""SELECT o_custkey, amount, row_number() OVER (ORDER BY amount DESC, o_custkey) AS position
-FROM (SELECT o_custkey, CAST(sum({AMOUNT_SQL}) AS DOUBLE) AS amount FROM orders GROUP BY 1)""",
+FROM (SELECT o_custkey, CAST(coalesce(sum({AMOUNT_SQL}), 0) AS DOUBLE) AS amount FROM orders GROUP BY 1)""",
 )
 def full_ranking(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select("o_custkey", money("o_totalprice").alias("amount"))
@@ -1009,7 +1009,7 @@ def file_round_trip(spark, sf_dir):
     base = scratch_path(spark, "round-trip")
     rows = _order_extract(spark, sf_dir)
     source = SOURCES["steo"]
-    urgent = F.col("priority") == "1-URGENT"
+    urgent = F.col("priority").eqNullSafe("1-URGENT")
     write_csv(rows.where(~urgent), raw_folder(base, source, "1995-01", "2001-08"))
     write_csv(
         rows.where(urgent).select("value", "priority", "period", "o_orderkey"),

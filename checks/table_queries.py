@@ -274,7 +274,7 @@ _STATE_KEYS = "year, state_id, state_name"
 
 
 def _state_share_sql(where: str, share: str) -> str:
-    lag = "lag(total_btu) OVER (PARTITION BY state_id ORDER BY year, state_name)"
+    lag = "lag(total_btu) OVER (PARTITION BY state_id ORDER BY year NULLS FIRST, state_name NULLS FIRST)"
     return _with_more(
         "seds",
         f"""g AS (SELECT {_STATE_KEYS}, sum(value) AS total_btu FROM clean
@@ -388,7 +388,7 @@ FROM clean GROUP BY {_COAL_KEYS}, coal_rank_desc""",
     "coal_country_yoy": f"""SELECT *, total_short_tons - previous AS yoy_change_short_tons,
   {_pct("(total_short_tons - previous)", "previous", 2)} AS yoy_change_pct
 FROM (SELECT *, lag(total_short_tons) OVER (PARTITION BY export_import_type, coal_rank_id, country_id
-  ORDER BY year, coal_rank_desc, country_desc) AS previous FROM ({_COUNTRY_SQL}))""".replace(
+  ORDER BY year NULLS FIRST, coal_rank_desc NULLS FIRST, country_desc NULLS FIRST) AS previous FROM ({_COUNTRY_SQL}))""".replace(
         "SELECT *, total_short_tons", "SELECT * EXCLUDE (previous), total_short_tons", 1
     ),
     "coal_rank_pivot": _with_clean(
@@ -491,7 +491,7 @@ def _breakdown_all(spark, sf_dir):
     "s04_trend_one_place",
     f"""WITH tab AS ({TABLE_SQL["electricity_by_fuel"]})
 SELECT period, round(coalesce(sum(consumption_btu), 0), 2) AS consumption_btu
-FROM tab WHERE state_name = 'NATION_15' GROUP BY period""",
+FROM tab WHERE state_name = 'NATION_15' AND period IS NOT NULL GROUP BY period""",
 )
 def _trend_one(spark, sf_dir):
     spec = TABLES["electricity_by_fuel"]
@@ -530,7 +530,8 @@ def _top_week(spark, sf_dir):
 @check(
     "s07_unadditive_metric_mean",
     f"""WITH tab AS ({TABLE_SQL["electricity_rankings"]})
-SELECT year, round(avg(carbon_dioxide_rank), 6) AS carbon_dioxide_rank FROM tab GROUP BY year""",
+SELECT year, round(avg(carbon_dioxide_rank), 6) AS carbon_dioxide_rank FROM tab
+WHERE year IS NOT NULL GROUP BY year""",
 )
 def _mean_rank(spark, sf_dir):
     spec = TABLES["electricity_rankings"]
@@ -544,7 +545,8 @@ def _mean_rank(spark, sf_dir):
 @check(
     "s08_refresh_then_trend",
     f"""WITH tab AS ({TABLE_SQL["ng_intl_trade"]})
-SELECT year, round(coalesce(sum(net_intl_mmcf), 0), 2) AS net_intl_mmcf FROM tab GROUP BY year""",
+SELECT year, round(coalesce(sum(net_intl_mmcf), 0), 2) AS net_intl_mmcf FROM tab
+WHERE year IS NOT NULL GROUP BY year""",
 )
 def _refreshed_trend(spark, sf_dir):
     """From raw CSV files through a full refresh to a query on the stored table."""

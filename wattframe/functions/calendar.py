@@ -50,5 +50,7 @@ def period_label(grain: str, period: Column | None = None, year: Column | None =
         return F.date_format(period, "MMMM yyyy")
     if grain == WEEKLY:
         parts = calendar_columns(period, WEEKLY)
-        return F.format_string("Week %d, %d", parts["week"], parts["year"])
+        return F.concat(
+            F.lit("Week "), parts["week"].cast("string"), F.lit(", "), parts["year"].cast("string")
+        )
     return year.cast("string")
