@@ -139,8 +139,8 @@ def electricity(raw: DataFrame, measure: str = "double") -> DataFrame:
     return distinct_rows(typed.where(any_present("consumption_thousand_mwh", "consumption_btu")))
 
 
-def electricity_state_rankings(raw: DataFrame, measure: str = "int") -> DataFrame:
-    """Annual state ranks; at least one rank must be there."""
+def electricity_state_rankings(raw: DataFrame, measure: str = "double") -> DataFrame:
+    """Annual state ranks; at least one rank must be there. Ranks are int whatever ``measure``."""
     ranks = {name: name.replace("-", "_") for name in fixed.RANKING_COLUMNS}
     typed = raw.select(
         year_number("period").alias("year"),
