@@ -825,12 +825,13 @@ def full_ranking(spark, sf_dir):
 
 @check(
     "q23_snapshot",
-    f"""SELECT CAST(count(*) AS BIGINT) AS orders, min(segment) AS segment
+    f"""SELECT CAST(coalesce(sum(amount), 0) AS DOUBLE) AS amount, CAST(count(*) AS BIGINT) AS orders,
+  min(segment) AS segment
 FROM ({_ORDER_ROWS_SQL}) WHERE state = 'NATION_5' AND year(period) = 1999""",
 )
 def snapshot(spark, sf_dir):
     rows = serving.time_slice(_order_rows(spark, sf_dir), ORDERS_TABLE, 1999)
-    return serving.snapshot(rows, ORDERS_TABLE, "NATION_5")
+    return doubles(serving.snapshot(rows, ORDERS_TABLE, "NATION_5"))
 
 
 @check(

@@ -503,13 +503,16 @@ def _trend_one(spark, sf_dir):
 @check(
     "s05_snapshot",
     f"""WITH tab AS ({TABLE_SQL["electricity_net_metering"]})
-SELECT CAST(coalesce(sum(customers_count), 0) AS BIGINT) AS customers_count, min("sectorName") AS "sectorName"
+SELECT round(coalesce(sum(capacity_mw), 0), 2) AS capacity_mw,
+  CAST(coalesce(sum(customers_count), 0) AS BIGINT) AS customers_count, min("sectorName") AS "sectorName"
 FROM tab WHERE state_name = 'NATION_15' AND year = 1998""",
 )
 def _snapshot(spark, sf_dir):
     spec = TABLES["electricity_net_metering"]
     rows = serving.time_slice(_prepared(spark, sf_dir, spec.name), spec, 1998)
-    return serving.snapshot(rows, spec, "NATION_15")
+    return serving.snapshot(rows, spec, "NATION_15").withColumn(
+        "capacity_mw", F.round("capacity_mw", 2)
+    )
 
 
 @check(

@@ -74,6 +74,7 @@ def test_place_queries(rows):
 def test_drill_down(rows):
     month = serving.time_slice(rows, SPEC, 2024, month=1)
     seen = serving.snapshot(month, SPEC, "Texas").first().asDict()
+    assert seen.pop("consumption_thousand_mwh") == 12.0
     assert seen == {"fuel_type_label": "Coal", "consumption_btu": 3.0, "us_fuel_thousand_mwh": 18.0,
                     "pct_us_fuel_consumption": 3.0}
     trend = serving.trend(rows, SPEC, SPEC.value, place="Ohio")
@@ -144,3 +145,15 @@ def test_other_aggregate_for_metrics_that_do_not_add(spark):
     )
     rows = serving.prepare(table, spec)
     assert listed(serving.by_place(rows, spec.value, agg=F.avg), spec.value) == [(2.5,)]
+
+
+def test_a_table_without_breakdown_or_metric_says_so(spark):
+    spec = TABLES["seds_fuel_pivot"]
+    table = spark.createDataFrame([(2024, "TX", "Texas", 1.0)], "year int, state_id string, state_name string, TE double")
+    rows = serving.prepare(table, spec)
+    with pytest.raises(ValueError):
+        serving.breakdown(rows, spec, "Texas")
+    with pytest.raises(ValueError):
+        serving.ranking(rows, spec, None)
+    assert serving.snapshot(rows, spec, "Texas", "TE").first()["TE"] == 1.0
+    assert serving.trend(rows, spec, "TE").collect()[0]["TE"] == 1.0

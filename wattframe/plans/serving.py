@@ -121,27 +121,37 @@ def states_only(rows: DataFrame) -> DataFrame:
     )
 
 
+def _group_and_metric(rows: DataFrame, spec: TableSpec, metric: str | None) -> tuple[str, str]:
+    group, value = dimension(rows, spec), metric_or_default(rows, spec, metric)
+    if group is None or value not in rows.columns:
+        raise ValueError(f"{spec.name} has nothing to group by or no metric {metric!r}")
+    return group, value
+
+
 def top_places(
     rows: DataFrame, spec: TableSpec, metric: str | None, n: int = TOP_PLACES, agg=F.sum
 ) -> DataFrame:
     """The ``n`` largest places (or breakdown members) of a slice."""
-    group = dimension(rows, spec)
-    metric = metric_or_default(rows, spec, metric)
-    return top_n(sum_by(rows, [group], metric, agg), metric, n, [group])
+    group, value = _group_and_metric(rows, spec, metric)
+    return top_n(sum_by(rows, [group], value, agg), value, n, [group])
 
 
-def snapshot(rows: DataFrame, spec: TableSpec, place: str) -> DataFrame:
-    """One row about a place in a slice: numeric extras summed, text extras one value each.
+def snapshot(
+    rows: DataFrame, spec: TableSpec, place: str, metric: str | None = None, agg=F.sum
+) -> DataFrame:
+    """One row about a place in a slice: the metric, numeric extras summed, text extras one value.
 
     Of several texts the smallest is taken, so that the answer does not depend on row order.
     """
+    value = metric_or_default(rows, spec, metric)
     numeric = numeric_columns(rows)
-    extras = [name for name in spec.extras if name in rows.columns]
+    names = dict.fromkeys([value, *spec.extras])
     return rows.where(F.col(PLACE) == place).agg(
         *[
-            F.coalesce(F.sum(name), F.lit(0)).alias(name) if name in numeric
+            F.coalesce(agg(name), F.lit(0)).alias(name) if name in numeric
             else F.min(name).alias(name)
-            for name in extras
+            for name in names
+            if name in rows.columns
         ]
     )
 
@@ -160,6 +170,8 @@ def breakdown(
 ) -> DataFrame:
     """The ``n`` largest breakdown members of one place in a slice, or of every place at once."""
     member, value = spec.breakdown, spec.breakdown_value
+    if not {member, value} <= set(rows.columns):
+        raise ValueError(f"{spec.name} has no breakdown")
     if place is not None:
         groups = sum_by(rows.where(F.col(PLACE) == place), [member], value, agg)
         return top_n(groups, value, n, [member])
@@ -168,6 +180,5 @@ def breakdown(
 
 def ranking(rows: DataFrame, spec: TableSpec, metric: str | None, agg=F.sum) -> DataFrame:
     """Every place (or breakdown member) of a slice with its 1-based position."""
-    group = dimension(rows, spec)
-    metric = metric_or_default(rows, spec, metric)
-    return rank_all(sum_by(rows, [group], metric, agg), [F.desc(metric), F.asc(group)])
+    group, value = _group_and_metric(rows, spec, metric)
+    return rank_all(sum_by(rows, [group], value, agg), [F.desc(value), F.asc(group)])
