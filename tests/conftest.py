@@ -10,8 +10,17 @@ from wattframe.sources.files import text_schema  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(4, **{"spark.sql.maxMetadataStringLength": "5000"})
+def shared_folder(tmp_path_factory):
+    return str(tmp_path_factory.mktemp("shared"))
+
+
+@pytest.fixture(scope="session")
+def spark(shared_folder):
+    settings = {
+        "spark.checkpoint.dir": shared_folder,
+        "spark.sql.maxMetadataStringLength": "5000",
+    }
+    session = local_session(4, **settings)
     yield session
     session.stop()
 

@@ -1,0 +1,32 @@
+import pytest
+
+from wattframe.session import CHECKPOINT_SETTING, checkpoint_root, keep, scratch_path
+
+
+def test_the_named_folder_is_used(spark, shared_folder):
+    assert checkpoint_root(spark) == shared_folder
+    kept = keep(spark.range(7).selectExpr("id", "CAST(id AS DECIMAL(18,2)) AS `a b`"))
+    assert kept.count() == 7 and kept.columns == ["id", "a b"]
+    assert all(shared_folder in name for name in kept.inputFiles())
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+class _Context:
+    master = "spark://somewhere"
+
+    def getCheckpointDir(self):
+        return None
+
+
+class _Conf:
+    def get(self, key, default):
+        return default
+
+
+class _Cluster:
+    sparkContext, conf = _Context(), _Conf()
+
+
+def test_a_cluster_without_shared_folder_is_an_error():
+    with pytest.raises(RuntimeError, match=CHECKPOINT_SETTING):
+        checkpoint_root(_Cluster())
