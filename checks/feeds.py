@@ -112,7 +112,9 @@ FROM {{orders}}""",
   CASE n_nationkey WHEN 0 THEN 'US' WHEN 1 THEN 'usa' ELSE {_STATE} END AS `stateId`,
   (n_name || ' ') AS `stateDescription`,
   (CASE l_linenumber WHEN 1 THEN 'CO' WHEN 2 THEN 'PA' WHEN 3 THEN 'NG' WHEN 4 THEN 'RE'
-      WHEN 5 THEN 'HY' ELSE 'TE' END || CASE l_linestatus WHEN 'O' THEN 'TC' ELSE 'RC' END || CASE l_returnflag WHEN 'R' THEN 'P' ELSE 'B' END) AS `seriesId`,
+      WHEN 5 THEN 'HY' ELSE 'TE' END
+    || CASE l_linestatus WHEN 'O' THEN 'TC' ELSE 'RC' END
+    || CASE l_returnflag WHEN 'R' THEN 'P' ELSE 'B' END) AS `seriesId`,
   ' a series' AS `seriesDescription`, {_LINE_AMOUNT} AS value, 'Billion Btu' AS unit {_BY_SUPPLIER}""",
 }
 

@@ -778,7 +778,8 @@ def top_parts(spark, sf_dir):
 
 @check(
     "q19_top_parts_per_nation",
-    f"""SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY nation ORDER BY amount DESC, l_partkey) AS INTEGER) AS position
+    f"""SELECT * FROM (SELECT *, CAST(row_number() OVER (
+  PARTITION BY nation ORDER BY amount DESC, l_partkey) AS INTEGER) AS position
 FROM (SELECT n_name AS nation, l_partkey, CAST(coalesce(sum({PRICE_SQL}), 0) AS DOUBLE) AS amount
   FROM {_LINES_SQL} GROUP BY ALL)) WHERE position <= 10""",
 )
@@ -930,7 +931,8 @@ def load_period_list(spark, sf_dir):
 
 @check(
     "q28_latest_revision",
-    """SELECT * EXCLUDE (rn) REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+    """SELECT * EXCLUDE (rn) REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
   ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC,
   l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) AS rn FROM lineitem) WHERE rn = 1""",
 )

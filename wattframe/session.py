@@ -17,17 +17,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     fall back to a folder of this machine; anywhere else a missing setting is an error, because
     executors on other hosts could neither write nor read such a folder.
     """
-    context = spark.sparkContext
-    named = spark.conf.get(CHECKPOINT_SETTING, None)
-    if named is None:
-        named = context.getCheckpointDir()
-    if named is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="wattframe-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(named)
-    return named
+    named = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    if named is not None:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="wattframe-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
