@@ -34,3 +34,30 @@ def test_entry(spark):
 def test_query_agrees_with_its_sql(spark, duck, name):
     problem = compare(spark, duck, SF_DIR, name)
     assert not problem, problem
+
+
+OTHER_SETTINGS = {
+    "spark.sql.session.timeZone": "America/Los_Angeles",
+    "spark.sql.ansi.enabled": "false",
+    "spark.sql.adaptive.enabled": "false",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.shuffle.partitions": "7",
+}
+
+
+@pytest.fixture
+def other_settings(spark):
+    before = {key: spark.conf.get(key, None) for key in OTHER_SETTINGS}
+    for key, value in OTHER_SETTINGS.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize(
+    "name", [name for name in sorted(queries()) if name.startswith(("q0", "q14", "q22", "q25", "t01", "t11"))]
+)
+def test_results_do_not_depend_on_the_session(spark, duck, other_settings, name):
+    problem = compare(spark, duck, SF_DIR, name)
+    assert not problem, problem
