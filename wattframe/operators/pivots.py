@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wattframe.functions.measures import percent
 
-MAX_CODES = 1000
+MAX_CODES = 10_000  # Spark's own default limit on pivot columns
 
 
 def pivot_named(
