@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wattframe.llm.exact_dedup import exact_duplicates
+from wattframe.llm.extraction import main_texts
+from wattframe.llm.packing import packed
+from wattframe.llm.syncmers import fingerprints
 from wattframe.llm.tables import table
+from wattframe.llm.url_rules import ALLOW, BLOCK, judged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,3 +44,44 @@ def register(name: str, sql: str | None = None):
 )
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op2_syncmers")
+def op2_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+URL_RULES = [
+    (BLOCK, "net/"),
+    (ALLOW, "example.net/en/"),
+    (BLOCK, "example.com/de/"),
+    (ALLOW, "org/fr/"),
+]
+
+
+@register("op4_url_rules")
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels: the document that a page's path numbers; low quality or toxic means block."""
+    pages = table(spark, sf_dir, "pages")
+    named = pages.select(
+        "page_id",
+        F.regexp_extract("url", r"://[^/?#]*/[a-z]+/(\d{1,18})", 1).try_cast("long").alias("doc_id"),
+    )
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labels = named.join(table(spark, sf_dir, "labels"), "doc_id").select(
+        "page_id", F.when(bad, F.lit(BLOCK)).otherwise(F.lit(ALLOW)).alias("label")
+    )
+    return judged(pages, URL_RULES, labels)
+
+
+@register("op1_html_extraction")
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+@register("op10_packing")
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"), TOKENIZER)
