@@ -2,10 +2,11 @@
 
 The normalised bytes are range-partitioned by sampled splitters and sorted inside each partition,
 so equal texts stand next to each other and a comparison of neighbours in full finds them. The
-identifier, and after it the row's own number, belong to the sort key: a text that a third of all
-rows share is spread over many ranges. Such a run goes on in the next partition, so the first and
-the last run of each partition are put together afterwards by their whole text. That is at most
-two rows per partition, whatever the data.
+splitters are short, whatever the texts: the leading bytes, then a hash of all bytes. The identifier
+and the row's own number belong to them too, so a text that a third of all rows share is spread over
+many ranges. Such a run goes on in the next partition, so the runs whose leading bytes and hash are
+those of the partition's first or last row are put together afterwards by their whole text. But for
+clashes of the hash that is at most two rows per partition, whatever the data.
 """
 
 from __future__ import annotations
@@ -67,22 +68,35 @@ def _run_rows(text: bytes, ids: list, edge: int | None) -> pa.RecordBatch:
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Compare each sorted row with the one before it; of a run, only the identifiers are held."""
     partition = TaskContext.get().partitionId()
-    run_text, run_ids, first_run = None, [], True
-    ready: list[pa.RecordBatch] = []
+    edge = (partition << 32) - 1
+    first_key = key = None
+    runs: list[tuple[bytes, list]] = []  # of the current key: mostly one
+
+    def closed(last: bool) -> list[pa.RecordBatch]:
+        nonlocal edge
+        done = []
+        for text, ids in runs:
+            at_edge = last or key == first_key
+            edge += at_edge
+            done.append(_run_rows(text, ids, edge if at_edge else None))
+        return done
+
     for batch in in_slices(batches):
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if text == run_text:
-                run_ids.append(doc_id)
+        ready: list[pa.RecordBatch] = []
+        for row in zip(*(column.to_pylist() for column in batch.columns)):
+            doc_id, text, row_key = row[0], row[1], row[2:]
+            if row_key == key and runs[-1][0] == text:
+                runs[-1][1].append(doc_id)
                 continue
-            if run_text is not None:
-                ready.append(_run_rows(run_text, run_ids, 2 * partition if first_run else None))
-                first_run = False
-            run_text, run_ids = text, [doc_id]
+            if row_key != key:
+                ready += closed(last=False)
+                runs.clear()
+                key = row_key
+                first_key = first_key or row_key
+            runs.append((text, [doc_id]))
         if ready:
             yield from pa.Table.from_batches(ready).combine_chunks().to_batches()
-            ready = []
-    if run_text is not None:
-        yield _run_rows(run_text, run_ids, 2 * partition + (0 if first_run else 1))
+    yield from closed(last=True)
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -99,11 +113,12 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         normalised(F.col("text")).alias("norm"),
         F.monotonically_increasing_id().alias("row"),
     )
-    order = [F.col("norm"), F.col("doc_id").asc_nulls_last(), F.col("row")]
+    rows = rows.withColumns({"head": F.substring("norm", 1, 24), "hash": F.xxhash64("norm")})
+    splitters = [F.col("head"), F.col("hash"), F.col("doc_id").asc_nulls_last(), F.col("row")]
     runs = keep(
-        rows.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .select("doc_id", F.col("norm").cast("binary"))
+        rows.repartitionByRange(*splitters)
+        .sortWithinPartitions("head", "hash", "norm", *splitters[2:])
+        .select("doc_id", F.col("norm").cast("binary"), "head", "hash")
         .mapInArrow(_neighbours, _RUNS)
     )
     edges = runs.where(F.col("edge_text").isNotNull()).select(
@@ -114,7 +129,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.sum("edge_rows").alias("edge_size"),
         F.min("edge").alias("first_edge"),
     )
-    # At most two rows per sorted partition, without the texts.
+    # Two rows per sorted partition but for clashes of the hash, without the texts.
     joined = edges.join(groups, "edge_text").select("edge", "edge_keep", "edge_size", "first_edge")
     inner = F.col("edge").isNull()
     return runs.join(F.broadcast(joined), "edge", "left").select(
