@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wattframe.llm.exact_dedup import exact_duplicates
 from wattframe.llm.extraction import main_texts
+from wattframe.llm.ngram_join import linked_components
 from wattframe.llm.packing import packed
 from wattframe.llm.syncmers import fingerprints
 from wattframe.llm.tables import table
@@ -85,3 +86,8 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 @register("op10_packing")
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+@register("op9_ngram_join")
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_components(table(spark, sf_dir, "documents"))
