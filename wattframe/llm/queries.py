@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wattframe.llm.exact_dedup import exact_duplicates
 from wattframe.llm.extraction import main_texts
+from wattframe.llm import language
 from wattframe.llm.ngram_join import linked_components
 from wattframe.llm.packing import packed
 from wattframe.llm.syncmers import fingerprints
@@ -91,3 +92,22 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_ngram_join")
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_components(table(spark, sf_dir, "documents"))
+
+
+def language_model(docs: DataFrame) -> language.Model:
+    """Learned from labelled documents outside the held-out fold."""
+    rows = docs.select("doc_id", "text", "lang").where(F.col("doc_id").isNotNull())
+    return language.fit(rows.where(~language.held_out(F.col("doc_id"))))
+
+
+@register("op6_language")
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.predict(docs, language_model(docs))
+    return found.select(
+        "doc_id",
+        language.held_out(F.col("doc_id")).alias("held_out"),
+        "lang_pred",
+        "score",
+        "rejected",
+    )

@@ -10,17 +10,17 @@ Jaccard estimate, times the share of common anchors that keep their order.
 from __future__ import annotations
 
 import hashlib
+import math
 from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattframe.llm.tables import in_slices, texts
-from wattframe.session import keep
 
 K, S, ANCHORS = 12, 5, 128
 _DIGITS = 8  # hexadecimal digits of one anchor
@@ -33,9 +33,6 @@ _COLUMNS = [
     ("edited_fingerprint", "string", pa.string()),
     ("near_edited", "double", pa.float64()),
     ("near_next", "double", pa.float64()),
-    ("part", "long", pa.int64()),
-    ("first_text", "string", pa.string()),
-    ("last_text", "string", pa.string()),
 ]
 _DDL = ", ".join(f"{name} {kind}" for name, kind, _ in _COLUMNS)
 _ARROW = pa.schema([(name, kind) for name, _, kind in _COLUMNS])
@@ -124,46 +121,44 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def _described(doc_id, text: str, print_: str, following: str, next_print: str, part=None) -> tuple:
+def _described(doc_id, text: str, print_: str, following: str, next_print: str) -> tuple:
     other = edited(text, following)
     other_print = print_ if other == text else fingerprint(other)
     sha = hashlib.sha256(other.encode("utf-8", "surrogatepass")).hexdigest()
     near = likeness(print_, other_print), likeness(print_, next_print)
-    return (doc_id, len(text), sha, print_, other_print, *near, part, None, None)
+    return (doc_id, len(text), sha, print_, other_print, *near)
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = [pa.array(c, kind) for c, (_, _, kind) in zip(zip(*rows), _COLUMNS)]
-    return pa.RecordBatch.from_arrays(columns, schema=_ARROW)
+def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Describe each sorted row with the one after it; a range's last row is only looked at."""
+    held, held_range = None, None
+    for batch in in_slices(batches):
+        done = []
+        for range_, doc_id, text in zip(*(column.to_pylist() for column in batch.columns)):
+            print_ = fingerprint(text)
+            if range_ == held_range:
+                done.append(_described(*held, text, print_))
+            held, held_range = (doc_id, text, print_), range_
+        if done:
+            columns = [pa.array(column, kind) for column, (_, _, kind) in zip(zip(*done), _COLUMNS)]
+            yield pa.RecordBatch.from_arrays(columns, schema=_ARROW)
 
 
-def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Describe each sorted row with the one after it.
+def _ranges(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``range``, the number of one of as many ranges of ``doc_id`` as shuffles have tasks.
 
-    The first and the last row of the partition also go out with their texts: the row after the
-    last one is in another partition.
+    Only the splitters, quantiles of the identifiers, pass the driver. NULL comes in a last range.
     """
-    part = TaskContext.get().partitionId()
-    held = None
-    for batch in in_slices(batches):
-        rows = []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            print_ = fingerprint(text)
-            if held is None:
-                rows.append((None, None, None, print_, None, None, None, part, text, None))
-            else:
-                rows.append(_described(*held, text, print_))
-            held = (doc_id, text, print_)
-        if rows:
-            yield _batch(rows)
-    if held is not None:
-        doc_id, text, print_ = held
-        yield _batch([(doc_id, len(text), None, print_, None, None, None, part, None, text)])
-
-
-def _joined_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in in_slices(batches):
-        yield _batch([_described(*row.values()) for row in batch.to_pylist()])
+    count = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    steps = [i / count for i in range(1, count)]
+    splitters = sorted({*rows.approxQuantile("doc_id", steps, 0.25 / count)}) if steps else []
+    ranges = Bucketizer(
+        splits=[-math.inf, *(splitters or [0.0]), math.inf],
+        inputCol="place",
+        outputCol="range",
+        handleInvalid="keep",
+    )
+    return ranges.transform(rows.withColumn("place", F.col("doc_id").cast("double"))).drop("place")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -173,31 +168,30 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     the last comes the first, so a single row follows itself. NULL text is empty. Whole texts are
     read, of any length. Other columns are ignored; no rows in, no rows out.
 
-    The rows are range-sorted once; of every sorted partition only its first and last row meet
-    those of the others (two rows per partition, whatever the data).
+    The texts are moved once, to ranges of identifiers. Each range also gets the first row of the
+    range after it (one more row per range), so that its own last row has a next one.
     """
-    order = [F.col("doc_id").asc_nulls_last(), F.col("text")]
-    rows = keep(
-        texts(docs, id_col, text_col)
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .mapInArrow(_in_order, _DDL)
+    rows = _ranges(texts(docs, id_col, text_col))
+    # One row per range.
+    firsts = sorted(
+        (row["range"], row["first"])
+        for row in rows.groupBy("range").agg(F.min("doc_id").alias("first")).collect()
     )
-    parts = Window.orderBy("part")
-    every = parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    firsts = rows.where(F.col("first_text").isNotNull()).select(
-        "part", "first_text", F.col("fingerprint").alias("first_print")
+    after = [
+        (firsts[i - 1][0], range_, first) for i, (range_, first) in enumerate(firsts)
+    ]
+    heads = rows.sparkSession.createDataFrame(after, "before double, head_range double, head_id long")
+    same = (F.col("range") == F.col("head_range")) & F.col("doc_id").eqNullSafe(F.col("head_id"))
+    closing = (
+        rows.join(F.broadcast(heads), same)
+        .groupBy("before", "doc_id")
+        .agg(F.min("text").alias("text"))
+        .select(F.col("before").alias("range"), "doc_id", "text", F.lit(1).alias("closing"))
     )
-    following = firsts.select(
-        "part",
-        F.coalesce(F.lead("first_text").over(parts), F.first("first_text").over(every)).alias("following"),
-        F.coalesce(F.lead("first_print").over(parts), F.first("first_print").over(every)).alias("next_print"),
-    )
-    lasts = rows.where(F.col("last_text").isNotNull()).select("part", "doc_id", "last_text", "fingerprint")
-    edges = (
-        lasts.join(following, "part")
-        .select("doc_id", "last_text", "fingerprint", "following", "next_print")
-        .mapInArrow(_joined_edges, _DDL)
+    every = rows.select("range", "doc_id", "text", F.lit(0).alias("closing")).unionByName(closing)
+    return (
+        every.repartitionByRange("range")
+        .sortWithinPartitions("range", "closing", F.col("doc_id").asc_nulls_last(), "text")
+        .select("range", "doc_id", "text")
+        .mapInArrow(_in_order, _DDL)
     )
-    inner = rows.where(F.col("first_text").isNull() & F.col("last_text").isNull())
-    return inner.unionByName(edges).drop("part", "first_text", "last_text")
