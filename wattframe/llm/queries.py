@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from wattframe.llm.exact_dedup import exact_duplicates
 from wattframe.llm.extraction import main_texts
 from wattframe.llm import language
+from wattframe.llm.line_dedup import without_common_lines
+from wattframe.llm.mixing import kind_of, mixed, words
 from wattframe.llm.ngram_join import linked_components
 from wattframe.llm.packing import packed
+from wattframe.llm.surrogates import with_surrogates
 from wattframe.llm.syncmers import fingerprints
 from wattframe.llm.tables import table
 from wattframe.llm.url_rules import ALLOW, BLOCK, judged
@@ -111,3 +114,36 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         "rejected",
     )
+
+
+@register("op3_line_dedup")
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = without_common_lines(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "text", "lines_deleted")
+
+
+#: How far each dimension's shares are levelled: 1 leaves them, 0 makes them equal.
+MIX_POWERS = {"source": 0.7, "lang": 0.5, "topic": 0.8}
+
+
+def balanced(docs: DataFrame) -> DataFrame:
+    """Half of the tokens, sources, languages and topics levelled by ``MIX_POWERS``."""
+    text = F.coalesce("text", F.lit(""))
+    dimensions = {"source": F.col("source"), "lang": F.col("lang"), "topic": kind_of(text)}
+    return mixed(docs, dimensions, words(F.col("text")), MIX_POWERS)
+
+
+@register("op7_mixing")
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sample = balanced(table(spark, sf_dir, "documents"))
+    return sample.select("doc_id", "source", "lang", "sampling_weight")
+
+
+#: Whoever runs this on real data brings a key of their own.
+SURROGATE_KEY = "example key"
+
+
+@register("op8_surrogates")
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replaced = with_surrogates(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+    return replaced.select("doc_id", "text", "n_entities")
