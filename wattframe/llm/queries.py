@@ -147,3 +147,10 @@ SURROGATE_KEY = "example key"
 def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     replaced = with_surrogates(table(spark, sf_dir, "documents"), SURROGATE_KEY)
     return replaced.select("doc_id", "text", "n_entities")
+
+
+@register("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
