@@ -1,0 +1,54 @@
+from wattframe.llm.queries import URL_RULES
+from wattframe.llm.url_rules import judged
+
+DDL = "page_id long, url string, host string, tokens string, label string"
+
+
+def pages(spark, urls):
+    return spark.createDataFrame([(i, url, "h", "t", "l") for i, url in enumerate(urls)], DDL)
+
+
+def test_given_rules(spark):
+    cases = {
+        "http://a.NET/x": ("a.net", "/x", "net/", "block"),
+        "http://sub.example.net/en/1?q=/de/": ("sub.example.net", "/en/1", "example.net/en/", "allow"),
+        "https://example.com/de/#top": ("example.com", "/de/", "example.com/de/", "block"),
+        "https://notexample.com/de/": ("notexample.com", "/de/", None, "allow"),
+        "http://w.org/fr/2": ("w.org", "/fr/2", "org/fr/", "allow"),
+        "http://x.net": ("x.net", "", None, "allow"),
+        "http://x.net?a=/": ("x.net", "", None, "allow"),
+        "no scheme.net/": ("", "", None, "allow"),
+        "a://b://c/d": ("b:", "//c/d", None, "allow"),
+        None: ("", "", None, "allow"),
+    }
+    found = judged(pages(spark, list(cases)), URL_RULES).orderBy("page_id").collect()
+    assert [(r.host, r.path, r.rule) for r in found] == [case[:3] for case in cases.values()]
+    for row, case in zip(found, cases.values()):
+        if row.rule is not None:
+            assert row.verdict == case[3] and row.antecedent is None
+        elif row.antecedent is None:  # nothing mined here either
+            assert row.verdict == "allow"
+
+
+def test_mined_rules_match_brute_force(spark):
+    good = [f"http://h{i % 5}.example.org/en/{i}" for i in range(80)]
+    bad = [f"http://deal-now.h{i % 5}.example.org/en/{i}.html" for i in range(40)]
+    table = pages(spark, [*good, *bad])
+    labels = table.selectExpr(
+        "page_id", "CASE WHEN page_id >= 80 THEN 'block' ELSE 'allow' END AS label"
+    ).where("page_id % 2 = 0")
+    found = judged(table, [], labels, min_support=0.05).collect()
+    assert all(r.verdict == ("block" if r.page_id >= 80 else "allow") for r in found)
+    assert all(r.confidence == 1 for r in found if r.page_id >= 80)
+
+
+def test_seeds_teach_the_words_beside_them(spark):
+    urls = [f"http://casino-win.a{i}.com/x" for i in range(20)] + [f"http://b{i}.com/x" for i in range(20)]
+    found = judged(pages(spark, [*urls, "http://win.c.com/x"]), [], min_support=0.1).collect()
+    assert {r.page_id for r in found if r.verdict == "block"} == {*range(20), 40}
+
+
+def test_nothing_and_repeated(spark):
+    assert judged(pages(spark, []), URL_RULES).collect() == []
+    twice = pages(spark, ["http://a.net/x"]).union(pages(spark, ["http://a.net/x"]))
+    assert [r.verdict for r in judged(twice, URL_RULES).collect()] == ["block", "block"]

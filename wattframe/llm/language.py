@@ -27,7 +27,8 @@ PER_LANGUAGE = 800
 CLUSTERS, ROUNDS = 3, 12
 #: A document is rejected below this part of the lowest hundredth of the sample's cosines.
 SLACK = 0.5
-#: Sample documents of about one length that a bound needs; without, nothing of it is rejected.
+#: Sample documents of about one length that a bound needs. Without, that of shorter documents holds,
+#: which are less like any centroid; without any, nothing is rejected.
 LEAST_FOR_BOUND = 30
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -163,9 +164,10 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
         for row, cosine in zip(own, (vectors @ centres.T).max(axis=1)):
             cosines.setdefault(_length_class(np.array(row["counts"])), []).append(float(cosine))
     bounds = np.zeros(41)
-    for length, found in cosines.items():
-        if len(found) >= LEAST_FOR_BOUND:
-            bounds[length] = SLACK * float(np.quantile(found, 0.01))
+    for length in range(1, 41):
+        found = cosines.get(length, [])
+        enough = len(found) >= LEAST_FOR_BOUND
+        bounds[length] = SLACK * float(np.quantile(found, 0.01)) if enough else bounds[length - 1]
     return Model(languages, idf, np.vstack(centroids), np.array(owner), bounds)
 
 

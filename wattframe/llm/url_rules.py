@@ -68,20 +68,23 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
     return F.array_sort(F.array_distinct(words))
 
 
-def mined_rules(labelled: DataFrame, min_support: float, min_confidence: float) -> DataFrame:
+def mined_rules(
+    labelled: DataFrame, urls: DataFrame, min_support: float, min_confidence: float
+) -> DataFrame:
     """Rules ``antecedent -> verdict`` from ``(tokens, label)`` rows, pruned.
 
     Kept are rules with enough support and confidence that no shorter rule with the same verdict
-    matches in confidence (its antecedent being part of theirs). Tokens that more than 99 in 100
-    labelled URLs have cannot tell labels apart and are not mined; without them itemsets stay few.
+    matches in confidence (its antecedent being part of theirs). Tokens that more than 99 in 100 of all
+    ``urls`` have cannot tell any apart and are not mined; without them itemsets stay few.
     """
     rows = keep(labelled.where(F.size("tokens") > 0).select("tokens", "label"))
     total = rows.count()
     schema = "rule_id long, antecedent array<string>, verdict string, confidence double, support double"
     if total == 0:
         return rows.sparkSession.createDataFrame([], schema)
-    counts = rows.select(F.explode("tokens").alias("token")).groupBy("token").count()
-    everywhere = counts.where(F.col("count") > 0.99 * total).select(F.collect_list("token"))
+    counts = urls.select(F.explode("tokens").alias("token")).groupBy("token").count()
+    many = 0.99 * urls.where(F.size("tokens") > 0).count()
+    everywhere = counts.where(F.col("count") > many).select(F.collect_list("token"))
     common = everywhere.first()[0]  # fewer than 1.02 times the tokens of one URL
     items = rows.select(
         F.array_union(
@@ -190,7 +193,7 @@ def judged(
         labelled = labelled.unionByName(
             unlabelled.join(given, "page_id").select("tokens", F.col("given").alias("label"))
         )
-    mined = keep(mined_rules(labelled, min_support, min_confidence))
+    mined = keep(mined_rules(labelled, rows.select("tokens"), min_support, min_confidence))
     best = best_rules(rows.where(F.col("says").isNull()), mined).withColumnRenamed("verdict", "learned")
     return rows.join(best, "tokens", "left").select(
         "page_id",
