@@ -147,7 +147,7 @@ def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _ranges(rows: DataFrame) -> DataFrame:
     """``rows`` with ``range``, the number of one of as many ranges of ``doc_id`` as shuffles have tasks.
 
-    Only the splitters, quantiles of the identifiers, pass the driver. NULL comes in a last range.
+    Only the splitters, quantiles of the identifiers, pass the driver. NULL comes in the last range.
     """
     count = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     steps = [i / count for i in range(1, count)]
@@ -156,9 +156,9 @@ def _ranges(rows: DataFrame) -> DataFrame:
         splits=[-math.inf, *(splitters or [0.0]), math.inf],
         inputCol="place",
         outputCol="range",
-        handleInvalid="keep",
     )
-    return ranges.transform(rows.withColumn("place", F.col("doc_id").cast("double"))).drop("place")
+    place = F.coalesce(F.col("doc_id").cast("double"), F.lit(math.inf))
+    return ranges.transform(rows.withColumn("place", place)).drop("place")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
