@@ -1,8 +1,16 @@
+import os
+
 from pyspark.sql import functions as F
 
 from wattframe.operators.rows import latest_revision
 from wattframe.plans.cleaning import natural_gas
-from wattframe.streaming.pickup import append_new_rows, pick_up, read_picked_up, stored_rows
+from wattframe.streaming.pickup import (
+    append_new_rows,
+    newest_delivery,
+    pick_up,
+    read_picked_up,
+    stored_rows,
+)
 
 COLUMNS = ["period", "duoarea", "area-name", "process", "value"]
 HEADER = ",".join(COLUMNS) + "\n"
@@ -37,6 +45,28 @@ def test_new_files_are_picked_up_once(spark, tmp_path):
     assert picked.exceptAll(batch).isEmpty() and batch.exceptAll(picked).isEmpty()
 
 
+def test_records_that_span_lines_arrive_whole(spark, tmp_path):
+    land(tmp_path / "landing", "a.csv", '2025-01,STX,"Tex\nas",VGM,1', "2025-01,SOH,Ohio,VGM,2", '2025-02,STX,"5"" pipe",VGM,3')
+    table = str(tmp_path / "table")
+    pick_up(spark, str(tmp_path / "landing"), COLUMNS, natural_gas, table, str(tmp_path / "s")).awaitTermination()
+    found = read_picked_up(spark, table).select("state_name", "production_mmcf").collect()
+    assert sorted(map(tuple, found)) == [("5\" pipe", 3.0), ("Ohio", 2.0), ("Tex\nas", 1.0)]
+
+
+def test_newest_file_wins_within_one_run(spark, tmp_path):
+    landing, table = tmp_path / "landing", str(tmp_path / "table")
+    land(landing, "b.csv", "2025-01,STX,Texas,VGM,9")
+    land(landing, "a.csv", "2025-01,STX,Texas,VGM,5")
+    os.utime(landing / "b.csv", (1_700_000_000,) * 2)
+    pick_up(
+        spark, str(landing), COLUMNS, natural_gas, table, str(tmp_path / "s"), every_delivery=True
+    ).awaitTermination()
+    rows = read_picked_up(spark, table, picked_at=True)
+    latest = latest_revision(rows, ["period", "duoarea"], newest_delivery(rows))
+    assert [r["production_mmcf"] for r in latest.collect()] == [5.0]
+    assert read_picked_up(spark, table).columns == ["period", "duoarea", "state_name", "production_mmcf"]
+
+
 def test_a_repeated_batch_replaces_only_itself(spark, tmp_path):
     path = str(tmp_path / "t")
     assert stored_rows(spark, path) is None

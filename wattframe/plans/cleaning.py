@@ -3,7 +3,7 @@
 Every step types by try-casts, keeps a row by its *typed* measure (so a header repeated inside a
 file or a malformed number falls out), and ends in a whole-row dedup. Nothing sorts here: sorting
 belongs to the sink. ``measure`` is the type of the measures: double, or a decimal type where sums
-have to be bit-stable.
+have to be bit-stable. Rows that come with the time and file of their delivery keep both.
 """
 
 from __future__ import annotations
@@ -24,13 +24,14 @@ from wattframe.functions.parsing import (
     whole,
     year_number,
 )
-from wattframe.operators.rows import any_present, distinct_rows
+from wattframe.operators.rows import any_present, delivery, distinct_rows
 
 
 def natural_gas(raw: DataFrame, measure: str = "double") -> DataFrame:
     """Monthly marketed production of state areas."""
     kept = raw.where(F.col("duoarea").startswith("S") & (F.col("process") == fixed.MARKETED_PRODUCTION))
     typed = kept.select(
+        *delivery(raw),
         month_start("period").alias("period"),
         "duoarea",
         F.col("area-name").alias("state_name"),
@@ -46,6 +47,7 @@ def natural_gas_trade(raw: DataFrame, measure: str = "double") -> DataFrame:
         & F.col("process").isin(list(fixed.GAS_TRADE_PROCESSES))
     )
     typed = kept.select(
+        *delivery(raw),
         year_number("period").alias("year"),
         "duoarea",
         F.col("area-name").alias("state_name"),
@@ -64,6 +66,7 @@ def crude_oil_imports(raw: DataFrame, measure: str = "double") -> DataFrame:
         & (F.col("originType") == fixed.IMPORT_ORIGIN)
     )
     typed = kept.select(
+        *delivery(raw),
         month_start("period").alias("period"),
         F.col("originName").alias("origin_country"),
         "originId",
@@ -77,6 +80,7 @@ def crude_oil_imports(raw: DataFrame, measure: str = "double") -> DataFrame:
 
 def _weekly_petroleum(raw: DataFrame, process, measure: str) -> DataFrame:
     typed = raw.select(
+        *delivery(raw),
         day("period").alias("period"),
         "duoarea",
         trimmed("area-name").alias("area_name"),
@@ -106,6 +110,7 @@ def petroleum_movements(raw: DataFrame, measure: str = "double") -> DataFrame:
 def coal(raw: DataFrame, measure: str = "double") -> DataFrame:
     """Annual coal trade without the all-countries member; quantity or price must be there."""
     typed = raw.select(
+        *delivery(raw),
         year_number("period").alias("year"),
         trimmed("exportImportType").alias("export_import_type"),
         trimmed("coalRankId").alias("coal_rank_id"),
@@ -129,6 +134,7 @@ def electricity(raw: DataFrame, measure: str = "double") -> DataFrame:
     """Monthly consumption for generation by known fuel, the all-fuels member included."""
     fuel = F.col("fueltypeid")
     typed = raw.where(fuel.isin(list(fixed.ELECTRICITY_FUELS))).select(
+        *delivery(raw),
         month_start("period").alias("period"),
         trimmed("stateDescription").alias("state_name"),
         fuel.alias("fuel_type_id"),
@@ -140,9 +146,14 @@ def electricity(raw: DataFrame, measure: str = "double") -> DataFrame:
 
 
 def electricity_state_rankings(raw: DataFrame, measure: str = "double") -> DataFrame:
-    """Annual state ranks; at least one rank must be there. Ranks are int whatever ``measure``."""
-    ranks = {name: name.replace("-", "_") for name in fixed.RANKING_COLUMNS}
+    """Annual state ranks; at least one rank must be there. Ranks are int whatever ``measure``.
+
+    Some extracts hold three more ranks: they are kept where they are.
+    """
+    more = [name for name in fixed.MORE_RANKING_COLUMNS if name in raw.columns]
+    ranks = {name: name.replace("-", "_") for name in (*fixed.RANKING_COLUMNS, *more)}
     typed = raw.select(
+        *delivery(raw),
         year_number("period").alias("year"),
         trimmed("stateID").alias("state_id"),
         trimmed("stateDescription").alias("state_name"),
@@ -154,6 +165,7 @@ def electricity_state_rankings(raw: DataFrame, measure: str = "double") -> DataF
 def electricity_net_metering(raw: DataFrame, measure: str = "double") -> DataFrame:
     """Annual net metering by state and sector; capacity or customers must be there."""
     typed = raw.select(
+        *delivery(raw),
         year_number("period").alias("year"),
         trimmed("state").alias("state_id"),
         trimmed("stateName").alias("state_name"),
@@ -173,6 +185,7 @@ def electricity_net_metering(raw: DataFrame, measure: str = "double") -> DataFra
 def electricity_generating_capacity(raw: DataFrame, measure: str = "double") -> DataFrame:
     """Annual capability by state, producer type and energy source."""
     typed = raw.select(
+        *delivery(raw),
         year_number("period").alias("year"),
         trimmed("stateID").alias("state_id"),
         trimmed("stateDescription").alias("state_name"),
@@ -192,6 +205,7 @@ def electricity_generating_capacity(raw: DataFrame, measure: str = "double") ->
 def total_energy(raw: DataFrame, measure: str = "double") -> DataFrame:
     """Monthly total-energy series."""
     typed = raw.select(
+        *delivery(raw),
         month_start("period").alias("period"),
         F.col("msn").alias("series_code"),
         trimmed("seriesDescription").alias("series_description"),
@@ -206,6 +220,7 @@ def seds(raw: DataFrame, measure: str = "double") -> DataFrame:
     state = F.col("stateId")
     kept = raw.where(state.rlike(fixed.STATE_ID_PATTERN) & (state != fixed.NATION_STATE_ID))
     typed = kept.select(
+        *delivery(raw),
         year_number("period").alias("year"),
         state.alias("state_id"),
         trimmed("stateDescription").alias("state_name"),

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from wattframe.operators.rows import DELIVERED_AT, DELIVERED_FROM, delivery
 from wattframe.sources.files import text_schema
 
 BATCH, BUCKET = "batch_id", "period_year"
@@ -34,11 +35,21 @@ def stored_rows(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def read_picked_up(spark: SparkSession, path: str, picked_at: bool = False) -> DataFrame:
-    """The cleaned rows, and with ``picked_at`` when each was picked up, which orders revisions."""
-    hidden = [BATCH, BUCKET] if picked_at else [BATCH, BUCKET, PICKED_AT]
+    """The cleaned rows; with ``picked_at`` also when and from which file each came."""
+    hidden = [BATCH, BUCKET]
+    if not picked_at:
+        hidden += [PICKED_AT, DELIVERED_AT, DELIVERED_FROM]
     return spark.read.parquet(path).drop(*hidden)
 
 
+def newest_delivery(rows: DataFrame) -> list[Column]:
+    """Order of revisions, the last one first: by the time of the delivered file, then its path.
+
+    Both hold within one batch too, where all rows are picked up at the same time.
+    """
+    return [F.desc(name) for name in [*delivery(rows), PICKED_AT]]
+
+
 def _year_of(rows: DataFrame) -> Column:
     """The folder of a row. What is no calendar year shares one folder, so folders stay few."""
     year = F.year("period") if "period" in rows.columns else F.col("year")
@@ -85,18 +96,24 @@ def pick_up(
     checkpoint_path: str,
     max_files: int | None = None,
     every_delivery: bool = False,
+    one_per_line: bool = False,
 ) -> StreamingQuery:
     """Start a run over all files landed since the last one; it ends by itself.
 
     ``columns`` is the header of the landed files; Spark raises when a file has another one. By
     default the table holds distinct rows. With ``every_delivery`` it holds each delivery of a
-    row, from which ``latest_revision`` by ``picked_at`` takes the last one per key.
+    row with the time and path of its file, from which ``latest_revision`` by
+    :func:`newest_delivery` takes the last one per key; ``clean`` must keep both columns, as all
+    cleaning steps do (:func:`wattframe.operators.rows.delivery`).
+
+    A record may span lines unless ``one_per_line`` says that none does; only then a file is split.
     """
     reader = (
         spark.readStream.schema(text_schema(columns))
         .option("header", True)
         .option("enforceSchema", False)
         .option("escape", '"')
+        .option("multiLine", not one_per_line)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
     )
@@ -105,11 +122,20 @@ def pick_up(
 
     def append(raw: DataFrame, number: int) -> None:
         query = raw.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
-        append_new_rows(clean(raw), table_path, f"{query}-{number}", every_delivery)
-
+        cleaned = clean(raw)
+        if every_delivery and not delivery(cleaned):
+            raise ValueError(f"the cleaning step must keep {DELIVERED_AT} and {DELIVERED_FROM}")
+        append_new_rows(cleaned, table_path, f"{query}-{number}", every_delivery)
+
+    landed = reader.csv(landing)
+    if every_delivery:
+        landed = landed.select(
+            "*",
+            F.col("_metadata.file_modification_time").alias(DELIVERED_AT),
+            F.col("_metadata.file_path").alias(DELIVERED_FROM),
+        )
     return (
-        reader.csv(landing)
-        .writeStream.foreachBatch(append)
+        landed.writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint_path)
         .trigger(availableNow=True)
         .start()
