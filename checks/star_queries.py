@@ -15,11 +15,13 @@ from wattframe.operators.pivots import (
     pivot_discovered,
     pivot_named,
     pivot_share,
+    sums_by_code,
     unpivot_labelled,
 )
 from wattframe.operators.ranking import rank_all, sum_by, top_n, top_n_per
 from wattframe.operators.rows import (
     any_present,
+    delivery,
     distinct_rows,
     doubles,
     latest_revision,
@@ -29,6 +31,7 @@ from wattframe.operators.rows import (
 from wattframe.operators.shares import group_share, row_share
 from wattframe.plans import serving
 from wattframe.plans.ingest import latest_period, load_periods, step_back
+from wattframe.plans.refresh import clean_range
 from wattframe.session import keep, scratch_path
 from wattframe.sources.catalog import SOURCES, TableSpec
 from wattframe.sources.files import (
@@ -40,7 +43,7 @@ from wattframe.sources.files import (
     write_csv,
     write_table,
 )
-from wattframe.streaming.pickup import pick_up, read_picked_up
+from wattframe.streaming.pickup import newest_delivery, pick_up, read_picked_up
 
 MONTH_SQL = "CAST(date_trunc('month', o_orderdate) AS DATE)"
 AMOUNT_SQL = "CAST(o_totalprice AS DECIMAL(18,2))"
@@ -890,16 +893,17 @@ def all_numeric_metrics(spark, sf_dir):
 SELECT * FROM r WHERE period >= (SELECT strftime(max(CAST(period || '-01' AS DATE)) - INTERVAL 2 MONTH, '%Y-%m') FROM r)""",
 )
 def rows_since_step_back(spark, sf_dir):
-    rows = table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("period"),
+    orders = table(spark, sf_dir, "orders")
+    rows = orders.select(
+        "o_orderkey", "o_orderdate", F.date_format("o_orderdate", "yyyy-MM").alias("period"),
         money("o_totalprice").cast("double").alias("amount"),
     )
     start = (
         latest_period(rows)
-        .select(step_back(F.col("latest"), MONTHLY, "2 months"))
+        .select(F.to_date(step_back(F.col("latest"), MONTHLY, "2 months"), "yyyy-MM"))
         .first()[0]
     )
-    return within_range(rows, "period", start)
+    return within_range(rows, "o_orderdate", start).drop("o_orderdate")
 
 
 @check(
@@ -1057,7 +1061,10 @@ def streamed_pick_up(spark, sf_dir):
     ELSE {AMOUNT_SQL} END AS DOUBLE) AS amount FROM orders""",
 )
 def streamed_revisions(spark, sf_dir):
-    """Orders land twice, filled ones with a revised value; the last delivery of each counts."""
+    """Orders land twice, filled ones with a revised value, and both are picked up in one run.
+
+    The last delivery of each order counts, whatever its value.
+    """
     base = scratch_path(spark, "revisions")
     filled = F.col("o_orderstatus") == "F"
 
@@ -1070,16 +1077,153 @@ def streamed_revisions(spark, sf_dir):
     def clean(raw):
         return raw.select(
             month_start("period").alias("period"), F.col("o_orderkey").cast("long"), "priority",
-            number("value").alias("amount"),
+            number("value").alias("amount"), *delivery(raw),
         )
 
-    first = extract(money("o_totalprice"))
+    first = extract(F.when(filled, money("o_totalprice") * 3).otherwise(money("o_totalprice")))
     second = extract(F.when(filled, money("o_totalprice") * 2).otherwise(money("o_totalprice")))
     for number_, landed in enumerate((first, second)):
         write_csv(landed, f"{base}/landing/{number_}")
-        pick_up(
-            spark, f"{base}/landing", landed.columns, clean, f"{base}/table", f"{base}/state",
-            every_delivery=True,
-        ).awaitTermination()
+    pick_up(
+        spark, f"{base}/landing", first.columns, clean, f"{base}/table", f"{base}/state",
+        every_delivery=True,
+    ).awaitTermination()
     picked = read_picked_up(spark, f"{base}/table", picked_at=True)
-    return latest_revision(picked, ["o_orderkey"], [F.desc("picked_at")]).drop("picked_at")
+    latest = latest_revision(picked, ["o_orderkey"], newest_delivery(picked))
+    return latest.select("period", "o_orderkey", "priority", "amount")
+
+
+# ------------------------------------------------------------------ wide, many, missing
+
+
+@check(
+    "q19b_long_top_lists",
+    f"""WITH g AS (SELECT n_name AS nation, o_orderkey, sum({AMOUNT_SQL}) AS amount
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL)
+SELECT nation, o_orderkey, CAST(amount AS DOUBLE) AS amount,
+  row_number() OVER (PARTITION BY nation ORDER BY amount DESC, o_orderkey) AS position
+FROM g QUALIFY position <= 5000""",
+)
+def long_top_lists(spark, sf_dir):
+    """More rows per group than Spark's own window group limit takes."""
+    orders = (
+        table(spark, sf_dir, "orders")
+        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    )
+    groups = orders.groupBy(F.col("n_name").alias("nation"), "o_orderkey").agg(
+        F.sum(money("o_totalprice")).alias("amount")
+    )
+    return doubles(top_n_per(groups, ["nation"], "amount", 5000, ["o_orderkey"]))
+
+
+@check(
+    "q37c_sums_by_any_code",
+    """SELECT l_returnflag, to_json(map_from_entries(list((CAST(l_suppkey AS VARCHAR), n) ORDER BY l_suppkey))) AS quantities
+FROM (SELECT l_returnflag, l_suppkey, CAST(sum(l_quantity) AS BIGINT) AS n FROM lineitem GROUP BY ALL) GROUP BY 1""",
+)
+def sums_by_any_code(spark, sf_dir):
+    """As many codes as there are, in one map."""
+    lines = table(spark, sf_dir, "lineitem")
+    sums = sums_by_code(lines, ["l_returnflag"], "l_suppkey", "l_quantity", "sums")
+    texts = F.transform_keys("sums", lambda key, _: key.cast("string"))
+    whole_sums = F.transform_values(texts, lambda _, value: value.cast("long"))
+    return sums.select("l_returnflag", F.to_json(whole_sums).alias("quantities"))
+
+
+_RANK_SQL = """SELECT n_name AS state, {agg}(CASE WHEN n_regionkey = 0 THEN NULL ELSE s_nationkey END) AS rank
+FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1"""
+
+
+def _places_without_rank(spark, sf_dir, agg):
+    rows = table(spark, sf_dir, "supplier").join(
+        table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
+    )
+    rank = F.when(F.col("n_regionkey") != 0, F.col("s_nationkey"))
+    return sum_by(rows.select(F.col("n_name").alias("state"), rank.alias("rank")), ["state"], "rank", agg)
+
+
+@check("q31b_average_of_nothing", _RANK_SQL.format(agg="avg"))
+def average_of_nothing(spark, sf_dir):
+    """Places without any rank have no average rank."""
+    return _places_without_rank(spark, sf_dir, F.avg)
+
+
+@check("q31c_smallest_of_nothing", _RANK_SQL.format(agg="min"))
+def smallest_of_nothing(spark, sf_dir):
+    return _places_without_rank(spark, sf_dir, F.min)
+
+
+@check(
+    "q14b_measures_that_are_no_numbers",
+    f"""SELECT o_orderpriority AS priority, count(*) AS n, CAST(sum({AMOUNT_SQL}) AS DOUBLE) AS amount
+FROM orders WHERE o_orderstatus <> 'P' AND o_orderkey % 7 <> 0 GROUP BY 1""",
+)
+def measures_that_are_no_numbers(spark, sf_dir):
+    """Texts like NaN and Infinity are dropped with the malformed ones and spoil no total."""
+    text = money("o_totalprice").cast("string")
+    spoiled = (
+        F.when(F.col("o_orderstatus") == "P", F.lit("NaN"))
+        .when(F.col("o_orderkey") % 7 == 0, F.element_at(F.array(*map(F.lit, ("Infinity", "-Infinity", "+inf"))), (F.col("o_orderkey") % 3 + 1).cast("int")))
+        .otherwise(text)
+    )
+    rows = table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("priority"), number(spoiled).alias("value")
+    )
+    kept = rows.where(any_present("value"))
+    return kept.groupBy("priority").agg(
+        F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("amount")
+    )
+
+
+@check("q30b_newest_extract", f"""SELECT strftime(o_orderdate, '%Y-%m') AS period, o_orderpriority AS priority,
+  count(*) AS n, CAST(sum({AMOUNT_SQL}) AS DOUBLE) AS amount FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL""")
+def newest_extract_only(spark, sf_dir):
+    """Two extracts land; only the one written last is read."""
+    base = scratch_path(spark, "newest")
+    source = SOURCES["steo"]
+    rows = _order_extract(spark, sf_dir)
+    filled = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select("o_orderkey")
+    write_csv(rows, raw_folder(base, source, "1995-01", "2001-08"))
+    write_csv(rows.join(filled, "o_orderkey", "left_semi"), raw_folder(base, source, "1995-01", "2001-09"))
+    return _by_period(read_csv(spark, f"{base}/{source.raw_prefix}", newest_only=True))
+
+
+@check(
+    "q29c_pages_without_given_columns",
+    """SELECT event_type, count(*) AS records,
+  CAST(sum(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS BIGINT) AS total
+FROM events GROUP BY 1""",
+)
+def pages_without_given_columns(spark, sf_dir):
+    """The first record of the pages names the columns."""
+    base = scratch_path(spark, "pages")
+    record = F.struct("event_type", F.coalesce(F.get_json_object("props", "$.k"), F.lit("")).alias("k"))
+    page = F.struct(F.lit("1").alias("total"), F.array(record).alias("data"))
+    table(spark, sf_dir, "events").select(page.alias("response")).write.json(base)
+    rows = read_pages(spark, base, one_per_line=True)
+    return rows.groupBy("event_type").agg(F.count("*").alias("records"), F.sum(whole("k")).alias("total"))
+
+
+@check(
+    "q26b_cleaned_rows_of_a_range",
+    f"""SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS period, CAST({AMOUNT_SQL} AS DOUBLE) AS amount
+FROM orders WHERE o_orderdate >= '1996-03-01' AND o_orderdate < '1997-06-01'""",
+)
+def cleaned_rows_of_a_range(spark, sf_dir):
+    """Typed rows of a monthly source between two months, both included."""
+    clean = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.trunc("o_orderdate", "month").alias("period"),
+        money("o_totalprice").cast("double").alias("amount"),
+    )
+    return clean_range(clean, SOURCES["steo"], "1996-03", "1997-05")
+
+
+@check(
+    "q38b_rows_per_group",
+    """SELECT o_orderstatus AS status, count(*) AS n, count(o_totalprice) AS valued FROM orders GROUP BY 1""",
+)
+def rows_per_group(spark, sf_dir):
+    return table(spark, sf_dir, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(
+        F.count("*").alias("n"), F.count("o_totalprice").alias("valued")
+    )

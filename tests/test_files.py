@@ -87,6 +87,22 @@ def test_newest_extract_may_be_incremental_or_a_folder_of_parts(spark, raw_root)
     assert read_csv(spark, raw_root, newest_only=True).count() == 12
 
 
+def test_declared_header_and_records_that_span_lines(spark, raw_root, tmp_path):
+    put(tmp_path / "y" / "a.csv", 'period,value\n2025-01,"1\n2"\n2025-02,3\n')
+    put(tmp_path / "y" / "incremental" / "b.csv", "period,value\n2025-03,4\n")
+    root = str(tmp_path / "y")
+    assert rows(read_csv(spark, root, ["period", "value"]), "value") == [("1\n2",), ("3",)]
+    every = read_csv(spark, root, ["period", "value"], include_incremental=True, loaded_at=True)
+    assert every.count() == 3 and "loaded_at" in every.columns
+
+
+def test_a_stray_quote_does_not_keep_a_file_whole(spark, tmp_path):
+    put(tmp_path / "a.csv", 'period,value,more\n2025-01,5" pipe,"x, ""y"""\n2025-02,2,"",\n')
+    layouts = csv_layouts(spark, [str(tmp_path / "a.csv")])
+    assert [spans for _, spans in layouts] == [False]
+    assert rows(read_csv(spark, str(tmp_path)), "value") == [("2",), ('5" pipe',)]
+
+
 def test_declared_header_is_checked(spark, tmp_path):
     put(tmp_path / "a.csv", "period,value\n2025-01,1\n")
     assert rows(read_csv(spark, str(tmp_path), ["period", "value"]), "value") == [("1",)]

@@ -11,6 +11,7 @@ from wattframe.operators import shares
 from wattframe.operators.changes import change_from_previous
 from wattframe.operators.pivots import (
     discover_codes,
+    sums_by_code,
     pivot_discovered,
     pivot_named,
     pivot_share,
@@ -106,6 +107,36 @@ def test_totals_next_to_rows_of_keys_only(spark):
     assert tuples(joined) == [("a", 2), ("a", 2), (None, None)]
 
 
+def test_share_has_the_same_columns_on_both_ways(spark, monkeypatch):
+    rows = spark.createDataFrame([(1, "a", 2.0), (2, "a", 6.0), (3, None, 1.0)], "id int, k string, v double")
+    found = []
+    for bound in (shares.MAX_BROADCAST_BYTES, -1):
+        monkeypatch.setattr(shares, "MAX_BROADCAST_BYTES", bound)
+        share = shares.row_share(rows, "v", ["k"], total="t", share="p")
+        found.append((share.columns, tuples(share)))
+    assert found[0] == found[1] and found[0][0] == ["id", "k", "v", "t", "p"]
+
+
+def test_the_session_limits_pivot_columns(spark):
+    rows = spark.range(10_001).selectExpr("id % 2 AS year", "concat('c', id) AS code", "id AS v")
+    with pytest.raises(ValueError):
+        discover_codes(rows, "code")
+    spark.conf.set("spark.sql.pivotMaxValues", "20000")
+    try:
+        assert len(discover_codes(rows, "code")) == 10_001
+    finally:
+        spark.conf.unset("spark.sql.pivotMaxValues")
+    sums = sums_by_code(rows, ["year"], "code", "v", "sums").collect()
+    assert sorted(len(r["sums"]) for r in sums) == [5000, 5001]
+
+
+def test_only_a_sum_of_nothing_is_zero(spark):
+    rows = spark.createDataFrame([("a", 2.0), ("b", None)], "place string, v double")
+    assert tuples(sum_by(rows, ["place"], "v")) == [("a", 2.0), ("b", 0.0)]
+    for agg in (F.avg, F.min, F.max):
+        assert tuples(sum_by(rows, ["place"], "v", agg)) == [("a", 2.0), ("b", None)]
+
+
 def test_pivots(spark):
     rows = spark.createDataFrame(
         [(1, "A", 2.0), (1, "A", 3.0), (1, "B", 4.0), (2, "B", 0.0), (3, "C", 9.0)],

@@ -1,3 +1,5 @@
+import pytest
+
 from wattframe.plans import serving
 from wattframe.plans.refresh import clean_path, refresh, table_path
 from wattframe.sources.catalog import SOURCES, TABLES
@@ -38,6 +40,23 @@ def test_refresh_from_raw_files(spark, tmp_path):
     assert sorted(tuple(r) for r in found.collect()) == [("Ohio", 75.0, "OH"), ("Texas", 25.0, "TX")]
 
 
+def test_a_place_filter_reaches_the_scan(spark, tmp_path):
+    land(tmp_path, "natural_gas", "x.csv",
+         "period,duoarea,area-name,process,value\n2025-01,STX,TEXAS,VGM,1\n2025-01,SOH,Ohio,VGM,3\n")
+    refresh(spark, str(tmp_path), ["natural_gas"])
+    spec = TABLES["ng_production"]
+    rows = serving.load(spark, spec, f"{tmp_path}/processed")
+    one = serving.trend(rows, spec, "production_mmcf", place="Texas")
+    assert [r["production_mmcf"] for r in one.collect()] == [1.0]
+    assert "EqualTo(place,Texas)" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_range_never_replaces_the_history(spark, tmp_path):
+    for out in (None, f"{tmp_path}/"):
+        with pytest.raises(ValueError, match="out"):
+            refresh(spark, str(tmp_path), ["natural_gas"], start="2025-03", out=out)
+
+
 def test_refresh_of_a_range(spark, tmp_path):
     land(tmp_path, "natural_gas", "x.csv",
          "period,duoarea,area-name,process,value\n"

@@ -36,23 +36,6 @@ ELECTRICITY_FUELS = {
     "AOR": "All Renewables",
 }
 
-# State-energy fuel prefixes in short form.
-STATE_ENERGY_FUELS = {
-    "CO": "Coal",
-    "PA": "Petroleum",
-    "NG": "Natural Gas",
-    "ES": "Electricity",
-    "NU": "Nuclear",
-    "RE": "Renewables",
-    "TE": "Total Energy",
-    "GE": "Geothermal",
-    "HY": "Hydroelectric",
-    "SO": "Solar",
-    "WY": "Wind",
-    "WD": "Wood",
-    "WS": "Waste",
-}
-
 # State-energy prefixes as column labels of the fuel pivot.
 FUEL_COLUMN_LABELS = {
     "AB": "Aviation Gasoline Blending Components",
@@ -90,13 +73,16 @@ FUEL_COLUMN_LABELS = {
     "WY": "Wind Energy",
 }
 
-# Column-name endings and what they say.
-COLUMN_SUFFIX_LABELS = {
-    "_pct": " (% of Total)",
-    "_btu": " (Billion BTU)",
-    "_mbtu": " (Million BTU)",
+# What the last word of a column name says about the code before it.
+COLUMN_UNITS = {
+    "pct": "% of Total",
+    "btu": "Billion BTU",
+    "mbtu": "Million BTU",
 }
 
+# Numeric columns that are part of a key or count something else: never a metric by themselves.
+NO_METRICS = ("year", "month", "week", "state", "state_abbrev", "num_series")
+
 # Region codes.
 REGIONS = {
     "NUS": "U.S. Total",
@@ -186,5 +172,6 @@ RANKING_COLUMNS = (
     "nitrogen-oxide-rank",
     "sulfer-dioxide-rank",
 )
+MORE_RANKING_COLUMNS = ("direct-use-rank", "fsp-sales-rank", "generation-elect-utils-rank")
 STATE_AREA_PATTERN = "^S[A-Z]{2}"
 STATE_ID_PATTERN = "^[A-Z]{2}$"

@@ -12,8 +12,14 @@ def _column(source: str | Column) -> Column:
 
 
 def number(source: str | Column, kind: str = "double") -> Column:
-    """Text to a measure. ``kind`` may be a decimal type when sums have to be bit-stable."""
-    return _column(source).try_cast(kind)
+    """Text to a measure. ``kind`` may be a decimal type when sums have to be bit-stable.
+
+    ``NaN`` and ``Infinity`` are no measures: one would spoil every total of its group.
+    """
+    value = _column(source).try_cast(kind)
+    if kind not in ("double", "float"):
+        return value
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def whole(source: str | Column) -> Column:

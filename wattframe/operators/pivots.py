@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wattframe.functions.measures import percent
 
-MAX_CODES = 10_000  # Spark's own default limit on pivot columns
+PIVOT_LIMIT = "spark.sql.pivotMaxValues"
 
 
 def pivot_named(
@@ -30,8 +30,14 @@ def pivot_named(
     )
 
 
-def discover_codes(rows: DataFrame, code: str, limit: int = MAX_CODES) -> list[str]:
-    """Codes present, sorted. They become column names, so too many are an error, never a cut."""
+def discover_codes(rows: DataFrame, code: str, limit: int | None = None) -> list[str]:
+    """Codes present, sorted. They become column names, so too many are an error, never a cut.
+
+    How many are too many is the session's own setting for pivots, unless the caller says. For any
+    number of codes there is :func:`sums_by_code`.
+    """
+    if limit is None:
+        limit = int(rows.sparkSession.conf.get(PIVOT_LIMIT))
     found = (
         rows.where(F.col(code).isNotNull())
         .select(code)
@@ -79,6 +85,16 @@ def pivot_share(
     return wide.select("*", *shares)
 
 
+def sums_by_code(rows: DataFrame, keys: list[str], code: str, value: str, name: str) -> DataFrame:
+    """Sum of ``value`` per key and code as one map column ``name``: as many codes as there are.
+
+    Rows without a code do not count, but their key stays, with an empty map if it has no others.
+    """
+    sums = rows.groupBy(*keys, code).agg(F.sum(value).alias("_sum"))
+    entries = F.collect_list(F.when(F.col(code).isNotNull(), F.struct(code, "_sum")))
+    return sums.groupBy(*keys).agg(F.map_from_entries(F.array_sort(entries)).alias(name))
+
+
 def _quoted(name: str) -> Column:
     return F.col(f"`{name}`")
 

@@ -5,15 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattframe.operators.rows import first_rows
 from wattframe.session import keep
 
 
+def aggregated(agg, metric: str) -> Column:
+    """``agg`` of a column; only a sum of nothing is zero."""
+    return F.coalesce(agg(metric), F.lit(0)) if agg is F.sum else agg(metric)
+
+
 def sum_by(rows: DataFrame, keys: list[str], metric: str, agg=F.sum) -> DataFrame:
-    """One value per key. Rows with a NULL key do not count; an all-NULL group sums to zero."""
+    """One value per key. Rows with a NULL key do not count.
+
+    An all-NULL group sums to zero. It has no average, smallest or largest value: these stay NULL.
+    """
     present = rows
     for key in keys:
         present = present.where(F.col(key).isNotNull())
-    return present.groupBy(*keys).agg(F.coalesce(agg(metric), F.lit(0)).alias(metric))
+    return present.groupBy(*keys).agg(aggregated(agg, metric).alias(metric))
 
 
 def top_n(groups: DataFrame, metric: str, n: int, ties: list[str]) -> DataFrame:
@@ -24,11 +33,10 @@ def top_n(groups: DataFrame, metric: str, n: int, ties: list[str]) -> DataFrame:
 def top_n_per(groups: DataFrame, per: list[str], metric: str, n: int, ties: list[str]) -> DataFrame:
     """The ``n`` largest of each ``per`` group with their position.
 
-    Spark cuts every group to ``n`` rows per task before the shuffle (window group limit), so a
-    group of any size is never brought together.
+    Every group is cut to ``n`` rows per slice before its slices meet, so a group of any size is
+    never brought together (see :func:`wattframe.operators.rows.first_rows`).
     """
-    order = Window.partitionBy(*per).orderBy(F.desc(metric), *ties)
-    return groups.withColumn("position", F.row_number().over(order)).where(F.col("position") <= n)
+    return first_rows(groups, per, [F.desc(metric), *ties], n, "position")
 
 
 def rank_all(groups: DataFrame, order: list[Column], position: str = "position") -> DataFrame:

@@ -73,7 +73,9 @@ def join_totals(rows: DataFrame, totals: DataFrame, keys: list[str]) -> DataFram
     """
     kept, size = keep_measured(totals)
     if size <= MAX_BROADCAST_BYTES:
-        return rows.join(F.broadcast(kept), keys, "left")
+        joined = rows.join(F.broadcast(kept), keys, "left")
+        added = [name for name in kept.columns if name not in keys]
+        return joined.select(*[F.col(f"`{name}`") for name in [*rows.columns, *added]])
     return join_totals_sliced(rows, kept, keys)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from wattframe.functions.calendar import ANNUAL, MONTHLY
 from wattframe.operators.rows import within_range
 from wattframe.plans.cleaning import CLEANING
+from wattframe.plans.serving import with_place
 from wattframe.plans.tables import RESULT_TABLES
 from wattframe.sources.catalog import SOURCES, TABLES, SourceSpec
 from wattframe.sources.files import read_csv, read_table, write_table
@@ -50,7 +51,8 @@ def build_tables(clean: DataFrame, source: str, out: str) -> list[str]:
     written = [name for name, (needs, _) in RESULT_TABLES.items() if needs == source]
     for name in written:
         build = RESULT_TABLES[name][1]
-        write_table(build(clean), table_path(out, name), sort=TABLES[name].sort)
+        spec = TABLES[name]
+        write_table(with_place(build(clean), spec), table_path(out, name), sort=spec.sort)
     return written
 
 
@@ -65,10 +67,12 @@ def refresh_source(
 ) -> list[str]:
     """Clean one source and rebuild its tables; returns the names of the tables written.
 
-    ``start`` and ``end`` limit what is processed, so cleaned rows and tables hold that range only;
-    ``out`` keeps them apart from the full ones. Continuous loads go through the streaming pick-up
-    and :func:`build_tables`.
+    ``start`` and ``end`` limit what is processed, so cleaned rows and tables hold that range only.
+    They would replace the whole history, so a range needs an ``out`` apart from ``base``.
+    Continuous loads go through the streaming pick-up and :func:`build_tables`.
     """
+    if (start or end) and (out is None or out.rstrip("/") == base.rstrip("/")):
+        raise ValueError("a refresh of a range needs a place of its own: name it with out")
     out = out or base
     source = SOURCES[name]
     raw = read_csv(spark, f"{base.rstrip('/')}/{source.raw_prefix}", newest_only=newest_only)

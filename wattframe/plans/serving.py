@@ -1,38 +1,58 @@
 """Read side: load a result table, slice it by time, sum, rank and trend it.
 
-Everything is lazy: slice, column pruning and place filter of a query reach the Parquet scan.
+Everything is lazy: slice and column pruning reach the Parquet scan, and so does the place filter
+where the table was stored with its places in one spelling, as a refresh does (:func:`with_place`).
 Sums take whatever metric is chosen, as published dashboards do; ``agg`` replaces the sum where
 ``TableSpec.additive`` is False.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattframe.functions.calendar import ANNUAL, MONTHLY, WEEKLY, calendar_columns, period_bounds
-from wattframe.functions.labels import column_label, place_name, state_code
-from wattframe.operators.ranking import rank_all, sum_by, top_n, top_n_per
+from wattframe.functions.fixed_values import NO_METRICS
+from wattframe.functions.labels import column_label, place_name, readable, state_code
+from wattframe.operators.ranking import aggregated, rank_all, sum_by, top_n, top_n_per
 from wattframe.operators.rows import distinct_rows, numeric_columns
 from wattframe.sources.catalog import TableSpec
 from wattframe.sources.files import read_table
 
 PLACE = "state"
-NOT_METRICS = ("year", "month", "week", PLACE, "state_abbrev", "num_series")
+STORED_PLACE = "place"
 TOP_PLACES, TOP_BREAKDOWN = 15, 10
 
 
+def _place(table: DataFrame, spec: TableSpec) -> Column | None:
+    """The place in one spelling. State and electricity tables fall back to ``state_id`` where
+    ``state_name`` is missing."""
+    spellings = [spec.place, "state_id"] if spec.place == "state_name" else [spec.place]
+    spellings = [name for name in spellings if name in table.columns]
+    return place_name(F.coalesce(*spellings)) if spellings else None
+
+
+def with_place(table: DataFrame, spec: TableSpec) -> DataFrame:
+    """The table with its place in one spelling as a column of its own, to be stored.
+
+    A filter on a stored column skips row groups; one on a spelling worked out by reading cannot.
+    """
+    place = _place(table, spec)
+    if place is None or STORED_PLACE in table.columns:
+        return table
+    return table.withColumn(STORED_PLACE, place)
+
+
 def prepare(table: DataFrame, spec: TableSpec) -> DataFrame:
     """Distinct rows, the place column as ``state`` in one spelling, calendar columns.
 
-    Rows whose time did not parse are dropped. A NULL place stays NULL. State and electricity
-    tables fall back to ``state_id`` where ``state_name`` is missing.
+    Rows whose time did not parse are dropped. A NULL place stays NULL.
     """
     rows = table if spec.unique_rows else distinct_rows(table)
-    spellings = [spec.place, "state_id"] if spec.place == "state_name" else [spec.place]
-    spellings = [name for name in spellings if name in rows.columns]
-    if spellings:
-        rows = rows.withColumn(PLACE, place_name(F.coalesce(*spellings)))
+    if STORED_PLACE in rows.columns and spec.place != STORED_PLACE:
+        rows = rows.drop(PLACE, spec.place).withColumnRenamed(STORED_PLACE, PLACE)
+    elif (place := _place(rows, spec)) is not None:
+        rows = rows.withColumn(PLACE, place)
         if spec.place != PLACE:
             rows = rows.drop(spec.place)
     if spec.grain in (WEEKLY, MONTHLY) and "period" in rows.columns:
@@ -75,21 +95,18 @@ def choices(rows: DataFrame, column: str) -> DataFrame:
 
 
 def metrics(rows: DataFrame, spec: TableSpec) -> dict[str, str]:
-    """Label -> column of the metrics of a table: the declared value and numeric extras, or, where
-    no value is declared, every numeric column."""
+    """Label -> column of the metrics of a table, as its catalog entry describes them.
+
+    An entry without any described metric stands for a wide table: each numeric column that is not
+    part of the key is a metric then, labelled by its code if the entry says that columns are codes.
+    """
     numeric = numeric_columns(rows)
-    found = {}
-    if spec.value and spec.value_label:
-        found[spec.value_label] = spec.value
-    found.update({label: name for name, label in spec.extras.items() if name in numeric})
-    if found:
-        return found
-    fuel_columns = spec.name.startswith("seds")
-    return {
-        column_label(name) if fuel_columns else name.replace("_", " ").title(): name
-        for name in numeric
-        if name not in NOT_METRICS
+    described = {
+        label: name for name, label in spec.described_metrics.items()
+        if name == spec.value or name in numeric
     }
+    label = column_label if spec.columns_are_codes else readable
+    return described or {label(name): name for name in numeric if name not in NO_METRICS}
 
 
 def dimension(rows: DataFrame, spec: TableSpec) -> str | None:
@@ -148,7 +165,7 @@ def snapshot(
     names = dict.fromkeys([value, *spec.extras])
     return rows.where(F.col(PLACE) == place).agg(
         *[
-            F.coalesce(agg(name), F.lit(0)).alias(name) if name in numeric
+            aggregated(agg, name).alias(name) if name in numeric
             else F.min(name).alias(name)
             for name in names
             if name in rows.columns

@@ -24,10 +24,6 @@ class SourceSpec:
     measures: tuple[str, ...]
     start: str | None
     step: str
-    end: str | None = None
-    date_partition: bool = True
-    page_size: int = 5000
-    facets: dict[str, tuple[str, ...]] = field(default_factory=dict)
 
     @property
     def raw_prefix(self) -> str:
@@ -38,7 +34,8 @@ class SourceSpec:
 class TableSpec:
     """A result table: where it is kept and how it is sliced, summed and broken down.
 
-    ``extras`` maps further columns to their labels. ``unique_rows`` says that the writer
+    ``extras`` maps further columns to their labels. ``columns_are_codes`` says that a wide table's
+    columns are codes with a suffix, which their labels spell out. ``unique_rows`` says that the writer
     guarantees distinct rows, as the tables of this engine do, so that reading needs no shuffle to
     drop duplicates. ``additive`` is False where sums of the value have no meaning (ranks).
     """
@@ -59,6 +56,13 @@ class TableSpec:
     additive: bool = True
     unique_rows: bool = False
     sort: tuple[str, ...] = ()
+    columns_are_codes: bool = False
+
+    @property
+    def described_metrics(self) -> dict[str, str]:
+        """Column -> label of the value and the extras, without what lacks a label."""
+        value = {self.value: self.value_label} if self.value and self.value_label else {}
+        return value | {name: label for name, label in self.extras.items() if name not in value}
 
     @property
     def time(self) -> str:
@@ -94,7 +98,6 @@ SOURCES: dict[str, SourceSpec] = _by_name(
         SourceSpec(
             "electricity", "Electricity Operations", MONTHLY,
             ("consumption-for-eg", "consumption-for-eg-btu"), "2025-01", "2 months",
-            facets={"fueltypeid": ("COL", "NG", "NUC", "HYC", "WND", "SUN", "GEO", "ALL", "AOR")},
         ),
         SourceSpec(
             "electricity_state_rankings", "State Electricity Rankings", ANNUAL,
@@ -103,7 +106,7 @@ SOURCES: dict[str, SourceSpec] = _by_name(
                 "fsp-sales-rank", "generation-elect-utils-rank", "net-generation-rank",
                 "nitrogen-oxide-rank", "sulfer-dioxide-rank",
             ),
-            None, "1 year", date_partition=False,
+            None, "1 year",
         ),
         SourceSpec(
             "electricity_net_metering", "State Electricity Net Metering", ANNUAL,
@@ -333,7 +336,7 @@ TABLES: dict[str, TableSpec] = _by_name(
             name="seds_fuel_pivot", label="SEDS — Fuel Mix by State (Wide)",
             path="seds_fuel_pivot", place="state_name", value=None, value_label=None,
             unit="Billion BTU / %", grain=ANNUAL, category="SEDS", on_map=False,
-            sort=("year", "state_id"),
+            sort=("year", "state_id"), columns_are_codes=True,
         ),
     ]
 )

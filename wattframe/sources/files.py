@@ -61,18 +61,20 @@ def csv_layouts(spark: SparkSession, paths: list[str], key: str = "period") -> d
     """Files grouped by header and by whether any record spans lines.
 
     One distributed pass over the text: only lines that can be a header (they hold the column
-    ``key``) and lines with an unbalanced quote leave the scan, so what is grouped per file is
-    tiny. A file without unbalanced lines can be split and read in parallel with the same result
+    ``key``) and lines that leave a quoted field open leave the scan, so what is grouped per file is
+    tiny. A file without such lines can be split and read in parallel with the same result
     as a whole-file parse; only the others need the latter.
     """
-    unbalanced = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    # What is left to open a quoted field once all that are closed on their line are gone. A quote
+    # inside an unquoted field, such as an inch mark, opens nothing.
+    closed = F.regexp_replace("value", r'(^|,)"(?:[^"]|"")*"(?=,|$)', "$1")
     lines = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("path"),
         F.struct(
             F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
         ).alias("position"),
         F.col("value").alias("line"),
-        (unbalanced % 2 == 1).alias("spans"),
+        closed.rlike(r'(^|,)"').alias("spans"),
     )
     per_file = (
         lines.where(F.col("spans") | F.col("line").contains(key))
@@ -83,7 +85,7 @@ def csv_layouts(spark: SparkSession, paths: list[str], key: str = "period") -> d
         )
     )
     layouts: dict[tuple[tuple[str, ...], bool], list[str]] = {}
-    for row in per_file.toLocalIterator():  # one row per file, as many as the listing itself has
+    for row in per_file.collect():  # one row per file, as many as the listing itself has
         header = tuple(next(csv.reader([row["header"] or ""]), ()))
         if key not in header:
             raise ValueError(f"no header with a column {key!r} in {row['path']}")
@@ -100,25 +102,32 @@ def read_csv(
     newest_only: bool = False,
     loaded_at: bool = False,
     key: str = "period",
+    one_per_line: bool = False,
 ) -> DataFrame:
     """All raw CSV files below ``root`` as one frame of text columns, matched by name.
 
     Without ``columns`` the files may differ in column order and in columns (see
     :func:`csv_layouts`); a column that a file lacks is NULL there. With ``columns`` all files are
-    taken to have exactly that header and to hold one record per line: no extra pass, and Spark
-    raises if a header differs. ``newest_only`` reads the newest extract alone, an incremental one
+    taken to have exactly that header: no extra pass and no list of paths, and Spark raises if a
+    header differs. Records may span lines, so a file is parsed as a whole, unless ``one_per_line``
+    says that none does. ``newest_only`` reads the newest extract alone, an incremental one
     too; otherwise incremental folders are skipped, unless ``include_incremental`` says different.
     ``loaded_at`` adds the file's modification time, which orders revisions of the same key.
     """
     if include_incremental is None:
         include_incremental = newest_only
+    if columns and not newest_only:
+        return _read_declared(
+            spark, root, columns, include_incremental, loaded_at, one_per_line
+        )
     files = list_files(spark, root, include_incremental=include_incremental)
     if newest_only:
         files = newest_extract(files)
-    paths = [row["path"] for row in files.select("path").toLocalIterator()]
+    paths = [row["path"] for row in files.select("path").collect()]  # one job, however many files
     if not paths:
         raise FileNotFoundError(f"no CSV files below {root}")
-    layouts = {(tuple(columns), False): paths} if columns else csv_layouts(spark, paths, key)
+    whole = not one_per_line
+    layouts = {(tuple(columns), whole): paths} if columns else csv_layouts(spark, paths, key)
     if not layouts:
         raise FileNotFoundError(f"only empty CSV files below {root}")
 
@@ -140,6 +149,32 @@ def read_csv(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def _read_declared(
+    spark: SparkSession,
+    root: str | list[str],
+    columns: list[str],
+    include_incremental: bool,
+    loaded_at: bool,
+    one_per_line: bool,
+) -> DataFrame:
+    """All CSV files below ``root`` in one scan: Spark lists the folder, the driver holds no paths."""
+    frame = (
+        spark.read.schema(text_schema(columns))
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("escape", '"')
+        .option("multiLine", not one_per_line)
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.csv")
+        .csv(root)
+    )
+    if not include_incremental:
+        frame = frame.where(~F.col("_metadata.file_path").contains(INCREMENTAL_FOLDER))
+    if loaded_at:
+        frame = frame.select("*", F.col("_metadata.file_modification_time").alias(LOADED_AT))
+    return frame
+
+
 def read_pages(
     spark: SparkSession,
     root: str | list[str],
