@@ -6,16 +6,19 @@ text is parsed and deduplicated once, however many tables come from it.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattframe.functions.calendar import ANNUAL, MONTHLY
-from wattframe.operators.rows import within_range
+from wattframe.operators.rows import distinct_rows, within_range
 from wattframe.plans.cleaning import CLEANING
 from wattframe.plans.serving import with_place
 from wattframe.plans.tables import RESULT_TABLES
+from wattframe.session import keep
 from wattframe.sources.catalog import SOURCES, TABLES, SourceSpec
 from wattframe.sources.files import read_csv, read_table, write_table
+from wattframe.streaming.pickup import read_picked_up
 
 
 def clean_path(base: str, source: str) -> str:
@@ -69,7 +72,7 @@ def refresh_source(
 
     ``start`` and ``end`` limit what is processed, so cleaned rows and tables hold that range only.
     They would replace the whole history, so a range needs an ``out`` apart from ``base``.
-    Continuous loads go through the streaming pick-up and :func:`build_tables`.
+    Continuous loads go through the streaming pick-up and :func:`add_picked_up`.
     """
     if (start or end) and (out is None or out.rstrip("/") == base.rstrip("/")):
         raise ValueError("a refresh of a range needs a place of its own: name it with out")
@@ -80,6 +83,29 @@ def refresh_source(
     return build_tables(read_table(spark, clean_path(out, name)), name, out)
 
 
+def add_picked_up(
+    spark: SparkSession, base: str, name: str, picked_up: str, out: str | None = None
+) -> list[str]:
+    """Add what the pick-up of a source has landed to its cleaned rows and rebuild its tables.
+
+    ``picked_up`` is the table that :func:`wattframe.streaming.pickup.pick_up` writes. Rows that are
+    cleaned already count once; without cleaned rows so far, the picked-up ones are all. The history
+    is kept: result tables hold shares and changes that reach over years, so they are built from all
+    cleaned rows. Returns the names of the tables written.
+    """
+    out = out or base
+    landed = read_picked_up(spark, picked_up)
+    try:
+        stored = read_table(spark, clean_path(base, name))
+        landed = stored.unionByName(landed.select(*stored.columns))
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+    # Written apart first: the cleaned rows cannot be read and replaced at once.
+    write_table(keep(distinct_rows(landed)), clean_path(out, name))
+    return build_tables(read_table(spark, clean_path(out, name)), name, out)
+
+
 def refresh(spark: SparkSession, base: str, names: list[str] | None = None, **options) -> list[str]:
     """Refresh the given sources, or all that have a cleaning step."""
     return [
