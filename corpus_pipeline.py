@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wattframe.llm import language
 from wattframe.llm.line_dedup import without_common_lines
-from wattframe.llm.ngram_join import linked_components
+from wattframe.llm.ngram_join import BROADCAST_ROWS, linked_components
 from wattframe.llm.packing import packed
 from wattframe.llm.queries import TOKENIZER, balanced, language_model
 from wattframe.llm.tables import table
@@ -37,7 +37,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Documents without identifier or without words are linked with nothing and stay.
     """
     found = linked_components(docs, SHINGLE_WORDS, PERCENT)
-    copies = found.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
+    copies = keep(found.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct())
+    if copies.count() <= BROADCAST_ROWS:
+        copies = F.broadcast(copies)
     return docs.join(copies, "doc_id", "left_anti").select(*COLUMNS)
 
 

@@ -12,6 +12,12 @@ def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select("x", "y").unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
 
 
+def _checksum(edges: DataFrame) -> tuple:
+    """Number of edges and a sum of their hashes, which tells distinct edge sets apart."""
+    hashes = F.xxhash64("x", "y").cast("decimal(38,0)")
+    return tuple(edges.agg(F.count("*"), F.sum(hashes), F.sum(F.xxhash64("y", "x").cast("decimal(38,0)"))).first())
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Point neighbours at the smallest of them: larger ones, or the node and its smaller ones."""
     around = _both_ways(edges)
@@ -25,7 +31,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         moved = joined.select(F.col("y").alias("x"), F.col("m").alias("y")).unionByName(
             smallest.select("x", F.col("m").alias("y"))
         )
-    return moved.where("x != y").distinct()
+    return moved.where("x != y")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -35,12 +41,12 @@ def components(edges: DataFrame) -> DataFrame:
     half, so rounds grow with the logarithm of the longest path. Loops and repeated edges do not
     matter; a NULL end drops its edge; no edges, no rows.
     """
-    table = keep(edges.where("x != y").select("x", "y").distinct())
-    while True:
-        before = table
-        table = keep(_star(_star(before, large=True), large=False))
-        # Stars whose centre is the smallest node stay as they are.
-        if table.exceptAll(before).isEmpty() and before.exceptAll(table).isEmpty():
-            break
+    low, high = F.least("x", "y"), F.greatest("x", "y")
+    proper = edges.where("x != y").select(high.alias("x"), low.alias("y"))
+    table = keep(proper.distinct())
+    before, now = None, _checksum(table)
+    while now[0] and now != before:  # stars around the smallest node stay as they are
+        table = keep(_star(_star(table, large=True), large=False).distinct())
+        before, now = now, _checksum(table)
     leaves = table.select(F.col("x").alias("node"), F.col("y").alias("root"))
     return leaves.unionByName(leaves.select(F.col("root").alias("node"), "root").distinct())

@@ -30,12 +30,10 @@ from wattframe.llm.components import components
 from wattframe.llm.tables import in_slices, texts
 from wattframe.session import keep
 
-#: N-grams with a hash below this part of all hashes are counted; a little over 1 - similarity.
-REGION = 1 / 6
 #: A group of more documents is looked up in a tree, of fewer is paired.
 SMALL_GROUP = 32
 #: Documents, and n-grams in all, of a tree.
-BLOCK, BLOCK_GRAMS = 2_000, 1_000_000
+BLOCK, BLOCK_GRAMS = 2_000, 600_000
 #: Above so many, the documents to compare are found by a shuffle instead of a broadcast (16 MB).
 BROADCAST_ROWS = 500_000
 _TOP = 1 << 63
@@ -46,7 +44,7 @@ class _Hashes(dict):
     """64-bit hashes of words, remembered for a while."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         found = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         self[word] = found
@@ -77,6 +75,11 @@ def _needed(total: int, percent: int) -> int:
     return -(-percent * total // (100 + percent))
 
 
+def _region(percent: int) -> int:
+    """N-grams with hashes below this are counted: a little more of them than prefixes have."""
+    return _TOP * (100 - percent) // 90
+
+
 def _prefix(size: int, percent: int) -> int:
     return size - -(-percent * size // 100) + 1
 
@@ -84,7 +87,7 @@ def _prefix(size: int, percent: int) -> int:
 def _described(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
-        bound = np.uint64(int(_TOP * REGION))
+        bound = np.uint64(_region(percent))
         for batch in in_slices(batches):
             counts, inside, digests, regions = [], [], [], []
             for text in batch.column(1).to_pylist():
@@ -158,7 +161,8 @@ def _postings(classes: DataFrame, frequent: np.ndarray, percent: int) -> DataFra
     shared = (
         region.withColumn("df", F.count("*").over(Window.partitionBy("gram"))).where("df > 1")
     )
-    inner = F.col("gram") < int(_TOP * REGION)
+    bound = _region(percent)
+    inner = F.col("gram") < bound
     own = shared.groupBy("key").agg(
         F.collect_list(
             F.struct((~inner).alias("outer"), F.when(inner, F.col("df")).otherwise(0).alias("df"), "gram")
@@ -171,10 +175,10 @@ def _postings(classes: DataFrame, frequent: np.ndarray, percent: int) -> DataFra
     hot = F.transform(
         "frequent",
         lambda gram: F.struct(
-            (gram >= int(_TOP * REGION)).alias("outer"), F.lit(_HOT).alias("df"), gram.alias("gram")
+            (gram >= bound).alias("outer"), F.lit(_HOT).alias("df"), gram.alias("gram")
         ),
     )
-    hot_inner = F.size(F.filter("frequent", lambda gram: gram < int(_TOP * REGION)))
+    hot_inner = F.size(F.filter("frequent", lambda gram: gram < bound))
     alone = F.col("inside") - F.coalesce("inner", F.lit(0)) - hot_inner  # nobody else has them
     length = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1
     none = F.array().cast("array<struct<outer:boolean,df:bigint,gram:bigint>>")
@@ -359,13 +363,27 @@ def tree_links(sizes: list[int], components_: list[int], sets: list[np.ndarray],
 
 
 def _tree_edges(percent: int):
-    """Edges of each group of sorted rows ``part, key, component, grams``."""
+    """Of each group of sorted rows ``part, component, grams``, the components that links connect.
+
+    ``x, y``: a component and the smallest one of the group that it is connected to.
+    """
 
     def edges(rows: list[tuple]) -> pa.RecordBatch:
-        _, keys, parts, raws = zip(*rows)
+        _, parts, raws = zip(*rows)
         sets = [np.frombuffer(raw, np.uint64) for raw in raws]
         found = tree_links([len(s) for s in sets], list(parts), sets, percent)
-        columns = [pa.array([keys[pair[i]] for pair in found], pa.int64()) for i in (0, 1)]
+        roots = {part: part for part in parts}
+
+        def root(part: int) -> int:
+            while roots[part] != part:
+                part = roots[part]
+            return part
+
+        for a, b in found:
+            low, high = sorted((root(parts[a]), root(parts[b])))
+            roots[high] = low
+        moved = [part for part in roots if root(part) != part]
+        columns = [pa.array(moved, pa.int64()), pa.array([root(part) for part in moved], pa.int64())]
         return pa.RecordBatch.from_arrays(columns, names=["x", "y"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -383,16 +401,18 @@ def _tree_edges(percent: int):
     return run
 
 
-def _in_trees(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Edges within groups; ``members`` has ``gram, key, n, component``.
+def _in_trees(members: DataFrame, sets: DataFrame, percent: int, across: bool = True) -> DataFrame:
+    """Connected components within groups; ``members`` has ``gram, key, n, component``.
 
-    A group too large for one tree is cut into blocks by a hash, and every two of them share a tree.
+    A group too large for one tree is cut into blocks by a hash; with ``across`` every two of them
+    share a tree, without, each has its own.
     """
     totals = members.groupBy("gram").agg(F.count("*").alias("rows"), F.sum("n").alias("grams"))
     blocks = F.greatest(F.ceil(F.col("rows") / BLOCK), F.ceil(F.col("grams") / BLOCK_GRAMS))
     totals = totals.where("rows > 1").select("gram", blocks.alias("blocks"))
     block = F.pmod(F.xxhash64("key"), F.col("blocks"))
-    others = F.when(F.col("blocks") == 1, F.array(F.lit(0).cast("long"))).otherwise(
+    alone = (F.col("blocks") == 1) | F.lit(not across)
+    others = F.when(alone, F.array(block)).otherwise(
         F.filter(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda other: other != block)
     )
     dealt = members.join(totals, "gram").select(
@@ -401,9 +421,9 @@ def _in_trees(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     part = F.xxhash64("gram", F.least("block", "other"), F.greatest("block", "other"))
     rows = dealt.select(part.alias("part"), "key", "component").join(sets, "key")
     return (
-        rows.select("part", "key", "component", "grams")
+        rows.select("part", "component", "grams")
         .repartition("part")
-        .sortWithinPartitions("part", "key")
+        .sortWithinPartitions("part", "component")
         .mapInArrow(_tree_edges(percent), "x long, y long")
     )
 
@@ -453,10 +473,12 @@ def linked_components(
     wanted = keep(names.select("key", "doc_id", "digest").join(keys, "key", "left_semi"))
     sets = _sets(own, wanted, size)
 
-    # Each document of a large group in one tree first: most of what is linked is connected there.
-    homes = large.groupBy("key").agg(F.min_by("gram", "place").alias("gram"), F.first("n").alias("n"))
-    edges = keep(_in_trees(homes.withColumn("component", F.col("key")), sets, percent))
-    known = keep(components(edges))
+    # Each document in the tree of its largest group first: most of what is linked is connected
+    # there, and as no document is in two of these trees, their components are known at once.
+    most = F.struct("members", "gram")
+    homes = large.groupBy("key").agg(F.max_by("gram", most).alias("gram"), F.first("n").alias("n"))
+    homes = homes.withColumn("component", F.col("key"))
+    known = keep(_in_trees(homes, sets, percent, across=False)).toDF("node", "root")
     named = large.join(known.withColumnRenamed("node", "key"), "key", "left").select(
         "gram", "key", "n", F.coalesce("root", "key").alias("component")
     )
@@ -470,18 +492,22 @@ def linked_components(
     unknown = (
         pairs.join(root_of("x"), "x", "left")
         .join(root_of("y"), "y", "left")
-        .where(F.coalesce("root_x", "x") != F.coalesce("root_y", "y"))
-        .select("x", "y")
+        .withColumns({"root_x": F.coalesce("root_x", "x"), "root_y": F.coalesce("root_y", "y")})
+        .where("root_x != root_y")
+        .select("x", "y", "root_x", "root_y")
     )
     checked = (
         unknown.join(sets.select(F.col("key").alias("x"), F.col("grams").alias("grams_x")), "x")
         .join(sets.select(F.col("key").alias("y"), F.col("grams").alias("grams_y")), "y")
-        .select("x", "y", "grams_x", "grams_y")
+        .select("root_x", "root_y", "grams_x", "grams_y")
         .mapInArrow(_compared(percent), "x long, y long")
     )
-    roots = keep(components(edges.unionByName(more).unionByName(checked)))
-    rooted = names.join(roots.withColumnRenamed("node", "key"), "key", "left").select(
-        "digest", "smallest", F.coalesce("root", "key").alias("root")
+    roots = keep(components(more.unionByName(checked))).toDF("component", "last")
+    rooted = (
+        names.join(known.withColumnRenamed("node", "key"), "key", "left")
+        .withColumn("component", F.coalesce("root", "key"))
+        .join(roots, "component", "left")
+        .select("digest", "smallest", F.coalesce("last", "component").alias("root"))
     )
     reached = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
     named_classes = rooted.join(reached, "root").select("digest", "component_id")
