@@ -131,38 +131,44 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     and only their sparse n-gram counts come to the driver.
     """
     rows = labelled.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    counts = rows.groupBy("lang").agg(F.count("*").alias("documents"))  # one row per language
+    # One row per language: a constant of the filter, so that no text is moved by its language.
+    counts = [F.lit(x) for row in rows.groupBy("lang").count().collect() for x in row]
+    documents = F.create_map(*counts)[F.col("lang")] if counts else F.lit(0)
     chosen = unit_interval(F.lit("language"), F.col("doc_id").cast("string"))
-    sample = (
+    found = (
         rows.where(F.col("text").rlike(r"\p{L}"))
-        .join(counts, "lang")
-        .where(chosen * F.col("documents") < per_language)
+        .where(chosen * documents < per_language)
         .select("lang", "text")
         .mapInArrow(_counted, "lang string, at array<smallint>, counts array<int>")
-        .collect()
+        .toArrow()  # numbers, not Python objects: the driver's memory stays small
     )
-    sample = sorted(sample, key=lambda row: (row["lang"], row["at"], row["counts"]))
-    languages = sorted({row["lang"] for row in sample})
+    at, counts = (found[name].combine_chunks() for name in ("at", "counts"))
+    sample = [
+        (lang, at[i].values.to_numpy().astype(np.int32), counts[i].values.to_numpy())
+        for i, lang in enumerate(found["lang"].to_pylist())
+    ]
+    sample.sort(key=lambda row: (row[0], row[1].tobytes(), row[2].tobytes()))
+    languages = sorted({row[0] for row in sample})
     if not languages:
         empty = np.zeros((0, DIMENSIONS), np.float32)
         return Model([], np.zeros(DIMENSIONS, np.float32), empty, np.zeros(0, int), np.zeros(41))
     with_gram = np.zeros(DIMENSIONS)
-    for row in sample:
-        with_gram[row["at"]] += 1
+    for _, at, _ in sample:
+        with_gram[at] += 1
     idf = np.log((1 + len(sample)) / (1 + with_gram)).astype(np.float32) + np.float32(0.05)
     centroids, owner = [], []
     cosines: dict[int, list[float]] = {}
     for i, language in enumerate(languages):
-        own = [row for row in sample if row["lang"] == language]
+        own = [row[1:] for row in sample if row[0] == language]
         vectors = np.zeros((len(own), DIMENSIONS), np.float32)
-        for vector, row in zip(vectors, own):
-            vector[row["at"]] = (1 + np.log(row["counts"])) * idf[row["at"]]
+        for vector, (at, counts) in zip(vectors, own):
+            vector[at] = (1 + np.log(counts)) * idf[at]
             vector /= max(np.sqrt(vector @ vector), 1e-12)
         centres = _clusters(vectors)
         centroids.append(centres)
         owner += [i] * len(centres)
-        for row, cosine in zip(own, (vectors @ centres.T).max(axis=1)):
-            cosines.setdefault(_length_class(np.array(row["counts"])), []).append(float(cosine))
+        for (_, counts), cosine in zip(own, (vectors @ centres.T).max(axis=1)):
+            cosines.setdefault(_length_class(counts), []).append(float(cosine))
     bounds = np.zeros(41)
     for length in range(1, 41):
         found = cosines.get(length, [])
