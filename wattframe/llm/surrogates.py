@@ -45,7 +45,8 @@ _ENDINGS = {"latin": ("r", "a"), "cyrillic": ("н", "а"), "greek": ("ς", "α")
 
 _WORD = r"\p{Lu}[\p{L}'’-]+"
 _ALL_TITLES = sorted((t for titles in TITLES.values() for t in titles), key=lambda t: (-len(t), t))
-_TITLE = r"(?:" + "|".join(_ALL_TITLES) + r")\.?"
+_FIRST = "".join(sorted({title[0] for title in _ALL_TITLES}))
+_TITLE = rf"(?=[{_FIRST}])(?:" + "|".join(_ALL_TITLES) + r")\.?"
 
 #: Kinds in the order in which a place of a text is tried.
 PATTERNS = {
@@ -63,8 +64,9 @@ PATTERNS = {
     "person": rf"(?<![\p{{L}}\p{{N}}]){_TITLE} {_WORD}(?: {_WORD}){{0,2}}",
 }
 _ANY = "|".join(f"(?:{pattern})" for pattern in PATTERNS.values())
-#: What every entity has; most texts are done after this one look.
-_HINT = r"[0-9@]|(?:token|secret|passw|api.?key|sk-)|" + _TITLE + r" \p{Lu}"
+#: What every entity has; most texts are done after this one look. The first letters come first: they
+#: rule out most places of a text at once.
+_HINT = rf"[0-9@]|(?=[tspa{_FIRST}])(?<!\p{{L}})(?:token|secret|passw|api.?key|sk-|{_TITLE} \p{{Lu}})"
 
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 
@@ -233,7 +235,12 @@ def _put(table: DataFrame, key: str, written: str) -> DataFrame:
     digits = streamed.withColumn("body", _stream_digits(stream, count - 1))
     body = F.col("body")
     groups = [F.substring(stream, F.lit(4 * i + 1), F.lit(4)) for i in range(8)]
-    plain_hex = sign.rlike("^[0-9a-f]+$") & (F.length(sign) <= 256)
+    hexadecimal = F.substring(stream, F.lit(1), F.length(sign))
+    secret = (
+        F.when(sign.rlike("^[0-9a-f]{1,256}$"), hexadecimal)
+        .when(sign.rlike("^[0-9A-F]{1,256}$"), F.upper(hexadecimal))
+        .otherwise(_like(sign, stream))
+    )
     by_kind = {
         "email": F.concat(_letters(stream, 10), F.lit("@"), _letters(F.col("domain"), 10), F.lit(".example.org")),
         "ipv4": F.concat_ws(".", F.lit("10"), *[_number(stream, F.lit(i)).cast("string") for i in range(3)]),
@@ -242,7 +249,7 @@ def _put(table: DataFrame, key: str, written: str) -> DataFrame:
         "ssn": _in_format(sign, _stream_digits(stream, count)),
         "phone": _in_format(sign, F.concat(F.substring(form, F.lit(1), F.lit(1)), body)),
         "iban": _in_iban(sign, _like(form, stream, keep_first=2)),
-        "secret": F.when(plain_hex, F.substring(stream, F.lit(1), F.length(sign))).otherwise(_like(sign, stream)),
+        "secret": secret,
     }
     put = _name(kind, sign, stream, F.col("salt"))
     for name, made in by_kind.items():
