@@ -74,3 +74,41 @@ def test_awkward_rows(awkward, nothing):
     assert with_surrogates(nothing, "k").collect() == []
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_secrets_without_a_digit_in_the_text(docs):
+    """No other part of these texts leads to the search."""
+    secrets = [
+        ("dbpassword=", "hunterxy"),
+        ("accesstoken: ", "abcdefgh"),
+        ("clientsecret=", "qwertyui"),
+        ("myapi_key = ", "zxcvbnma"),
+        ("key ", "AKIA" + "QWERTYUIOPASDFGH"),
+        ("key ", "ghp_" + "abcdefghijkl" * 3),
+        ("key ", "abcdef" * 6),
+        ("key ", "ABCDEF" * 6),
+        ("éksk-", ""),
+        ("ésk-", "abcdefghijklmnopqrstuvwxyz"),
+        ("at ", "a:b:c:d:e:f:a:b"),
+    ]
+    rows = [(i, f"x {before}{secret} y") for i, (before, secret) in enumerate(secrets)]
+    found = {r.doc_id: r for r in with_surrogates(docs(rows), "k").collect()}
+    for i, (before, secret) in enumerate(secrets):
+        assert found[i].n_entities == (1 if secret else 0)
+        assert found[i].text.startswith("x ") and found[i].text.endswith(" y")
+        assert not secret or secret not in found[i].text
+
+
+def test_long_secrets_go_whole(docs):
+    token = ".".join(["eyJhbGciOiJIUzI1NiJ9" * 30] * 3)
+    lower, upper = "0123456789abcdef" * 40, "0123456789ABCDEF" * 40
+    long_key, github = "sk-" + "Zz9" * 200, "ghp_" + "Zz9" * 200
+    secrets = [f"token={token}", lower, upper, long_key, github]
+    rows = [(i, f"x {secret} y") for i, secret in enumerate(secrets)]
+    found = {r.doc_id: r for r in with_surrogates(docs(rows), "k").collect()}
+    for i, secret in enumerate(secrets):
+        put = found[i].text.removeprefix("x token=" if i == 0 else "x ").removesuffix(" y")
+        real = secret.removeprefix("token=")
+        assert found[i].n_entities == 1 and len(put) == len(real)
+        assert not any(real[k : k + 24] in put for k in range(0, len(real) - 24, 24))
+    assert re.fullmatch("[0-9a-f]{640}", found[1].text[2:-2]) and re.fullmatch("[0-9A-F]{640}", found[2].text[2:-2])

@@ -9,6 +9,8 @@ until none is left, so different entities stay different.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,9 +53,10 @@ _TITLE = rf"(?=[{_FIRST}])(?:" + "|".join(_ALL_TITLES) + r")\.?"
 #: Kinds in the order in which a place of a text is tried.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@(?:[\p{L}\p{N}-]{1,63}\.){1,8}\p{L}{2,24}",
-    "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,256}|[0-9A-F]{32,256}|AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,255}"
-    r"|sk-[0-9A-Za-z_-]{20,255})(?![0-9A-Za-z])"
-    r"|(?<=(?:token|secret|password|passwd|api_key|apikey|api-key) {0,3}[=:] {0,3}[\"']{0,1})[0-9A-Za-z_./+-]{6,255}",
+    "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,}|[0-9A-F]{32,}|AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}"
+    r"|sk-[0-9A-Za-z_-]{20,})(?![0-9A-Za-z])"
+    r"|(?<=[=: \"'])(?<=(?:token|secret|password|passwd|api_key|apikey|api-key) {0,3}[=:] {0,3}[\"']{0,1})"
+    r"[0-9A-Za-z_./+-]{6,}",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])",
     "ipv4": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
     "ipv6": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
@@ -64,9 +67,14 @@ PATTERNS = {
     "person": rf"(?<![\p{{L}}\p{{N}}]){_TITLE} {_WORD}(?: {_WORD}){{0,2}}",
 }
 _ANY = "|".join(f"(?:{pattern})" for pattern in PATTERNS.values())
-#: What every entity has; most texts are done after this one look. The first letters come first: they
-#: rule out most places of a text at once.
-_HINT = rf"[0-9@]|(?=[tspa{_FIRST}])(?<!\p{{L}})(?:token|secret|passw|api.?key|sk-|{_TITLE} \p{{Lu}})"
+#: What every entity has, one of these words or a match of the pattern; most texts are done after this
+#: one look. Letters alone can be an IPv6 address or a key. A title's first letter comes first: it rules
+#: out most places of a text at once.
+_HINT_WORDS = ["token", "secret", "passw", "api", "sk-", "AKIA"]
+_HINT = (
+    r"[0-9@]|[A-Fa-f]:[A-Fa-f]|gh[pousr]_|[a-f]{32}|[A-F]{32}"
+    rf"|(?=[{_FIRST}])(?<!\p{{L}}){_TITLE} \p{{Lu}}"
+)
 
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 
@@ -74,7 +82,8 @@ _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVW
 def entities(text: Column) -> Column:
     """All entities of a text in order, as they are written."""
     found = F.regexp_extract_all(text, F.lit(_ANY), F.lit(0))
-    return F.when(text.rlike(_HINT), found).otherwise(F.array().cast("array<string>"))
+    hint = reduce(or_, [text.contains(word) for word in _HINT_WORDS]) | text.rlike(_HINT)
+    return F.when(hint, found).otherwise(F.array().cast("array<string>"))
 
 
 def kind_of(entity: Column) -> Column:
@@ -83,7 +92,7 @@ def kind_of(entity: Column) -> Column:
         kind = F.when(entity.rlike(f"^(?:{PATTERNS[name]})$"), name).otherwise(kind)
     secret = ~entity.contains("@") & ~entity.rlike(f"^(?:{PATTERNS['person']})$")
     kind = F.when((kind == "person") & secret, "secret").otherwise(kind)
-    hexadecimal = entity.rlike(r"^(?:[0-9a-f]{32,256}|[0-9A-F]{32,256})$")
+    hexadecimal = entity.rlike(r"^(?:[0-9a-f]{32,}|[0-9A-F]{32,})$")
     return F.when(hexadecimal, "secret").otherwise(kind)
 
 
@@ -146,18 +155,17 @@ def _in_format(entity: Column, put: Column) -> Column:
 def _like(entity: Column, stream: Column, keep_first: int = 0) -> Column:
     """Digits for digits, small letters for small and capital for capital; other signs stay."""
 
-    def at(i: Column) -> Column:
-        sign = F.substring(entity, i, F.lit(1))
-        number = _number(stream, i)
+    def at(sign: Column, i: Column) -> Column:
+        number = _number(stream, i + 1)
         return (
-            F.when(i <= keep_first, sign)
+            F.when(i < keep_first, sign)
             .when(sign.rlike("[0-9]"), _pick(_DIGITS, number))
             .when(sign.rlike("[A-Z]"), _pick(_UPPER, number))
             .when(sign.rlike("[a-z]"), _pick(_LOWER, number))
             .otherwise(sign)
         )
 
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(entity)), at), "")
+    return F.array_join(F.transform(F.split(entity, ""), at), "")
 
 
 def _stream_digits(stream: Column, count: Column) -> Column:
@@ -235,10 +243,11 @@ def _put(table: DataFrame, key: str, written: str) -> DataFrame:
     digits = streamed.withColumn("body", _stream_digits(stream, count - 1))
     body = F.col("body")
     groups = [F.substring(stream, F.lit(4 * i + 1), F.lit(4)) for i in range(8)]
-    hexadecimal = F.substring(stream, F.lit(1), F.length(sign))
+    repeated = F.repeat(stream, F.ceil(F.length(sign) / 256).cast("int"))
+    hexadecimal = F.substring(repeated, F.lit(1), F.length(sign))
     secret = (
-        F.when(sign.rlike("^[0-9a-f]{1,256}$"), hexadecimal)
-        .when(sign.rlike("^[0-9A-F]{1,256}$"), F.upper(hexadecimal))
+        F.when(sign.rlike("^[0-9a-f]+$"), hexadecimal)
+        .when(sign.rlike("^[0-9A-F]+$"), F.upper(hexadecimal))
         .otherwise(_like(sign, stream))
     )
     by_kind = {
