@@ -112,3 +112,15 @@ def test_long_secrets_go_whole(docs):
         assert found[i].n_entities == 1 and len(put) == len(real)
         assert not any(real[k : k + 24] in put for k in range(0, len(real) - 24, 24))
     assert re.fullmatch("[0-9a-f]{640}", found[1].text[2:-2]) and re.fullmatch("[0-9A-F]{640}", found[2].text[2:-2])
+
+
+def test_form_fields_and_formats_that_are_used_up(docs):
+    """Signs alone are no secret; all capitals in one place leave no free surrogate of the same length."""
+    fields = ["password: ________", "token: ......", "token: ../../"]
+    full = [f"token: _____{letter}" for letter in "GHIJKLMNOPQRSTUVWXYZABCDEF"]
+    rows = list(enumerate(fields + full))
+    found = {r.doc_id: r.text for r in with_surrogates(docs(rows), "k").collect()}
+    assert [found[i] for i in range(3)] == fields
+    puts = [found[i + 3] for i in range(26)]
+    assert len(set(puts)) == 26 and not set(puts) & set(full)
+    assert all(re.fullmatch(r"token: _____[A-Z]\d+", put) for put in puts)

@@ -56,7 +56,7 @@ PATTERNS = {
     "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,}|[0-9A-F]{32,}|AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}"
     r"|sk-[0-9A-Za-z_-]{20,})(?![0-9A-Za-z])"
     r"|(?<=[=: \"'])(?<=(?:token|secret|password|passwd|api_key|apikey|api-key) {0,3}[=:] {0,3}[\"']{0,1})"
-    r"[0-9A-Za-z_./+-]{6,}",
+    r"(?=[_./+-]*[0-9A-Za-z])[0-9A-Za-z_./+-]{6,}",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])",
     "ipv4": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
     "ipv6": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
@@ -76,6 +76,9 @@ _HINT = (
     rf"|(?=[{_FIRST}])(?<!\p{{L}}){_TITLE} \p{{Lu}}"
 )
 
+#: So many salts are tried in an entity's own format; from then on its surrogate grows with each salt.
+FORMAT_SALTS = 6
+
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 
 
@@ -260,8 +263,15 @@ def _put(table: DataFrame, key: str, written: str) -> DataFrame:
         "iban": _in_iban(sign, _like(form, stream, keep_first=2)),
         "secret": secret,
     }
+    # A format without a free surrogate gets a longer one; names grow by themselves.
+    more = 4 * (F.col("salt") - FORMAT_SALTS)
+    longer = {
+        "ipv4": by_kind["ipv6"],
+        **{name: F.concat(by_kind[name], _stream_digits(stream, more)) for name in ("card", "ssn", "phone", "iban", "secret")},
+    }
     put = _name(kind, sign, stream, F.col("salt"))
     for name, made in by_kind.items():
+        made = F.when(more > 0, longer[name]).otherwise(made) if name in longer else made
         put = F.when(kind == name, made).otherwise(put)
     return digits.withColumn("put", put).drop("stream", "domain", "body")
 
@@ -281,13 +291,14 @@ def _clashing(found: DataFrame, key: str) -> DataFrame:
     return shared.select("kind", "form").unionByName(taken.select("kind", "form")).distinct()
 
 
-def salts(found: DataFrame, key: str, rounds: int = 20) -> DataFrame:
+def salts(found: DataFrame, key: str) -> DataFrame:
     """``kind, form, salt`` of the parts that the first try does not serve; mostly none.
 
     ``found`` has the distinct parts of the corpus. Each round gives what still clashes another salt.
+    It ends, as surrogates get longer after ``FORMAT_SALTS``.
     """
     tried = keep(found.select("kind", "form", F.lit(0).alias("salt")))
-    for _ in range(rounds):
+    while True:
         clashing = keep(_clashing(tried, key))
         if clashing.isEmpty():
             return tried.where("salt > 0")
@@ -297,7 +308,6 @@ def salts(found: DataFrame, key: str, rounds: int = 20) -> DataFrame:
                 "kind", "form", (F.col("salt") + F.coalesce("more", F.lit(0))).alias("salt")
             )
         )
-    raise RuntimeError(f"entities still share surrogates after {rounds} salts")
 
 
 def surrogates_of(entities_: DataFrame, key: str) -> DataFrame:
