@@ -87,3 +87,16 @@ def test_awkward_rows(awkward, nothing):
 def test_words(spark):
     table = spark.createDataFrame([(None,), ("",), (" \n ",), ("a",), (" a  b\tc\n",)], "text string")
     assert [r[0] for r in table.select(words(F.col("text"))).collect()] == [0, 0, 0, 1, 3]
+
+
+def test_rare_cells_keep_their_target_shares(spark):
+    """The rare language is to be a third: not half of all tokens can stay, but the shares hold."""
+    rows = [("s0", "rare", "t", 60), ("s1", "rare", "t", 40), ("s0", "often", "t", 5000), ("s1", "often", "t", 4900)]
+    table = cells(spark, rows)
+    goals = {"lang": share([("rare", 1.0), ("often", 2.0)], spark), "source": share([("s0", 3.0), ("s1", 1.0)], spark)}
+    found = probabilities(raked(table, goals, 60, 1e-7), 0.5).collect()
+    kept = {(r.lang, r.source): r.tokens * r.probability for r in found}
+    total = sum(kept.values())
+    assert sum(v for k, v in kept.items() if k[0] == "rare") / total == pytest.approx(1 / 3, rel=1e-4)
+    assert sum(v for k, v in kept.items() if k[1] == "s0") / total == pytest.approx(3 / 4, rel=1e-4)
+    assert max(r.probability for r in found) == pytest.approx(1.0)  # as much as the targets let

@@ -89,31 +89,18 @@ def raked(
 
 
 def probabilities(fitted: DataFrame, fraction: float) -> DataFrame:
-    """Cells with ``probability``: proportional to weight over tokens, at most 1.
+    """Cells with ``probability``: proportional to weight over tokens, so that the sample has the targets.
 
     The factor is set so that ``fraction`` of all tokens is expected to stay, or as much as the
-    targets let. It is searched on a grid that one aggregate evaluates, refined twice.
+    targets let: no cell's probability would be more than 1, as a cut cell leaves its share to others.
     """
     ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
-    cells = fitted.withColumn("ratio", ratio)
-    row = cells.where("ratio > 0").agg(F.min("ratio"), F.max("ratio"), F.sum("tokens")).first()
+    used = fitted.where((F.col("tokens") > 0) & (F.col("weight") > 0))
+    row = used.agg(F.sum("weight"), F.max(ratio), F.sum("tokens")).first()
     if not row[2]:
         return fitted.withColumn("probability", F.lit(1.0))
-    wanted = fraction * row[2]
-    low, high = fraction / row[1] / 2, 1.0 / row[0]
-    low = min(low, high)
-    for _ in range(3):
-        steps = [low * (high / low) ** (i / 31) for i in range(32)]
-        sums = cells.agg(
-            *[
-                F.sum(F.col("tokens") * F.least(F.col("ratio") * step, F.lit(1.0))).alias(f"s{i}")
-                for i, step in enumerate(steps)
-            ]
-        ).first()
-        below = [i for i in range(32) if sums[i] <= wanted]
-        at = below[-1] if below else 0
-        low, high = steps[at], steps[min(at + 1, 31)]
-    return fitted.withColumn("probability", F.least(ratio * low, F.lit(1.0)))
+    factor = min(fraction * row[2] / row[0], 1.0 / row[1])
+    return fitted.withColumn("probability", F.least(ratio * factor, F.lit(1.0)))
 
 
 def mixed(

@@ -127,7 +127,7 @@ MIX_POWERS = {"source": 0.7, "lang": 0.5, "topic": 0.8}
 
 
 def balanced(docs: DataFrame) -> DataFrame:
-    """Half of the tokens, sources, languages and topics levelled by ``MIX_POWERS``."""
+    """Half of the tokens, or as many as the targets let, levelled by ``MIX_POWERS``."""
     text = F.coalesce("text", F.lit(""))
     dimensions = {"source": F.col("source"), "lang": F.col("lang"), "topic": kind_of(text)}
     return mixed(docs, dimensions, words(F.col("text")), MIX_POWERS)
