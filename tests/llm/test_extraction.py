@@ -40,3 +40,18 @@ def test_rows(spark):
     text = main_text(PAGE)
     assert got == sorted([(1, "u", text, len(text))] * 2 + [(None, None, "", 0), (2, "v", "", 0)], key=repr)
     assert main_texts(pages.limit(0)).collect() == []
+
+
+def test_a_noise_word_in_a_wrapper_drops_no_article():
+    for wrapper in (
+        '<div class="content-sidebar-wrap"><main>{}</main></div>',
+        '<div class="content-sidebar-wrap"><article>{}</article></div>',
+        '<div id="content" class="has-sidebar">{}</div>',
+        '<article class="post comments-open">{}</article>',
+        '<div class="post-with-comments">{}</div>',
+    ):
+        page = wrapper.format("<p>One, two, <b>three</b>.</p><p>Four, five.</p>")
+        assert main_text(f"<body>{page}<div class=sidebar><p>side</div></body>") == "One, two, three.\nFour, five.", wrapper
+    comments = "<div class=comment-list><article class=comment-body><p>No, no, no, no, no, no, no.</p></article></div>"
+    assert main_text(f"<body><article><p>Yes, yes.</p></article>{comments}</body>") == "Yes, yes."
+    assert main_text("<article><p>Yes, yes.</p><div class=share-this><p>No.</p></div></article>") == "Yes, yes."

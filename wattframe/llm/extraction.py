@@ -56,6 +56,10 @@ NOISE = frozenset(
 )
 #: Words that name noise only outside an article, where a page's own header would be.
 PAGE_NOISE = frozenset("header head topnav brand logo".split())
+#: Words that leave a class name a whole noise name: ``comment-list`` is one, ``has-sidebar`` is not.
+PLAIN = frozenset("list area section box block posts articles stories items item form".split())
+#: Beside these words ``comment`` says something about an article, not that it is one.
+NO_COMMENT = frozenset("open closed status no has with".split())
 NOISE_ROLES = frozenset(
     "navigation banner complementary contentinfo search dialog alertdialog alert form menu menubar"
     " toolbar status".split()
@@ -80,10 +84,10 @@ class Element:
     ``chars``, ``links`` and ``commas`` count what is not dropped below it, without white space.
     """
 
-    __slots__ = ("name", "up", "parts", "points", "drop", "chars", "links", "commas")
+    __slots__ = ("name", "up", "parts", "points", "drop", "unsure", "content", "chars", "links", "commas")
 
-    def __init__(self, name: str, up: Element | None, drop: bool = False):
-        self.name, self.up, self.drop = name, up, drop
+    def __init__(self, name: str, up: Element | None, drop: bool = False, unsure: bool = False, content: bool = False):
+        self.name, self.up, self.drop, self.unsure, self.content = name, up, drop, unsure, content
         self.parts: list = []
         self.points = 0.0
         self.chars = self.links = self.commas = 0
@@ -96,23 +100,61 @@ def _attributes(source: str) -> dict[str, str]:
     return found
 
 
-def _is_noise(name: str, attrs: str, in_content: bool) -> bool:
+def _noise(name: str, attrs: str, in_content: bool) -> tuple[bool, bool, bool]:
+    """Whether an element is noise, whether only a part of a class name says so, whether it is content."""
+    content = name in CONTENT
     if name in DROPPED or name == "header" and not in_content:
-        return True
+        return True, False, False
     if not attrs or name in ("html", "body") or name in HEADINGS:
-        return False
+        return False, False, content
     found = _attributes(attrs)
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true":
-        return True
+        return True, False, False
     if _UNSEEN.search(found.get("style", "")):
-        return True
-    if found.get("role", "").lower() in NOISE_ROLES:
-        return True
-    named = _CAMEL.sub(" ", f"{found.get('class', '')} {found.get('id', '')}").lower()
-    words = set(_WORDS.findall(named))
-    if name == "main" or found.get("role", "").lower() in CONTENT:
-        return False
-    return bool(words & NOISE) or not in_content and bool(words & PAGE_NOISE) and name != "article"
+        return True, False, False
+    role = found.get("role", "").lower()
+    if role in NOISE_ROLES:
+        return True, False, False
+    if name == "main" or role in CONTENT:
+        return False, False, True
+    noise = NOISE if in_content or name == "article" else NOISE | PAGE_NOISE
+    named = f"{found.get('class', '')} {found.get('id', '')}".split()
+    names = [set(_WORDS.findall(_CAMEL.sub(" ", one).lower())) for one in named]
+    names = [words for words in names if words & noise]
+    whole = any(all(word in noise or word in PLAIN or word.isdigit() for word in words) for words in names)
+    if name == "article":
+        comment = any(words & {"comment", "reply"} and not words & NO_COMMENT for words in names)
+        return (True, False, False) if whole or comment else (False, False, True)
+    return bool(names), not whole, False
+
+
+def _settle(root: Element) -> None:
+    """Keep what only a part of a class name calls noise if it holds an article or most of the paragraphs."""
+    nodes: list[Element] = []
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        nodes.append(node)
+        todo.extend(p for p in node.parts if isinstance(p, Element) and (not p.drop or p.unsure))
+    if not any(node.unsure and node.drop for node in nodes):
+        return
+    text: dict[int, int] = {}
+    holds: dict[int, bool] = {}
+    for node in reversed(nodes):
+        inner = [p for p in node.parts if isinstance(p, Element) and id(p) in text]
+        own = 0
+        if node.name in PARAGRAPHS:
+            own = sum(len("".join(p.split())) for p in node.parts if isinstance(p, str))
+            own += sum(p.chars for p in inner if p.name not in BLOCKS)
+        elif node.name not in BLOCKS:  # inline text counts for the paragraph around it
+            node.chars = sum(len("".join(p.split())) for p in node.parts if isinstance(p, str))
+            node.chars += sum(p.chars for p in inner)
+        text[id(node)] = own + sum(text[id(p)] for p in inner)
+        holds[id(node)] = node.content or any(holds[id(p)] for p in inner)
+    for node in nodes:
+        node.chars = 0
+        if node.unsure and node.drop and (holds[id(node)] or 2 * text[id(node)] > text[id(root)]):
+            node.drop = False
 
 
 def _end(open_: Element, names, until) -> Element:
@@ -172,13 +214,14 @@ def parsed(source: str) -> Element:
         up = open_
         while up is not None and not in_content:
             in_content, up = up.name in CONTENT, up.up
-        node = Element(name, open_, _is_noise(name, token["attrs"], in_content))
+        node = Element(name, open_, *_noise(name, token["attrs"], in_content))
         open_.parts.append(node)
         if name in RAW and not token["attrs"].endswith("/"):
             close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(source, at)
             at = close.end() if close else end
         elif name not in VOID and not (token["attrs"].endswith("/") and name not in BLOCKS):
             open_ = node
+    _settle(root)
     return root
 
 
