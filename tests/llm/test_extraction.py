@@ -55,3 +55,18 @@ def test_a_noise_word_in_a_wrapper_drops_no_article():
     comments = "<div class=comment-list><article class=comment-body><p>No, no, no, no, no, no, no.</p></article></div>"
     assert main_text(f"<body><article><p>Yes, yes.</p></article>{comments}</body>") == "Yes, yes."
     assert main_text("<article><p>Yes, yes.</p><div class=share-this><p>No.</p></div></article>") == "Yes, yes."
+
+
+def test_what_stands_beside_the_container_stays():
+    story = "".join(f"<p>Long paragraph {i}, with commas, and more words, {'so on, ' * 20}end.</p>" for i in range(3))
+    page = (
+        f"<body><ul><li><a>Home</a><li><a>News</a><li><a>More</a></ul><div id=story>{story}</div><ul><li>fact one<li>fact two</ul>"
+        "<table><tr><td>1<td>2</table>loose <b>text</b><dl><dt>term<dd>meaning</dl><figure><figcaption>Picture</figure>"
+        "<section><h2>Second</h2><p>Short.</section><div class=sidebar><p>Side</div><p>Short end.</p>"
+        "<ul><li><a>Terms</a><li><a>Press</a><li><a>Jobs</a></ul></body>"
+    )
+    lines = main_text(page).split("\n")
+    assert [line.split()[0] for line in lines[:3]] == ["Long"] * 3
+    assert lines[3:] == [
+        "fact one", "fact two", "1 2", "loose text", "term", "meaning", "Picture", "Second", "Short.", "Short end."
+    ]

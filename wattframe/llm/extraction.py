@@ -65,6 +65,8 @@ NOISE_ROLES = frozenset(
     " toolbar status".split()
 )
 CONTENT = frozenset("article main".split())
+#: Kept beside the best container of a page without article.
+BESIDE = frozenset("p pre blockquote ul ol dl table figure details address div section".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>"
@@ -287,33 +289,40 @@ def _score(root: Element) -> Element | None:
     return best
 
 
-def _kept(best: Element) -> list[Element]:
-    """The container, or the article around it, with the siblings that belong to it."""
-    up = best
-    while up is not None:
+def _kept(best: Element) -> list:
+    """The container, or the article around it, with the siblings that belong to it.
+
+    Beside an article only what looks like more of it is kept. Without one, so is everything of few
+    links that stands beside the container, and all between the first and the last of that.
+    """
+    up, content = best, False
+    while up is not None and not content:
         if up.name in CONTENT:
-            best = up
-            break
+            best, content = up, True
         up = up.up
     if best.up is None:
         return [best]
     kept = []
     bar = max(3.0, 0.2 * best.points)
-    for part in best.up.parts:
+    for at, part in enumerate(best.up.parts):
         if not isinstance(part, Element) or part.drop:
             continue
         if part is best:
-            kept.append(part)
+            kept.append(at)
             continue
         if not part.chars or part.links > 0.25 * part.chars:
             continue
-        if part.name in HEADINGS or part.name == "header":
-            kept.append(part)
+        if not content and part.name in BESIDE:
+            kept.append(at)
+        elif part.name in HEADINGS or part.name == "header":
+            kept.append(at)
         elif part.name in PARAGRAPHS and (part.chars > 80 or part.commas):
-            kept.append(part)
+            kept.append(at)
         elif part.name in ("div", "section", "article") and part.points >= bar:
-            kept.append(part)
-    return kept
+            kept.append(at)
+    if not content:
+        kept = range(kept[0], kept[-1] + 1)
+    return [best.up.parts[at] for at in kept]
 
 
 def _is_menu(node: Element) -> bool:
@@ -365,13 +374,11 @@ def main_text(source: str | None) -> str:
     if best is None:
         return ""
     done: list[str] = []
-    line: list[str] = []
-    for node in _kept(best):
-        _blocks(node, done, line)
-        text = " ".join("".join(line).split())
-        line.clear()
-        if text:
-            done.append(text)
+    whole = Element("body", None)
+    for part in _kept(best):
+        cell = isinstance(part, Element) and part.name in ("td", "th")  # cells of a layout end their line
+        whole.parts += [Element("div", whole), part, Element("div", whole)] if cell else [part]
+    _blocks(whole, done, [])
     return "\n".join(done)
 
 
