@@ -33,6 +33,7 @@ from wattframe.plans import serving
 from wattframe.plans.ingest import latest_period, load_periods, step_back
 from wattframe.plans.refresh import clean_range
 from wattframe.session import keep, scratch_path
+from wattframe.sources import snapshots
 from wattframe.sources.catalog import SOURCES, TableSpec
 from wattframe.sources.files import (
     explode_records,
@@ -1028,6 +1029,39 @@ def file_round_trip(spark, sf_dir):
     return _by_period(read_table(spark, f"{base}/table"))
 
 
+@check(
+    "q39_versions_of_a_table",
+    f"""SELECT version, o_orderstatus, count(*) AS orders, CAST(sum({AMOUNT_SQL}) AS DOUBLE) AS amount
+FROM (SELECT 'first' AS version, * FROM orders UNION ALL
+  SELECT 'second', * FROM orders WHERE o_orderdate < '1998-01-01' OR o_orderstatus = 'F' UNION ALL
+  SELECT 'third', * FROM orders WHERE o_orderdate < '1998-01-01' OR o_orderstatus = 'F') GROUP BY ALL""",
+)
+def versions_of_a_table(spark, sf_dir):
+    """All orders; then years from 1998 replaced by their filled ones; then small parts merged.
+
+    Each reader goes on with the version it has opened.
+    """
+    path = scratch_path(spark, "versions")
+    orders = table(spark, sf_dir, "orders").withColumn("amount", money("o_totalprice"))
+    year = F.year("o_orderdate")
+    early = orders.where(year < 1998)
+    snapshots.replace(orders.where((year >= 1998) | (F.col("o_orderkey") % 2 == 0)), path, year)
+    written = snapshots.write_parts(early.where(F.col("o_orderkey") % 2 != 0), path, year)
+    snapshots.commit(spark, path, written, snapshots.current(spark, path), append=True)
+    opened = {"first": read_table(spark, path)}
+    late = orders.where(year >= 1998)
+    replaced = [str(row[0]) for row in late.select(year).distinct().collect()]
+    snapshots.replace(late.where("o_orderstatus = 'F'"), path, year, replaced=replaced)
+    opened["second"] = read_table(spark, path)
+    snapshots.compact(spark, path)
+    opened["third"] = read_table(spark, path)
+    frames = [rows.select(F.lit(name).alias("version"), "o_orderstatus", "amount") for name, rows in opened.items()]
+    return (
+        frames[0].unionByName(frames[1]).unionByName(frames[2]).groupBy("version", "o_orderstatus")
+        .agg(F.count("*").alias("orders"), F.sum("amount").cast("double").alias("amount"))
+    )
+
+
 @check("q33_pick_up_of_new_files", _ROUND_TRIP_SQL)
 def streamed_pick_up(spark, sf_dir):
     """Three landings, the last one a repetition; every row counts once."""

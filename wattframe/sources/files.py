@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wattframe.sources import snapshots
 from wattframe.sources.catalog import SourceSpec
+from wattframe.sources.sorting import in_order
 
 INCREMENTAL_FOLDER = "/incremental/"
 LOADED_AT = "loaded_at"
@@ -263,31 +265,23 @@ def write_csv(records: DataFrame, folder: str) -> None:
     )
 
 
-def sort_columns(names) -> list[Column]:
-    """``-name`` sorts descending."""
-    return [
-        F.desc(f"`{name[1:]}`") if name.startswith("-") else F.asc(f"`{name}`") for name in names
-    ]
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A stored table; of one with snapshots, the newest as it is now (see :mod:`.snapshots`)."""
+    snapshot = snapshots.current(spark, path)
+    return spark.read.parquet(path) if snapshot is None else snapshots.read(spark, path, snapshot)
 
 
 def write_table(
     table: DataFrame, path: str, sort=(), partition_by: list[str] | None = None
 ) -> None:
-    """Replace a Parquet table.
+    """Replace a Parquet table. While it is written, readers find it incomplete;
+    :func:`wattframe.sources.snapshots.replace` is the way for tables that are read meanwhile.
 
-    Sorting happens here and only here: range partitions by the sort key, each sorted, so that the
-    files' statistics let a time slice skip most of them. The other columns follow in the key:
-    distinct rows then never tie, and a sort key that much of the table shares still splits evenly.
+    Sorting happens in the sinks and only there (:func:`wattframe.sources.sorting.in_order`).
     ``partition_by`` adds folders for very long histories.
     """
     if sort:
-        named = {name.removeprefix("-") for name in sort}
-        rest = [name for name in table.columns if name not in named]
-        table = table.orderBy(*sort_columns([*sort, *rest]))
+        table = in_order(table, sort)
     writer = table.write.mode("overwrite").option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -9,6 +9,7 @@ and rows of other batches are never rewritten or deleted.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,8 @@ from wattframe.operators.rows import DELIVERED_AT, DELIVERED_FROM, delivery
 from wattframe.sources.files import text_schema
 
 BATCH, BUCKET = "batch_id", "period_year"
+#: The folder of what has no year, as Spark names it and as a part of a stored table.
+_HIVE_NULL, NO_YEAR = "__HIVE_DEFAULT_PARTITION__", "none"
 PICKED_AT = "picked_at"
 QUERY_ID = "sql.streaming.queryId"
 
@@ -42,6 +45,30 @@ def read_picked_up(spark: SparkSession, path: str, picked_at: bool = False) -> D
     return spark.read.parquet(path).drop(*hidden)
 
 
+def batch_parts(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The batches that have landed, each with its years' folders; nothing but folders is listed."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def below(folder, column: str) -> dict:
+        found = files.listStatus(folder) if files.exists(folder) else []
+        named = ((status.getPath(), status.getPath().getName()) for status in found)
+        return {name.removeprefix(f"{column}="): at for at, name in named if name.startswith(f"{column}=")}
+
+    return {
+        batch: [NO_YEAR if year == _HIVE_NULL else year for year in below(at, BUCKET)]
+        for batch, at in below(root, BATCH).items()
+        if files.exists(spark._jvm.org.apache.hadoop.fs.Path(at, "_SUCCESS"))
+    }
+
+
+def read_batches(spark: SparkSession, path: str, batches: list[str]) -> DataFrame:
+    """The cleaned rows of some batches; others are not opened."""
+    hidden = [BUCKET, PICKED_AT, DELIVERED_AT, DELIVERED_FROM]
+    frames = [spark.read.parquet(f"{path.rstrip('/')}/{BATCH}={batch}").drop(*hidden) for batch in batches]
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
 def newest_delivery(rows: DataFrame) -> list[Column]:
     """Order of revisions, the last one first: by the time of the delivered file, then its path.
 
@@ -50,7 +77,7 @@ def newest_delivery(rows: DataFrame) -> list[Column]:
     return [F.desc(name) for name in [*delivery(rows), PICKED_AT]]
 
 
-def _year_of(rows: DataFrame) -> Column:
+def year_of(rows: DataFrame) -> Column:
     """The folder of a row. What is no calendar year shares one folder, so folders stay few."""
     year = F.year("period") if "period" in rows.columns else F.col("year")
     return F.when(year.between(1, 9999), year)
@@ -66,7 +93,7 @@ def append_new_rows(
     counts, a value that returns to what it was before must not be lost.
     """
     spark = rows.sparkSession
-    fresh = rows.withColumn(BUCKET, _year_of(rows)).persist()
+    fresh = rows.withColumn(BUCKET, year_of(rows)).persist()
     stored = None if every_delivery else stored_rows(spark, path)
     if stored is None:
         new = fresh.dropDuplicates()
