@@ -30,7 +30,7 @@ from wattframe.operators.rows import (
 )
 from wattframe.operators.shares import group_share, row_share
 from wattframe.plans import serving
-from wattframe.plans.ingest import latest_period, load_periods, step_back
+from wattframe.plans.ingest import latest_period, load_periods, missing_ranges, step_back
 from wattframe.plans.refresh import clean_range
 from wattframe.session import keep, scratch_path
 from wattframe.sources import snapshots
@@ -44,6 +44,7 @@ from wattframe.sources.files import (
     write_csv,
     write_table,
 )
+from wattframe.sources.manifest import latest_known_period, read_known, update_manifest
 from wattframe.streaming.pickup import newest_delivery, pick_up, read_picked_up
 
 MONTH_SQL = "CAST(date_trunc('month', o_orderdate) AS DATE)"
@@ -1062,6 +1063,50 @@ def versions_of_a_table(spark, sf_dir):
     )
 
 
+@check(
+    "q40_manifest_of_raw_files",
+    f"""SELECT strftime(o_orderdate, '%Y-%m') AS period, o_orderpriority AS priority, count(*) AS n,
+  CAST(sum({AMOUNT_SQL}) AS DOUBLE) AS amount,
+  (SELECT strftime(max(o_orderdate), '%Y-%m') FROM orders) AS latest
+FROM orders WHERE o_orderdate >= '1996-03-01' AND o_orderdate < '1997-06-01' GROUP BY ALL""",
+)
+def manifest_of_raw_files(spark, sf_dir):
+    """A range of periods from extracts by year that landed in two goes, the second with other columns."""
+    base, source = scratch_path(spark, "manifest"), SOURCES["steo"]
+    root, stored = f"{base}/{source.raw_prefix}", f"{base}/manifest"
+    rows = _order_extract(spark, sf_dir)
+    for years, columns in (((1992, 1996), rows.columns), ((1996, 2002), rows.columns[::-1])):
+        for year in map(str, range(*years)):
+            landed = rows.where(F.col("period").startswith(year)).select(*columns)
+            write_csv(landed, raw_folder(base, source, year, year))
+        update_manifest(spark, root, stored)
+    found = read_known(spark, stored, "1996-03", "1997-05")
+    ranged = found.where(F.col("period").between("1996-03", "1997-05"))
+    return _by_period(ranged).withColumn("latest", F.lit(latest_known_period(spark, stored)))
+
+
+@check(
+    "q41_ranges_still_to_load",
+    """WITH months AS (
+  SELECT unnest(generate_series(DATE '1991-11-01', DATE '2002-02-01', INTERVAL 1 MONTH)) AS month),
+stored AS (SELECT DISTINCT date_trunc('month', o_orderdate) AS month FROM orders
+  WHERE month(o_orderdate) % 5 <> 0 AND NOT (year(o_orderdate) = 1995 AND month(o_orderdate) IN (7, 8, 9))),
+missing AS (SELECT month, row_number() OVER (ORDER BY month) AS n FROM months
+  WHERE month NOT IN (SELECT month FROM stored)),
+runs AS (SELECT month, CAST(month AS DATE) - to_months(CAST(n AS INTEGER)) AS run FROM missing)
+SELECT strftime(min(month), '%Y-%m') AS start, strftime(max(month), '%Y-%m') AS "end", count(*) AS periods
+FROM runs GROUP BY run""",
+)
+def ranges_still_to_load(spark, sf_dir):
+    """Order months with planted gaps against the whole range."""
+    month = F.month("o_orderdate")
+    gap = (F.year("o_orderdate") == 1995) & month.isin(7, 8, 9)
+    stored = table(spark, sf_dir, "orders").where((month % 5 != 0) & ~gap)
+    return missing_ranges(
+        stored.select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("period")), "1991-11", "2002-02", WEEKLY
+    )
+
+
 @check("q33_pick_up_of_new_files", _ROUND_TRIP_SQL)
 def streamed_pick_up(spark, sf_dir):
     """Three landings, the last one a repetition; every row counts once."""

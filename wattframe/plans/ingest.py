@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattframe.functions.calendar import ANNUAL, MONTHLY
@@ -68,6 +68,30 @@ def load_ranges(spark: SparkSession, start: str | None, end: str | None, grain:
     return periods.select("start", F.col("start").alias("end"))
 
 
+def missing_ranges(stored: DataFrame, start: str, end: str, grain: str, period: str = "period") -> DataFrame:
+    """``start, end, periods`` of each gap: the longest runs of load periods without a stored row.
+
+    ``stored`` has the periods that have been loaded, as text of the source's grain; weekly data counts
+    by month, as it is loaded. Overlapping loads count once, malformed periods and those outside the range do
+    not count. Nothing stored gives one range, nothing missing none. Runs come from the place of a missing
+    period among all periods less its place among the missing ones, which is one number per run; both
+    are lists of periods, not of rows.
+    """
+    width = 4 if grain == ANNUAL else 7
+    wanted = stored.sparkSession.range(1).select(
+        F.posexplode(load_periods(F.lit(start), F.lit(end), grain)).alias("place", "load")
+    )
+    loaded = stored.select(F.substring(F.trim(period), 1, width).alias("load")).distinct()
+    missing = wanted.join(loaded, "load", "left_anti")
+    run = F.col("place") - F.row_number().over(Window.orderBy("place"))  # calendar periods only
+    return (
+        missing.withColumn("_run", run)
+        .groupBy("_run")
+        .agg(F.min("load").alias("start"), F.max("load").alias("end"), F.count("*").alias("periods"))
+        .drop("_run")
+    )
+
+
 def run_range(
     source: SourceSpec,
     run_day: date,

@@ -18,6 +18,7 @@ from wattframe.plans.tables import RESULT_TABLES
 from wattframe.session import keep
 from wattframe.sources.catalog import SOURCES, TABLES, SourceSpec
 from wattframe.sources.files import read_csv, read_table, write_table
+from wattframe.sources.manifest import read_known, update_manifest
 from wattframe.streaming.pickup import read_picked_up
 
 
@@ -29,6 +30,10 @@ def table_path(base: str, table: str) -> str:
     return f"{base.rstrip('/')}/processed/{TABLES[table].path}"
 
 
+def manifest_path(base: str, source: str) -> str:
+    return f"{base.rstrip('/')}/manifest/{source}"
+
+
 def clean_range(
     clean: DataFrame, source: SourceSpec, start: str | None, end: str | None
 ) -> DataFrame:
@@ -67,9 +72,13 @@ def refresh_source(
     end: str | None = None,
     newest_only: bool = False,
     out: str | None = None,
+    manifest: bool = False,
 ) -> list[str]:
     """Clean one source and rebuild its tables; returns the names of the tables written.
 
+    With ``manifest`` a manifest of the raw files is kept next to them: the headers of known files are
+    not looked up again, and files outside the range are not opened.
+
     ``start`` and ``end`` limit what is processed, so cleaned rows and tables hold that range only.
     They would replace the whole history, so a range needs an ``out`` apart from ``base``.
     Continuous loads go through the streaming pick-up and :func:`add_picked_up`.
@@ -78,7 +87,12 @@ def refresh_source(
         raise ValueError("a refresh of a range needs a place of its own: name it with out")
     out = out or base
     source = SOURCES[name]
-    raw = read_csv(spark, f"{base.rstrip('/')}/{source.raw_prefix}", newest_only=newest_only)
+    root = f"{base.rstrip('/')}/{source.raw_prefix}"
+    if manifest:
+        update_manifest(spark, root, manifest_path(base, name))
+        raw = read_known(spark, manifest_path(base, name), start, end, newest_only=newest_only)
+    else:
+        raw = read_csv(spark, root, newest_only=newest_only)
     write_table(clean_range(CLEANING[name](raw), source, start, end), clean_path(out, name))
     return build_tables(read_table(spark, clean_path(out, name)), name, out)
 

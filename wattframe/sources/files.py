@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import csv
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,8 +58,14 @@ def newest_extract(files: DataFrame) -> DataFrame:
     return extracts.where(F.col("extract") == newest["extract"]).drop("extract")
 
 
-def csv_layouts(spark: SparkSession, paths: list[str], key: str = "period") -> dict:
-    """Files grouped by header and by whether any record spans lines.
+def plain_path() -> Column:
+    """The path of a row's file as a listing has it; the metadata column has it URL-encoded."""
+    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    return F.url_decode(encoded)
+
+
+def file_layouts(spark: SparkSession, paths: list[str], key: str = "period") -> DataFrame:
+    """``path, header, spans`` of each file with text: its header line, and whether any record spans lines.
 
     One distributed pass over the text: only lines that can be a header (they hold the column
     ``key``) and lines that leave a quoted field open leave the scan, so what is grouped per file is
@@ -71,14 +76,14 @@ def csv_layouts(spark: SparkSession, paths: list[str], key: str = "period") -> d
     # inside an unquoted field, such as an inch mark, opens nothing.
     closed = F.regexp_replace("value", r'(^|,)"(?:[^"]|"")*"(?=,|$)', "$1")
     lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"),
+        plain_path().alias("path"),
         F.struct(
             F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
         ).alias("position"),
         F.col("value").alias("line"),
         closed.rlike(r'(^|,)"').alias("spans"),
     )
-    per_file = (
+    return (
         lines.where(F.col("spans") | F.col("line").contains(key))
         .groupBy("path")
         .agg(
@@ -86,13 +91,35 @@ def csv_layouts(spark: SparkSession, paths: list[str], key: str = "period") -> d
             F.max("spans").alias("spans"),
         )
     )
+
+
+def layouts_of(files: DataFrame, key: str = "period") -> dict[tuple[tuple[str, ...], bool], list[str]]:
+    """Paths by header and by whether records span lines, from ``path, header, spans``; files without
+    text are left out. One row per file goes to the driver, as many as the listing itself has."""
     layouts: dict[tuple[tuple[str, ...], bool], list[str]] = {}
-    for row in per_file.collect():  # one row per file, as many as the listing itself has
+    for row in files.where("spans IS NOT NULL").orderBy("path").toLocalIterator():
         header = tuple(next(csv.reader([row["header"] or ""]), ()))
         if key not in header:
             raise ValueError(f"no header with a column {key!r} in {row['path']}")
-        layouts.setdefault((header, row["spans"]), []).append(unquote(row["path"]))
-    return layouts
+        layouts.setdefault((header, row["spans"]), []).append(row["path"])
+    return {layout: layouts[layout] for layout in sorted(layouts)}
+
+
+def csv_layouts(spark: SparkSession, paths: list[str], key: str = "period") -> dict:
+    """:func:`file_layouts` grouped as :func:`layouts_of` does."""
+    return layouts_of(file_layouts(spark, paths, key), key)
+
+
+def csv_frame(spark: SparkSession, header: tuple[str, ...], spans_lines: bool, paths: list[str]) -> DataFrame:
+    """Files of one layout as text columns; Spark raises if a file has another header."""
+    return (
+        spark.read.schema(text_schema(header))
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("escape", '"')
+        .option("multiLine", spans_lines)
+        .csv(paths)
+    )
 
 
 def read_csv(
@@ -134,15 +161,7 @@ def read_csv(
         raise FileNotFoundError(f"only empty CSV files below {root}")
 
     def read_layout(layout, layout_paths):
-        header, spans_lines = layout
-        frame = (
-            spark.read.schema(text_schema(header))
-            .option("header", True)
-            .option("enforceSchema", False)
-            .option("escape", '"')
-            .option("multiLine", spans_lines)
-            .csv(layout_paths)
-        )
+        frame = csv_frame(spark, *layout, layout_paths)
         if loaded_at:
             frame = frame.select("*", F.col("_metadata.file_modification_time").alias(LOADED_AT))
         return frame
