@@ -194,6 +194,22 @@ def _postings(classes: DataFrame, frequent: np.ndarray, percent: int) -> DataFra
     )
 
 
+def _without_nested(large: DataFrame) -> DataFrame:
+    """Groups whose members all have one earlier group in common go.
+
+    The common prefix order puts the n-grams of a shared passage in one order in all of its documents,
+    so their groups are nested: whoever has the later n-gram in its prefix has the earlier one too. Every
+    pair of such a group meets in the earlier group, which is not dropped in favour of a later one.
+    """
+    order = Window.partitionBy("key").orderBy("place")  # a document's prefix
+    seen = large.withColumns({"before": F.lag("gram").over(order), "first": F.first("gram").over(order)})
+    all_after_one = (F.min("before") == F.max("before")) & (F.count("before") == F.count("*"))
+    all_begin_with_one = (F.min("first") == F.max("first")) & (F.min("first") != F.col("gram"))
+    nested = F.coalesce(all_after_one | all_begin_with_one, F.lit(False))
+    kept = seen.groupBy("gram").agg(nested.alias("nested")).where("NOT nested").select("gram")
+    return large.join(kept, "gram", "left_semi")
+
+
 def _needed_column(total: Column, percent: int) -> Column:
     return F.ceil(total * percent / (100 + percent))
 
@@ -462,7 +478,7 @@ def linked_components(
     groups = posted.groupBy("gram").agg(F.count("*").alias("members")).where("members > 1")
     posted = keep(posted.join(groups, "gram"))
     pairs = keep(_small_pairs(posted, percent))
-    large = posted.where(F.col("members") > SMALL_GROUP)
+    large = keep(_without_nested(posted.where(F.col("members") > SMALL_GROUP)))
     names = keep(classes.select("key", "smallest", "doc_id", "digest"))
     keys = (
         pairs.select(F.col("x").alias("key"))
