@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -27,7 +29,7 @@ from wattframe.session import keep
 SEQUENCE, END_ID = 2048, 1
 #: Token counts that share a bin; a bin counts as its largest length. Divides the sequence.
 BIN = 16
-#: Words whose ids a task remembers before it starts afresh: bounds its memory.
+#: Words whose ids a Python worker remembers; of more, those not met lately go. Bounds its memory.
 REMEMBERED = 600_000
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -61,6 +63,18 @@ class _Words:
         self.ends[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
         self.by_words = bool(self.ends.any()) and not self._whole(" \t\n\v\f\r ")
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    @classmethod
+    def of_worker(cls, path: str) -> _Words:
+        """The tokenizer and the words of this Python worker, which runs one task after another.
+
+        This package travels by value, so its own modules begin anew with each task.
+        """
+        memory = sys.modules.setdefault("_words_of_worker", types.ModuleType("_words_of_worker")).__dict__
+        if path not in memory:
+            memory[path] = cls(path)
+        return memory[path]
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -91,13 +105,16 @@ class _Words:
 
     def encode(self, batch: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+        if len(self.known) > REMEMBERED // 2:
+            self.before, self.known = self.known, {}
         split = [
             text.lower().split() if self.by_words and "<|" not in text and _PLAIN.fullmatch(text) else None
             for text in batch
         ]
         new = set().union(*filter(None, split)).difference(self.known)
+        again = {word: self.before[word] for word in new if word in self.before}
+        self.known.update(again)
+        new.difference_update(again)
         if new:
             self._learn(new)
         ids = self.known.__getitem__
@@ -109,7 +126,7 @@ class _Words:
 
 def _tokenised(path: str, size: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words(path)
+        words = _Words.of_worker(path)
         end = np.array([end_id], "<u4").tobytes()
         for batch in in_slices(batches):
             rows, ids = [], []
