@@ -15,6 +15,8 @@ from wattframe.llm.tables import unit_interval
 from wattframe.session import keep
 
 ROUNDS, TOLERANCE = 30, 1e-4
+#: Cells that are raked in one task, without shuffles.
+FEW_CELLS = 100_000
 NONE = "(none)"
 
 
@@ -42,6 +44,11 @@ def tempered(cells: DataFrame, dimension: str, power: float) -> DataFrame:
     return raised
 
 
+def _together(cells: DataFrame, few: bool) -> DataFrame:
+    """A few cells in one partition: sums and joins over them then need no shuffle."""
+    return cells.coalesce(1) if few else cells
+
+
 def raked(
     cells: DataFrame,
     targets: dict[str, DataFrame],
@@ -54,38 +61,41 @@ def raked(
     cells do not count, and cells whose value has no target get weight 0. Weights sum up to the
     tokens. The rounds end when no share is off by more than ``tolerance``; targets that contradict
     each other (through cells that are missing) end after ``rounds``, with the last dimension exact.
+
+    A round is one written table and one look at how far its factors were from 1, which is how far
+    off the shares were. Up to ``FEW_CELLS`` cells are counted and worked on in one task; more are shuffled.
     """
-    total = cells.agg(F.sum("tokens")).first()[0] or 0
-    fitted = keep(cells.withColumn("weight", F.col("tokens").cast("double")))
+    total, count = cells.agg(F.sum("tokens"), F.count("*")).first()
+    total, few = total or 0, count <= FEW_CELLS
+    fitted = keep(_together(cells, few).withColumn("weight", F.col("tokens").cast("double")))
     goals = {}
     for name, target in targets.items():
-        present = target.join(
-            fitted.groupBy(F.col(name).alias("value")).agg(F.sum("tokens").alias("has")).where("has > 0"),
-            "value",
-        )
-        present = keep(present.where("share > 0").select("value", F.col("share").cast("double").alias("share")))
+        has = _together(fitted, few).groupBy(F.col(name).alias("value")).agg(F.sum("tokens").alias("has"))
+        present = target.join(has.where("has > 0"), "value").where("share > 0")
+        present = keep(_together(present.select("value", F.col("share").cast("double").alias("share")), few))
         whole = present.agg(F.sum("share")).first()[0] or 1.0
         goals[name] = present.select(
             F.col("value").alias(name), (F.col("share") / whole * total).alias("goal")
         )
     for _ in range(rounds):
+        fitted = _together(fitted.select(*cells.columns, "weight"), few).withColumn("_off", F.lit(0.0))
         for name, goal in goals.items():
             has = fitted.groupBy(name).agg(F.sum("weight").alias("has"))
-            factor = has.join(goal, name, "left").select(
+            factor = has.join(_together(goal, few), name, "left").select(
                 name,
                 F.when(F.col("has") > 0, F.coalesce("goal", F.lit(0.0)) / F.col("has")).otherwise(0.0).alias("factor"),
+                F.coalesce(F.abs(F.col("has") / F.col("goal") - 1), F.lit(0.0)).alias("off"),
+            )
+            fitted = fitted.join(factor, name).select(
+                *cells.columns,
+                (F.col("weight") * F.col("factor")).alias("weight"),
+                F.greatest("_off", "off").alias("_off"),
             )
-            fitted = fitted.join(factor, name).withColumn("weight", F.col("weight") * F.col("factor"))
-            fitted = fitted.select(*cells.columns, "weight")
         fitted = keep(fitted)
-        off = 0.0
-        for name, goal in list(goals.items())[:-1]:  # the last one has just been met
-            has = fitted.groupBy(name).agg(F.sum("weight").alias("has"))
-            worst = has.join(goal, name).agg(F.max(F.abs(F.col("has") / F.col("goal") - 1))).first()[0]
-            off = max(off, worst or 0.0)
-        if off <= tolerance:
+        # A share met in its turn is moved again by the dimensions after it, by as much as they were off.
+        if (fitted.agg(F.max("_off")).first()[0] or 0.0) * len(goals) <= tolerance:
             break
-    return fitted
+    return fitted.select(*cells.columns, "weight")
 
 
 def probabilities(fitted: DataFrame, fraction: float) -> DataFrame:
