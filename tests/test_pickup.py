@@ -89,3 +89,33 @@ def test_latest_revision_of_every_delivery(spark, tmp_path):
     latest = latest_revision(rows, ["year", "key"], [F.desc("picked_at")])
     assert [row["v"] for row in latest.collect()] == ["first"]
     assert read_picked_up(spark, path).columns == ["year", "key", "v"]
+
+
+def test_batches_are_compared_by_digests_alone(spark, tmp_path, monkeypatch):
+    from wattframe.streaming import pickup
+
+    path = str(tmp_path / "t")
+    schema = "year int, key string, v double"
+    rows = [(2024, "a", 0.0), (2024, "", None), (2024, None, None), (2024, "a", float("nan")), (None, "u", 1.0)]
+    append_new_rows(spark.createDataFrame(rows, schema), path, "q-0")
+    again = [(2024, "a", -0.0), (2024, "", None), (2024, None, None), (2024, "a", float("nan")), (None, "u", 1.0)]
+    read = []
+    stored = pickup.stored_rows
+    monkeypatch.setattr(pickup, "stored_rows", lambda *a: read.append(stored(*a)) or read[-1])
+    append_new_rows(spark.createDataFrame([*again, (2024, "a", 2.0), (2025, "a", 0.0)], schema), path, "q-1")
+    (table,) = read
+    assert pickup.DIGEST in table.columns
+    found = read_picked_up(spark, path)
+    assert found.columns == ["year", "key", "v"]
+    assert found.count() == 7
+    assert found.where("v = 2.0 OR year = 2025").count() == 2
+
+
+def test_a_table_from_before_digests(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = spark.createDataFrame([(2024, "a"), (2024, "b")], "year int, v string")
+    old.withColumn("period_year", F.col("year")).write.partitionBy("period_year").parquet(f"{path}/batch_id=q-0")
+    for batch, values in (("q-1", "ac"), ("q-2", "bcd")):
+        rows = [(2024, v) for v in values]
+        append_new_rows(spark.createDataFrame(rows, "year int, v string"), path, batch)
+    assert sorted(map(tuple, read_picked_up(spark, path).select("v").collect())) == [("a",), ("b",), ("c",), ("d",)]
