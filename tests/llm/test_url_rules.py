@@ -52,3 +52,21 @@ def test_nothing_and_repeated(spark):
     assert judged(pages(spark, []), URL_RULES).collect() == []
     twice = pages(spark, ["http://a.net/x"]).union(pages(spark, ["http://a.net/x"]))
     assert [r.verdict for r in judged(twice, URL_RULES).collect()] == ["block", "block"]
+
+
+def test_few_labels_with_many_tokens_end(spark):
+    long = "http://casino.shop.com/x?" + "&".join(f"casino{i}=value{i}" for i in range(40))
+    urls = [*(f"http://h.org/page/{i}" for i in range(20)), long, "http://casino.win/"]
+    found = judged(pages(spark, urls), []).collect()
+    assert len(found) == 22 and all(r.verdict == "allow" for r in found if r.page_id < 20)
+
+
+def test_a_rule_rests_on_five_labelled_urls(spark):
+    urls = [f"http://deal.h{i}.org/x" for i in range(6)] + [f"http://plain.g{i}.org/x" for i in range(30)]
+    table = pages(spark, urls)
+
+    def blocked(n):
+        labels = table.selectExpr("page_id", "IF(page_id < 6, 'block', 'allow') AS label").where(f"page_id >= {6 - n}")
+        return {r.page_id for r in judged(table, [], labels).collect() if r.verdict == "block"}
+
+    assert (blocked(4), blocked(5)) == (set(), set(range(6)))

@@ -25,6 +25,10 @@ _AFTER = r"^.*?://"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Labelled URLs that a mined rule rests on at least.
+LEAST_ROWS = 5
+
+
 def host_of(url: Column) -> Column:
     """After the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; else empty."""
     host = F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)
@@ -73,14 +77,15 @@ def mined_rules(
 ) -> DataFrame:
     """Rules ``antecedent -> verdict`` from ``(tokens, label)`` rows, pruned.
 
-    Kept are rules with enough support and confidence that no shorter rule with the same verdict
+    A rule rests on ``min_support`` of the rows and on ``LEAST_ROWS`` of them at least: of few labels, every
+    subset of every URL's tokens would be frequent otherwise. Kept are rules with enough support and confidence that no shorter rule with the same verdict
     matches in confidence (its antecedent being part of theirs). Tokens that more than 99 in 100 of all
     ``urls`` have cannot tell any apart and are not mined; without them itemsets stay few.
     """
     rows = keep(labelled.where(F.size("tokens") > 0).select("tokens", "label"))
     total = rows.count()
     schema = "rule_id long, antecedent array<string>, verdict string, confidence double, support double"
-    if total == 0:
+    if total < LEAST_ROWS:
         return rows.sparkSession.createDataFrame([], schema)
     counts = urls.select(F.explode("tokens").alias("token")).groupBy("token").count()
     many = 0.99 * urls.where(F.size("tokens") > 0).count()
@@ -92,7 +97,8 @@ def mined_rules(
             F.array(F.concat(F.lit("="), F.col("label"))),
         ).alias("items")
     )
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
+    support = max(min_support, LEAST_ROWS / total)
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(items)
     label = F.col("consequent")[0]
     found = model.associationRules.where(label.startswith("=")).select(
         F.array_sort("antecedent").alias("antecedent"),
