@@ -1,3 +1,5 @@
+import time
+
 from wattframe.llm.extraction import main_text, main_texts
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="<p>no</p>";</script></head><body>
@@ -70,3 +72,47 @@ def test_what_stands_beside_the_container_stays():
     assert lines[3:] == [
         "fact one", "fact two", "1 2", "loose text", "term", "meaning", "Picture", "Second", "Short.", "Short end."
     ]
+
+
+def test_links_of_an_article_stay():
+    page = (
+        "<article><p>One, two, three.</p><h2>References</h2><ul><li><a>A, 2001</a><li><a>B, 2002</a><li><a>C, 2003</a></ul>"
+        "<p><a>First source</a>, <a>second source</a>, <a>third source</a></p>"
+        "<ol><li><a>A long title of a paper on rivers</a><li><a>Another title of a paper on lakes</a><li><a>The third title of a paper on seas</a></ol>"
+        "<ul><li><a>Home</a><li><a>News</a><li><a>More</a></ul></article>"
+    )
+    assert main_text(page).split("\n") == [
+        "One, two, three.", "References", "A, 2001", "B, 2002", "C, 2003", "First source, second source, third source",
+        "A long title of a paper on rivers", "Another title of a paper on lakes", "The third title of a paper on seas",
+    ]
+
+
+def test_a_quote_within_a_tag_ends_with_the_tag():
+    assert main_text("<article><p it's>one</p><p>two</p><p it's>three</p></article>") == "one\ntwo\nthree"
+    assert main_text("<article><p title='a > b' lang=\"x>y\">one</p><p a=\"b>two</p></article>") == "one\ntwo"
+
+
+def test_nested_articles_and_what_follows_one():
+    nested = "<article><p>Opening, words.</p><article><p>Inner, {}</p></article><p>Closing.</p></article>"
+    inner = "many, words, " * 30
+    assert main_text(nested.format(inner)) == f"Opening, words.\nInner, {inner.strip()}\nClosing."
+    page = "<main><article><p>Story, one.</p></article><div><p>Outro.</p></div><article><h3><a>Other story</a></h3></article></main>"
+    assert main_text(page) == "Story, one.\nOutro."
+
+
+def test_class_words_that_articles_use():
+    page = "<article><p>One, two.</p>{}<p>End.</p></article>"
+    for own in ("<p class=social-history>Own.</p>", "<section class=alert-systems><p>Own.</p></section>", "<p class=share-prices>Own.</p>"):
+        assert main_text(page.format(own)) == "One, two.\nOwn.\nEnd.", own
+    for noise in ("<p class=social>No.</p>", "<div class=alert-box><p>No.</p></div>", "<div class=share-this><p>No.</p></div>"):
+        assert main_text(page.format(noise)) == "One, two.\nEnd.", noise
+
+
+def test_deep_and_broken_pages_in_linear_time():
+    start = time.process_time()
+    deep = 100_000
+    assert main_text("<article>" + "<div>" * deep + "deep") == "deep"
+    assert main_text("<p><table><tr><td>" + "<div>" * 30_000 + "deep").endswith("deep")
+    assert main_text("<article><li><ul>" + "<div>" * 30_000 + "<li>x</li>" * 30_000).count("x") == 30_000
+    assert main_text("<article><p>a" + "<b x='" * 30_000).startswith("a")
+    assert time.process_time() - start < 30

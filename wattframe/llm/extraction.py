@@ -56,6 +56,8 @@ NOISE = frozenset(
 )
 #: Words that name noise only outside an article, where a page's own header would be.
 PAGE_NOISE = frozenset("header head topnav brand logo".split())
+#: Words that an article's own parts are named by too: inside one they are noise only as a whole name.
+DOUBTFUL = frozenset("alert foot hidden hint notice notices rail related skip social".split())
 #: Words that leave a class name a whole noise name: ``comment-list`` is one, ``has-sidebar`` is not.
 PLAIN = frozenset("list area section box block posts articles stories items item form".split())
 #: Beside these words ``comment`` says something about an article, not that it is one.
@@ -65,12 +67,15 @@ NOISE_ROLES = frozenset(
     " toolbar status".split()
 )
 CONTENT = frozenset("article main".split())
+#: Links of a menu within an article have fewer characters than this on average, without white space.
+MENU_CHARS = 20
 #: Kept beside the best container of a page without article.
 BESIDE = frozenset("p pre blockquote ul ol dl table figure details address div section".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>",
+    # A quote holds a value only behind an equals sign; elsewhere, as in <p it's>, it is a sign like others.
+    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+)>",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -127,6 +132,10 @@ def _noise(name: str, attrs: str, in_content: bool) -> tuple[bool, bool, bool]:
     if name == "article":
         comment = any(words & {"comment", "reply"} and not words & NO_COMMENT for words in names)
         return (True, False, False) if whole or comment else (False, False, True)
+    if in_content and not whole:
+        # A part of a name drops no paragraph of an article, and a word that articles use drops nothing.
+        if name in PARAGRAPHS or all(words & noise <= DOUBTFUL for words in names):
+            return False, False, False
     return bool(names), not whole, False
 
 
@@ -159,32 +168,62 @@ def _settle(root: Element) -> None:
             node.drop = False
 
 
-def _end(open_: Element, names, until) -> Element:
-    """Close the nearest open element of these names, unless one of ``until`` is nearer."""
-    at = open_
-    while at.up is not None and at.name not in until:
-        if at.name in names:
-            return at.up
-        at = at.up
-    return open_
+class _Open:
+    """The open elements from the root down, and at which depths each name is among them."""
+
+    def __init__(self, root: Element):
+        self.stack = [root]
+        self.depths: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.content = 0
+
+    def push(self, node: Element) -> None:
+        depth = len(self.stack)
+        self.stack.append(node)
+        self.depths.setdefault(node.name, []).append(depth)
+        if node.name in BLOCKS:
+            self.blocks.append(depth)
+        self.content += node.name in CONTENT
+
+    def close(self, depth: int) -> None:
+        """Close what is open at this depth and below."""
+        while len(self.stack) > depth:
+            node = self.stack.pop()
+            self.depths[node.name].pop()
+            if node.name in BLOCKS:
+                self.blocks.pop()
+            self.content -= node.name in CONTENT
+
+    def nearest(self, names) -> int:
+        """Depth of the nearest open element of these names; 0 without one."""
+        return max((self.depths[name][-1] for name in names if self.depths.get(name)), default=0)
+
+    def end(self, names, until) -> None:
+        """Close the nearest open element of these names, unless one of ``until`` is nearer."""
+        depth = self.nearest(names)
+        if depth > self.nearest(until):
+            self.close(depth)
 
 
 def parsed(source: str) -> Element:
     """The page as a tree. Dropped elements stay in it, marked, so that nesting is right."""
-    root = open_ = Element("html", None)
+    root = Element("html", None)
+    opened = _Open(root)
+    stack = opened.stack
     at, end = 0, len(source)
+    last = source.rfind(">")
     while at < end:
         mark = source.find("<", at)
         if mark < 0:
-            open_.parts.append(source[at:])
+            stack[-1].parts.append(source[at:])
             break
         if mark > at:
-            open_.parts.append(source[at:mark])
+            stack[-1].parts.append(source[at:mark])
+        if last < mark and re.match(r"</?[a-zA-Z]", source[mark : mark + 3]):
+            break  # a tag that the page's end cuts off
         token = _TOKEN.match(source, mark)
-        if token is None:  # a bare sign, or a tag that the page's end cuts off
-            if re.match(r"</?[a-zA-Z]", source[mark : mark + 3]) and ">" not in source[mark:]:
-                break
-            open_.parts.append("<")
+        if token is None:  # a bare sign
+            stack[-1].parts.append("<")
             at = mark + 1
             continue
         at = token.end()
@@ -192,37 +231,30 @@ def parsed(source: str) -> Element:
         if not name or name in ("html", "body") and token["close"]:
             continue
         if token["close"]:
-            node = open_
-            while node.up is not None and node.name != name:
-                if name not in BLOCKS and node.name in BLOCKS:
-                    node = root  # a stray inline end tag closes no block
-                    break
-                node = node.up
-            if node.up is not None:
-                open_ = node.up
+            depth = opened.nearest((name,))
+            if name not in BLOCKS and opened.blocks and opened.blocks[-1] > depth:
+                depth = 0  # a stray inline end tag closes no block
+            if depth:
+                opened.close(depth)
             elif name == "p" or name == "br":
-                open_.parts.append(Element(name, open_))
+                stack[-1].parts.append(Element(name, stack[-1]))
             continue
         if name in CLOSES_P and name != "html":
-            open_ = _end(open_, {"p"}, {"td", "th", "button", "object", "table", "caption"})
-        if name in HEADINGS and open_.name in HEADINGS and open_.up is not None:
-            open_ = open_.up
+            opened.end(("p",), ("td", "th", "button", "object", "table", "caption"))
+        if name in HEADINGS and stack[-1].name in HEADINGS:
+            opened.close(len(stack) - 1)
         if name in ENDS:
             for _ in range(3):
-                open_ = _end(open_, *ENDS[name])
-        if name in ("html", "body") and open_ is not root:
+                opened.end(*ENDS[name])
+        if name in ("html", "body") and len(stack) > 1:
             continue
-        in_content = False
-        up = open_
-        while up is not None and not in_content:
-            in_content, up = up.name in CONTENT, up.up
-        node = Element(name, open_, *_noise(name, token["attrs"], in_content))
-        open_.parts.append(node)
+        node = Element(name, stack[-1], *_noise(name, token["attrs"], opened.content > 0))
+        stack[-1].parts.append(node)
         if name in RAW and not token["attrs"].endswith("/"):
             close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(source, at)
             at = close.end() if close else end
         elif name not in VOID and not (token["attrs"].endswith("/") and name not in BLOCKS):
-            open_ = node
+            opened.push(node)
     _settle(root)
     return root
 
@@ -290,20 +322,26 @@ def _score(root: Element) -> Element | None:
 
 
 def _kept(best: Element) -> list:
-    """The container, or the article around it, with the siblings that belong to it.
+    """The container, or the outermost article or ``main`` around it, with the siblings that belong to it.
 
     Beside an article only what looks like more of it is kept. Without one, so is everything of few
-    links that stands beside the container, and all between the first and the last of that.
+    links that stands beside the container, and all between the first and the last of that. Within a
+    ``main``, other articles stay only if they look like more of the same too.
     """
-    up, content = best, False
-    while up is not None and not content:
+    bar = max(3.0, 0.2 * best.points)
+    up, content, above = best, False, set()
+    while up is not None:
+        above.add(id(up))
         if up.name in CONTENT:
             best, content = up, True
         up = up.up
+    if best.name == "main":
+        for node in _walk(best):
+            if node.name == "article" and id(node) not in above and id(node.up) in above:
+                node.drop = not node.chars or node.links > 0.25 * node.chars or node.points < bar
     if best.up is None:
         return [best]
     kept = []
-    bar = max(3.0, 0.2 * best.points)
     for at, part in enumerate(best.up.parts):
         if not isinstance(part, Element) or part.drop:
             continue
@@ -325,13 +363,20 @@ def _kept(best: Element) -> list:
     return [best.up.parts[at] for at in kept]
 
 
-def _is_menu(node: Element) -> bool:
-    """A list or box of links only."""
-    if node.name not in ("ul", "ol", "div", "section", "table", "p"):
+def _is_menu(node: Element, in_content: bool, after: str) -> bool:
+    """A list or box of links only.
+
+    Within an article, paragraphs, tables and sections of links are its own (sources, say), and so is
+    a list below a heading or one whose entries are longer than a menu's.
+    """
+    if node.name not in (("ul", "ol", "div") if in_content else ("ul", "ol", "div", "section", "table", "p")):
         return False
     if node.links <= 0.8 * node.chars:
         return False
-    return sum(child.name == "a" for child in _walk(node)) >= 3
+    links = [child for child in _walk(node) if child.name == "a"]
+    if len(links) < 3 or not in_content:
+        return len(links) >= 3
+    return after not in HEADINGS and node.links < MENU_CHARS * len(links)
 
 
 def _blocks(node: Element, done: list[str], line: list[str]) -> None:
@@ -345,15 +390,20 @@ def _blocks(node: Element, done: list[str], line: list[str]) -> None:
 
     todo: list = [iter([node])]
     names: list[str] = [""]
+    inside = 0  # open articles and the like
+    after = [""]  # the element before, at each depth
     while todo:
         part = next(todo[-1], None)
         if part is None:
             todo.pop()
-            if names.pop() in BLOCKS:
+            after.pop()
+            name = names.pop()
+            inside -= name in CONTENT
+            if name in BLOCKS:
                 finish()
         elif isinstance(part, str):
             line.append(entities.unescape(part))
-        elif part.drop or _is_menu(part):
+        elif part.drop or _is_menu(part, inside > 0, after[-1]):
             if part.name in BLOCKS:
                 finish()
         else:
@@ -361,8 +411,11 @@ def _blocks(node: Element, done: list[str], line: list[str]) -> None:
                 finish()
             elif part.name in ("br", "td", "th"):
                 line.append(" ")
+            after[-1] = part.name
             todo.append(iter(part.parts))
             names.append(part.name)
+            after.append("")
+            inside += part.name in CONTENT
 
 
 def main_text(source: str | None) -> str:
