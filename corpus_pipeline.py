@@ -3,56 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from wattframe.llm import language
-from wattframe.llm.line_dedup import without_common_lines
-from wattframe.llm.ngram_join import BROADCAST_ROWS, linked_components
-from wattframe.llm.packing import packed
-from wattframe.llm.queries import TOKENIZER, balanced, language_model
+from wattframe.llm.stages import COLUMNS, language_id, line_dedup, near_duplicates, packing, source_mix  # noqa: F401
 from wattframe.llm.tables import table
 from wattframe.session import keep
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: Near-duplicates: five words, a similarity of 0.8 or more.
-SHINGLE_WORDS, PERCENT = 5, 80
-
-
-def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; what no centroid is near enough to goes."""
-    return language.keep_determined(docs.select(*COLUMNS), language_model(docs))
-
-
-def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the blocks that an earlier document has; a document left empty by that goes."""
-    left = without_common_lines(docs.select(*COLUMNS))
-    gone = (F.col("lines_deleted") > 0) & (F.col("text") == "")
-    changed = F.when(F.col("lines_deleted") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return left.where(~gone).withColumn("n_chars", changed).select(*COLUMNS)
-
-
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that n-gram links connect: the one with the smallest identifier.
-
-    Documents without identifier or without words are linked with nothing and stay.
-    """
-    found = linked_components(docs, SHINGLE_WORDS, PERCENT)
-    copies = keep(found.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct())
-    if copies.count() <= BROADCAST_ROWS:
-        copies = F.broadcast(copies)
-    return docs.join(copies, "doc_id", "left_anti").select(*COLUMNS)
-
-
-def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose sources, languages and topics have their target weights."""
-    return balanced(docs.select(*COLUMNS)).select(*COLUMNS)
-
-
-def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of 2048 tokens, one row per piece of a document."""
-    return packed(docs, TOKENIZER)
-
-
 STAGES = [
     ("language ID", language_id),
     ("line dedup", line_dedup),

@@ -105,8 +105,9 @@ def _described(size: int, percent: int):
                     pa.array(inside, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(regions, pa.binary()),
+                    *batch.columns[2:],
                 ],
-                names=["doc_id", "n", "inside", "digest", "region"],
+                names=["doc_id", "n", "inside", "digest", "region", *batch.schema.names[2:]],
             )
 
     return run
@@ -445,10 +446,19 @@ def _in_trees(members: DataFrame, sets: DataFrame, percent: int, across: bool =
 
 
 def linked_components(
-    docs: DataFrame, size: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    size: int = 4,
+    percent: int = 85,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    by_text: bool = False,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``.
 
+    With ``by_text`` also ``text_hash``, which tells texts of one identifier apart (Spark's 64-bit xxHash;
+    of NULL as of an empty text), and ``component``, a number that two components never share even if
+    they have the same smallest identifier (NULL if linked with nothing for want of words or identifier).
+
     Words are runs without ASCII white space, A-Z lower-cased; a document's set has its distinct
     ``size``-word shingles, or all words as one if there are fewer. Two documents link when
     ``100 * common >= percent * together``; ``component_id`` is the smallest identifier that links
@@ -458,9 +468,11 @@ def linked_components(
     read whole; other columns are ignored; no rows in, no rows out.
     """
     own = texts(docs, id_col, text_col)
+    hashed = own.withColumn("text_hash", F.xxhash64("text")) if by_text else own
     rows = keep(
-        own.mapInArrow(
-            _described(size, percent), "doc_id long, n long, inside long, digest binary, region binary"
+        hashed.mapInArrow(
+            _described(size, percent),
+            "doc_id long, n long, inside long, digest binary, region binary" + (", text_hash long" if by_text else ""),
         ).withColumn("row", F.monotonically_increasing_id())
     )
     able = rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
@@ -526,13 +538,14 @@ def linked_components(
         .select("digest", "smallest", F.coalesce("last", "component").alias("root"))
     )
     reached = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    named_classes = rooted.join(reached, "root").select("digest", "component_id")
-    linked = able.select("doc_id", "n", "digest").join(named_classes, "digest")
-    rest = rows.where((F.col("n") == 0) | F.col("doc_id").isNull()).select(
-        "doc_id", "n", F.col("doc_id").alias("component_id")
+    more_columns = ["text_hash", "component"] if by_text else []
+    named_classes = rooted.join(reached, "root").select("digest", "component_id", F.col("root").alias("component"))
+    linked = able.drop("row", "inside", "region").join(named_classes, "digest")
+    rest = rows.where((F.col("n") == 0) | F.col("doc_id").isNull()).withColumns(
+        {"component_id": F.col("doc_id"), "component": F.lit(None).cast("long")}
     )
     return (
-        linked.select("doc_id", "n", "component_id")
-        .unionByName(rest)
-        .select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+        linked.select("doc_id", "n", "component_id", *more_columns)
+        .unionByName(rest.select("doc_id", "n", "component_id", *more_columns))
+        .withColumnRenamed("n", "n_shingles")
     )
