@@ -234,3 +234,51 @@ def test_top_per_group_with_a_hot_group(spark):
             for place, (value, key) in enumerate(sorted(members)[:4], 1)
         ]
     assert tuples(top_n_per(rows, ["g"], "v", 4, ["id"])) == sorted(wanted, key=repr)
+
+
+def hot_rows(spark):
+    """A third of the rows under one key, a ninth under NULL, the others under many keys."""
+    return spark.range(9000).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 9 = 1 THEN NULL ELSE concat('k', id % 500) END AS key",
+        "CAST(id % 7 AS DOUBLE) AS v",
+    )
+
+
+def test_only_keys_of_many_rows_are_cut(spark, monkeypatch):
+    """The total of the hot key is repeated by its rows, all others once; no task gets the key whole."""
+    monkeypatch.setattr(shares, "SLICE_ROWS", 500)
+    rows = hot_rows(spark)
+    totals = rows.groupBy("key").agg(F.sum("v").alias("total"), F.count("*").alias("n"))
+    wanted = {r["key"]: r["total"] for r in totals.collect()}
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = shares.join_totals_sliced(rows, totals, ["key"], counted="n")
+        assert joined.columns == ["id", "key", "v", "total"]
+        placed = joined.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert sorted(r["id"] for r in placed) == list(range(9000))
+    assert all(r["total"] == (wanted[r["key"]] if r["key"] else None) for r in placed)
+    tasks = {}
+    for r in placed:
+        tasks.setdefault(r["key"], []).append(r["task"])
+    assert len(set(tasks["hot"])) >= 4 and len(set(tasks[None])) >= 2
+    assert all(len(set(found)) == 1 for key, found in tasks.items() if key not in ("hot", None))
+
+
+def test_shares_with_large_keys_are_the_same(spark, monkeypatch):
+    groups = hot_rows(spark)
+    found = []
+    for bound in (shares.SLICE_ROWS, 500, 1):
+        monkeypatch.setattr(shares, "SLICE_ROWS", bound)
+        shared = shares.group_share(groups, "v", ["key"], total="t", share="p")
+        found.append((shared.columns, sorted(shared.collect(), key=lambda r: r["id"])))
+    assert found[0] == found[1] == found[2] and len(found[0][1]) == 9000

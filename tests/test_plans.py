@@ -40,6 +40,17 @@ def test_group_share_scans_the_facts_once(stored):
     assert final_plan(member).count("FileScan") == 1
 
 
+def test_a_total_is_repeated_by_the_rows_of_its_key(stored, monkeypatch):
+    """The list of large keys reads the totals' own exchange: one scan, and no total 16 times."""
+    from wattframe.operators import shares
+
+    groups = stored.groupBy("year", "state", "fuel").agg(F.sum("v").alias("v"))
+    for bound in (shares.SLICE_ROWS, 2):
+        monkeypatch.setattr(shares, "SLICE_ROWS", bound)
+        plan = final_plan(group_share(groups, "v", ["year", "fuel"], total="t", share="p"))
+        assert plan.count("FileScan") == 1 and "CEIL" in plan and "sequence(0, 15" not in plan
+
+
 def test_row_share_does_not_move_the_rows(stored):
     plan = final_plan(row_share(stored, "v", ["year"], total="t", share="p"))
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan

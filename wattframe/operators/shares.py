@@ -16,6 +16,7 @@ from wattframe.functions.measures import percent
 from wattframe.session import keep
 
 SLICES = 16
+SLICE_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 FIELD_BYTES = 16
 
@@ -36,47 +37,70 @@ def keep_measured(table: DataFrame) -> tuple[DataFrame, int]:
 
 
 def join_totals_sliced(
-    rows: DataFrame, totals: DataFrame, keys: list[str], spread_by: list[str] | None = None
+    rows: DataFrame,
+    totals: DataFrame,
+    keys: list[str],
+    spread_by: list[str] | None = None,
+    counted: str | None = None,
 ) -> DataFrame:
     """Left join to unique totals that survives one key holding much of the rows.
 
-    Each key is cut into slices by a hash of ``spread_by`` (the row's other columns), and each total
-    is repeated once per slice. Both sides then have an exchange of their own right below the
+    A key is cut into slices by a hash of ``spread_by`` (the row's other columns), and its total is
+    repeated once per slice. Both sides then have an exchange of their own right below the
     join, which is what AQE needs to cut a partition that is still too large, or to turn the join
     into a broadcast when the totals prove small.
 
+    ``counted`` names the column of ``totals`` with the number of rows of the key; it is not part of
+    the result. Only keys of more than ``SLICE_ROWS`` rows are then cut, into slices of about that
+    many, and all other totals stay single. The list of such keys is broadcast: it has less than
+    one entry for ``SLICE_ROWS`` rows. Without the counts every key has ``SLICES`` slices.
+
     Keys compare NULL-safe and the totals of NULL keys are blanked afterwards. A plain left join
     gives the same rows, but Catalyst would push its not-null test into the totals' side only, and
     two sides that come from the same rows could then no longer share one exchange.
     """
     if spread_by is None:
         spread_by = [name for name in rows.columns if name not in keys]
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(SLICES)) if spread_by else F.lit(0).cast("long")
-    sliced_rows = rows.withColumn("_slice", spread)
-    sliced_totals = totals.withColumn(
-        "_slice", F.explode(F.expr(f"sequence(0L, {SLICES - 1}L)"))
-    ).withColumnsRenamed({key: f"_of_{key}" for key in [*keys, "_slice"]})
+    total_names = [name for name in totals.columns if name not in keys and name != counted]
+    of_keys = {key: f"_of_{key}" for key in [*keys, "_slice"]}
     matches = [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in keys]
-    matches.append(F.col("_slice") == F.col("_of__slice"))
+    spread = F.xxhash64(*spread_by) if spread_by else F.lit(0).cast("long")
+    if counted is None:
+        slices = F.lit(SLICES).cast("long")
+        sliced_rows = rows.withColumn("_slice", F.pmod(spread, slices))
+    else:
+        slices = F.ceil(F.col(counted) / SLICE_ROWS)
+        # The totals are named in a test that all pass: needing the same columns as the other side,
+        # the list reads the same exchange and no second scan is made for it.
+        named = F.hash(*total_names).cast("string") != ""
+        large = totals.where((F.col(counted) > SLICE_ROWS) & named)
+        large = large.select(*keys, slices.alias("_slices")).withColumnsRenamed(of_keys)
+        listed = rows.join(F.broadcast(large), matches, "left")
+        number = F.pmod(spread, F.coalesce("_slices", F.lit(1).cast("long")))
+        sliced_rows = listed.select(*rows.columns, number.alias("_slice"))
+    sliced_totals = totals.withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("long"), slices - 1)))
+    sliced_totals = sliced_totals.select(*keys, *total_names, "_slice").withColumnsRenamed(of_keys)
+    matches = [*matches, F.col("_slice") == F.col("_of__slice")]
     has_key = reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in keys])
-    total_names = [name for name in totals.columns if name not in keys]
     return sliced_rows.join(sliced_totals, matches, "left").select(
         *rows.columns, *[F.when(has_key, F.col(name)).alias(name) for name in total_names]
     )
 
 
-def join_totals(rows: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame:
+def join_totals(
+    rows: DataFrame, totals: DataFrame, keys: list[str], counted: str | None = None
+) -> DataFrame:
     """Left join of un-aggregated rows to unique totals without moving the rows, if possible.
 
     The totals are computed first and broadcast when their measured size allows it, so the rows
-    are only scanned. Beyond the bound the sliced join takes over.
+    are only scanned. Beyond the bound the sliced join takes over (see there for ``counted``).
     """
     kept, size = keep_measured(totals)
     if size <= MAX_BROADCAST_BYTES:
         joined = rows.join(F.broadcast(kept), keys, "left")
-        added = [name for name in kept.columns if name not in keys]
+        added = [name for name in kept.columns if name not in keys and name != counted]
         return joined.select(*[F.col(f"`{name}`") for name in [*rows.columns, *added]])
-    return join_totals_sliced(rows, kept, keys)
+    return join_totals_sliced(rows, kept, keys, counted=counted)
 
 
 def row_share(
@@ -89,8 +113,8 @@ def row_share(
     digits: int = 4,
 ) -> DataFrame:
     """Each row's share of the total of its ``within`` group; the rows stay as they are."""
-    totals = rows.groupBy(*within).agg(F.sum(value).alias(total))
-    return join_totals(rows, totals, within).withColumn(share, percent(value, total, digits))
+    totals = rows.groupBy(*within).agg(F.sum(value).alias(total), F.count("*").alias("_rows"))
+    return join_totals(rows, totals, within, "_rows").withColumn(share, percent(value, total, digits))
 
 
 def group_share(
@@ -114,6 +138,7 @@ def group_share(
     counted = F.col(value) if member is None else F.when(member, F.col(value))
     totals = groups.groupBy(*within).agg(
         F.sum(counted).alias(total),
+        F.count("*").alias("_rows"),
         *[column.alias(name) for name, column in (more_totals or {}).items()],
     )
     # Sums of doubles may differ in their last bit when a lost task runs again, so they must not
@@ -123,6 +148,6 @@ def group_share(
         for field in groups.schema.fields
         if field.name not in within and not isinstance(field.dataType, T.FractionalType)
     ]
-    return join_totals_sliced(groups, totals, within, exact).withColumn(
+    return join_totals_sliced(groups, totals, within, exact, "_rows").withColumn(
         share, percent(value, total, digits)
     )
