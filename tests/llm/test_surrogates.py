@@ -124,3 +124,50 @@ def test_form_fields_and_formats_that_are_used_up(docs):
     puts = [found[i + 3] for i in range(26)]
     assert len(set(puts)) == 26 and not set(puts) & set(full)
     assert all(re.fullmatch(r"token: _____[A-Z]\d+", put) for put in puts)
+
+
+def test_given_names_have_one_surrogate_whatever_the_title(docs):
+    rows = [(1, "Dr. Anna Bell and Mrs. Anna Bell"), (2, "Dr. Chi Kern, Mr. Noah Kern, Mr. Robin Ott, Mrs. Robin Ott")]
+    found = {r.doc_id: r.text for r in with_surrogates(docs(rows), "k").collect()}
+    one, other = re.fullmatch(r"Dr\. (\w+ \w+) and Mrs\. (\w+ \w+)", found[1]).groups()
+    assert one == other and one.split()[0] in surrogates.GIVEN["latin", "f"].split()
+    luca, kern, noah, again, robin, ott, same, _ = re.findall(r"(?<!^)\b(?!Dr|Mrs?\b)\w+", found[2])
+    assert luca in surrogates.GIVEN["latin", "x"].split() and noah in surrogates.GIVEN["latin", "m"].split()
+    assert robin == same != luca and kern == again != ott
+
+
+def test_names_alone_go_with_their_person(docs):
+    rows = [
+        (1, "Mr. John Smith came. Smith said that John left; SMITH'S car, Smith’s dog. Johnny and Smithson stay."),
+        (2, "John and Smith are named without a title."),
+        (3, "Miss You came. You know, when you and You meet."),
+        (4, "Mr. JOHN Smith. John."),
+    ]
+    found = {r.doc_id: r for r in with_surrogates(docs(rows), "k").collect()}
+    john, smith = re.match(r"Mr\. (\w+) (\w+) came", found[1].text).groups()
+    assert found[1].text == (
+        f"Mr. {john} {smith} came. {smith} said that {john} left; {smith.upper()}'S car, {smith}’s dog. Johnny and Smithson stay."
+    )
+    assert found[1].n_entities == 1 and found[2].text == rows[1][1]
+    assert re.fullmatch(r"Miss \w+ came\. You know, when you and You meet\.", found[3].text)
+    assert found[4].text == f"Mr. {john.upper()} {smith}. {john}."
+
+
+def test_words_of_assignments_in_any_case_and_signs(docs):
+    secrets = [("PASSWORD=", "hunterxy"), ("Token: ", "abcdefgh"), ("Pwd = ", "p@ss!w#rd"), ("API_KEY='", "Zm9vYmFy=="), ("tel ", "0171 1234567")]
+    found = {r.doc_id: r for r in with_surrogates(docs([(i, f"x {b}{s} y") for i, (b, s) in enumerate(secrets)]), "k").collect()}
+    for i, (before, secret) in enumerate(secrets):
+        put = found[i].text.removeprefix(f"x {before}").removesuffix(" y")
+        assert found[i].n_entities == 1 and secret not in put and len(put) == len(secret)
+
+
+def test_numbers_without_a_card_s_check_digit_stay(docs):
+    """Order numbers and book numbers, also next to a card; each candidate against the plain rule."""
+    numbers = [f"{4_111_111_111_111_100 + i}" for i in range(40)] + ["978-3-16-148410-0", "5105105105105100", "9807915762804490"]
+    rows = [(i, f"No. {number} and 4111 1111 1111 1111.") for i, number in enumerate(numbers)]
+    found = {r.doc_id: r for r in with_surrogates(docs(rows), "k").collect()}
+    for i, number in enumerate(numbers):
+        digits = re.sub(r"\D", "", number)
+        card = digits[0] in "23456" and luhn(digits)
+        assert found[i].n_entities == 1 + card
+        assert (number in found[i].text) != card and "4111 1111 1111 1111" not in found[i].text

@@ -55,22 +55,22 @@ PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@(?:[\p{L}\p{N}-]{1,63}\.){1,8}\p{L}{2,24}",
     "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,}|[0-9A-F]{32,}|AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}"
     r"|sk-[0-9A-Za-z_-]{20,})(?![0-9A-Za-z])"
-    r"|(?<=[=: \"'])(?<=(?:token|secret|password|passwd|api_key|apikey|api-key) {0,3}[=:] {0,3}[\"']{0,1})"
-    r"(?=[_./+-]*[0-9A-Za-z])[0-9A-Za-z_./+-]{6,}",
+    r"|(?<=[=: \"'])(?<=(?:(?i)token|secret|password|passwd|pwd|api_key|apikey|api-key) {0,3}[=:] {0,3}[\"']{0,1})"
+    r"(?=[_./+@!#$%^&*=-]*[0-9A-Za-z])[0-9A-Za-z_./+@!#$%^&*=-]{6,}",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])",
     "ipv4": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
     "ipv6": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
+    "card": r"(?<!\d)[2-6](?:[ -]?\d){12,18}(?!\d)",
     "phone": r"(?<![\d+])(?:\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,5}|\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}"
-    r"|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\d)",
+    r"|\d{3}[ .-]\d{3}[ .-]\d{4}|(?<![.,/-])0\d{2,4}[ /-]\d{6,8})(?!\d)",
     "person": rf"(?<![\p{{L}}\p{{N}}]){_TITLE} {_WORD}(?: {_WORD}){{0,2}}",
 }
 _ANY = "|".join(f"(?:{pattern})" for pattern in PATTERNS.values())
 #: What every entity has, one of these words or a match of the pattern; most texts are done after this
 #: one look. Letters alone can be an IPv6 address or a key. A title's first letter comes first: it rules
 #: out most places of a text at once.
-_HINT_WORDS = ["token", "secret", "passw", "api", "sk-", "AKIA"]
+_HINT_WORDS = ["token", "secret", "passw", "pwd", "api", "sk-", "akia"]
 _HINT = (
     r"[0-9@]|[A-Fa-f]:[A-Fa-f]|gh[pousr]_|[a-f]{32}|[A-F]{32}"
     rf"|(?=[{_FIRST}])(?<!\p{{L}}){_TITLE} \p{{Lu}}"
@@ -85,18 +85,19 @@ _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVW
 def entities(text: Column) -> Column:
     """All entities of a text in order, as they are written."""
     found = F.regexp_extract_all(text, F.lit(_ANY), F.lit(0))
-    hint = reduce(or_, [text.contains(word) for word in _HINT_WORDS]) | text.rlike(_HINT)
+    hint = reduce(or_, [F.lower(text).contains(word) for word in _HINT_WORDS]) | text.rlike(_HINT)
     return F.when(hint, found).otherwise(F.array().cast("array<string>"))
 
 
 def kind_of(entity: Column) -> Column:
-    kind = F.lit("person")
+    """The kind of a match, NULL if it is none: a number in a card's format without its check digit."""
+    kind = F.when(entity.rlike(f"^(?:{PATTERNS['person']})$"), "person").otherwise("secret")
     for name in reversed([k for k in PATTERNS if k not in ("person", "secret")]):
         kind = F.when(entity.rlike(f"^(?:{PATTERNS[name]})$"), name).otherwise(kind)
-    secret = ~entity.contains("@") & ~entity.rlike(f"^(?:{PATTERNS['person']})$")
-    kind = F.when((kind == "person") & secret, "secret").otherwise(kind)
     hexadecimal = entity.rlike(r"^(?:[0-9a-f]{32,}|[0-9A-F]{32,})$")
-    return F.when(hexadecimal, "secret").otherwise(kind)
+    digits = _digits(entity)
+    valid = _check_digit(F.substring(digits, F.lit(1), F.length(digits) - 1)) == F.right(digits, F.lit(1))
+    return F.when(hexadecimal, "secret").when((kind != "card") | valid, kind)
 
 
 def _digits(text: Column) -> Column:
@@ -276,18 +277,24 @@ def _put(table: DataFrame, key: str, written: str) -> DataFrame:
     return digits.withColumn("put", put).drop("stream", "domain", "body")
 
 
+def _family(kind: str) -> Column:
+    """Given names of any gender are told apart from each other."""
+    return F.substring_index(F.col(kind), ":", 1)
+
+
 def _clashing(found: DataFrame, key: str) -> DataFrame:
     """Parts of ``found`` (``kind, form, salt``) that need another salt."""
     made = _put(found, key, "form")
-    made = keep(made.withColumn("put", F.lower(canonical(F.col("kind"), F.col("put")))))
-    groups = made.groupBy("kind", "put").agg(
+    made = made.withColumn("put", F.lower(canonical(F.col("kind"), F.col("put"))))
+    made = keep(made.withColumn("family", _family("kind")))
+    groups = made.groupBy("family", "put").agg(
         F.min(F.struct("salt", "form")).alias("first"), F.count("*").alias("members")
     )
-    shared = made.join(groups.where("members > 1"), ["kind", "put"]).where(
+    shared = made.join(groups.where("members > 1"), ["family", "put"]).where(
         (F.col("salt") != F.col("first.salt")) | (F.col("form") != F.col("first.form"))
     )
-    real = found.select("kind", F.lower("form").alias("put")).distinct()
-    taken = made.join(real, ["kind", "put"], "left_semi")
+    real = found.select(_family("kind").alias("family"), F.lower("form").alias("put")).distinct()
+    taken = made.join(real, ["family", "put"], "left_semi")
     return shared.select("kind", "form").unionByName(taken.select("kind", "form")).distinct()
 
 
@@ -311,12 +318,14 @@ def salts(found: DataFrame, key: str) -> DataFrame:
 
 
 def surrogates_of(entities_: DataFrame, key: str) -> DataFrame:
-    """``written, put`` for each distinct entity as it is written.
+    """``written, put, names`` for each distinct entity as it is written; other matches have no row.
 
     A person's names are replaced one by one, so that somebody named in full once and by surname
-    later stays one person; anything else is replaced as a whole.
+    later stays one person; anything else is replaced as a whole. A given name is one for the whole
+    corpus: its gender is that of the titles it stands with anywhere, and none if they differ or say
+    nothing. ``names`` has a person's names in small letters with their surrogates.
     """
-    kinds = keep(entities_.select("written", kind_of(F.col("written")).alias("kind")))
+    kinds = keep(entities_.select("written", kind_of(F.col("written")).alias("kind")).where("kind IS NOT NULL"))
     whole = kinds.where("kind != 'person'").select(
         "written",
         F.lit(0).alias("at"),
@@ -326,39 +335,87 @@ def surrogates_of(entities_: DataFrame, key: str) -> DataFrame:
         F.lit("").alias("title"),
     )
     written = F.col("written")
-    people = kinds.where("kind = 'person'").select(
-        "written",
-        F.regexp_extract(written, rf"^({_TITLE} )", 1).alias("title"),
-        _gender(written).alias("gender"),
-        F.size(_names(written)).alias("names"),
-        F.posexplode(_names(written)).alias("at", "name"),
+    people = keep(
+        kinds.where("kind = 'person'")
+        .select(
+            "written",
+            F.regexp_extract(written, rf"^({_TITLE} )", 1).alias("title"),
+            _gender(written).alias("gender"),
+            F.size(_names(written)).alias("names"),
+            F.posexplode(_names(written)).alias("at", "name"),
+        )
+        .withColumn("form", F.lower("name"))
+    )
+    given = F.col("at") < F.col("names") - 1
+    said = people.where(given).groupBy("form").agg(
+        F.bool_or(F.col("gender") == "m").alias("m"), F.bool_or(F.col("gender") == "f").alias("f")
+    )
+    one = F.when(F.col("m") & ~F.col("f"), "given:m").when(F.col("f") & ~F.col("m"), "given:f").otherwise("given:x")
+    named = people.join(said.select("form", one.alias("role")), "form", "left")
+    people = named.select(
+        "written", "at", F.when(given, F.col("role")).otherwise("surname").alias("kind"), "form", "name", "title"
     )
-    role = F.when(F.col("at") == F.col("names") - 1, "surname").otherwise(F.concat(F.lit("given:"), "gender"))
-    people = people.select("written", "at", role.alias("kind"), F.lower("name").alias("form"), "name", "title")
     parts = keep(whole.unionByName(people))
     salted = keep(salts(parts.select("kind", "form").distinct(), key))
     chosen = parts.join(salted, ["kind", "form"], "left").withColumn("salt", F.coalesce("salt", F.lit(0)))
     made = _put(chosen, key, "name")
+    of_person = (F.col("kind") == "surname") | F.col("kind").startswith("given:")
     return (
         made.groupBy("written")
-        .agg(F.array_sort(F.collect_list(F.struct("at", "put"))).alias("parts"), F.first("title").alias("title"))
-        .select("written", F.concat("title", F.array_join("parts.put", " ")).alias("put"))
+        .agg(
+            F.array_sort(F.collect_list(F.struct("at", "put"))).alias("parts"),
+            F.first("title").alias("title"),
+            F.collect_list(F.when(of_person, F.struct("form", "put"))).alias("names"),
+        )
+        .select("written", F.concat("title", F.array_join("parts.put", " ")).alias("put"), "names")
     )
 
 
+def _names_of_texts(puts: DataFrame) -> DataFrame:
+    """``check, names``: per text the names of its persons that may also stand alone, with surrogates.
+
+    A name that is written in two roles has the surrogate of its first place.
+    """
+    each = puts.where(F.size("names") > 0).select("check", "at", F.explode("names").alias("name"))
+    first = each.groupBy("check", "name.form").agg(F.min_by("name.put", F.struct("at", "name.put")).alias("put"))
+    entries = F.collect_list(F.struct("form", F.initcap("put").alias("put")))
+    return first.groupBy("check").agg(F.map_from_entries(entries).alias("names"))
+
+
+def _names_replaced(piece: Column, names: Column) -> Column:
+    """``piece`` with the capitalised words that are one of ``names``, also before ``'s``, replaced."""
+
+    def put(word: Column) -> Column:
+        end = F.regexp_extract(word, "['’][sS]?$", 0)
+        stem = F.left(word, F.length(word) - F.length(end))
+        known = F.element_at(names, F.lower(word))
+        by_stem = F.concat(F.element_at(names, F.lower(stem)), end)
+        new = F.coalesce(known, by_stem)
+        capital = (F.length(stem) > 1) & (stem == F.upper(stem))
+        return F.when(word.rlike(r"^\p{Lu}"), F.coalesce(F.when(capital, F.upper(new)).otherwise(new), word)).otherwise(word)
+
+    words = F.regexp_extract_all(piece, F.lit(r"[\p{L}\p{N}'’-]+|[^\p{L}\p{N}'’-]+"), F.lit(0))
+    return F.array_join(F.transform(words, put), "")
+
+
 def with_surrogates(
     docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """All rows and columns of ``docs``, personal data in the text replaced, and ``n_entities``.
 
     Equal entities get equal surrogates in all documents, different ones different surrogates, and no
-    surrogate is an entity of the corpus. NULL text stays NULL with 0 entities, empty text empty; very
+    surrogate is an entity of the corpus. The names of a text's persons are replaced wherever they stand
+    alone in that text too, with a capital, unless the text also has the word in small letters;
+    ``n_entities`` does not count these places. Numbers in a card's format stay if their check digit is wrong.
+
+    NULL text stays NULL with 0 entities, empty text empty; very
     long texts are read whole. Rows that repeat an identifier are treated each by its text. Other
     columns pass unchanged whatever their names (but ``n_entities`` is replaced); no rows in, no rows
     out.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    marked = docs.withColumns({"__check": F.xxhash64(text), "__entities": entities(text)})
+    # Written, so that each text is searched once.
+    marked = keep(docs.withColumns({"__check": F.sha2(text, 256), "__entities": entities(text)}))
     several = F.size("__entities") > 0
     listed = keep(
         marked.where(several)
@@ -366,18 +423,29 @@ def with_surrogates(
         .dropDuplicates(["check"])
     )
     dictionary = keep(surrogates_of(listed.select(F.explode("entities").alias("written")).distinct(), key))
-    puts = (
-        listed.select("check", F.posexplode("entities").alias("at", "written"))
-        .join(dictionary, "written")
-        .groupBy("check")
-        .agg(F.array_sort(F.collect_list(F.struct("at", "put"))).alias("puts"))
+    found = keep(
+        listed.select("check", F.posexplode("entities").alias("at", "written")).join(dictionary, "written", "left")
+    )
+    puts = found.groupBy("check").agg(
+        F.array_sort(F.collect_list(F.struct("at", F.coalesce("put", "written").alias("put")))).alias("puts"),
+        F.count("put").alias("count"),
     )
     # Written, so that both sides of the join have an exchange and a frequent text can be split.
-    puts = keep(puts.select(F.col("check").alias("__check"), F.col("puts.put").alias("__puts")))
-    pieces = F.split(text, _ANY, -1)
-    whole = F.array_join(
-        F.transform(pieces, lambda piece, i: F.concat(piece, F.coalesce(F.get("__puts", i), F.lit("")))), ""
+    puts = keep(
+        puts.join(_names_of_texts(found), "check", "left").select(
+            F.col("check").alias("__check"), F.col("puts.put").alias("__puts"),
+            F.col("count").alias("__count"), F.col("names").alias("__names"),
+        )
     )
+    small = F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?<!\p{L})\p{Ll}[\p{L}'’-]*"), F.lit(0)))
+    alone = F.array_except(F.map_keys("__names"), small)
+    names = F.map_filter("__names", lambda name, _: F.array_contains("__alone", name))
+    pieces = F.split(text, _ANY, -1)
+
+    def whole(piece_of) -> Column:
+        return F.array_join(
+            F.transform(pieces, lambda piece, i: F.concat(piece_of(piece), F.coalesce(F.get("__puts", i), F.lit("")))), ""
+        )
 
     def columns(new_text: Column, count: Column) -> list[Column]:
         kept = [name for name in docs.columns if name != "n_entities"]
@@ -387,5 +455,9 @@ def with_surrogates(
         ]
 
     # Only texts with entities are moved.
-    replaced = marked.where(several).join(puts, "__check").select(*columns(whole, F.size("__puts")))
+    moved = marked.where(several).join(puts, "__check").withColumn("__alone", alone).withColumn("__names", names)
+    new_text = F.when(
+        F.size("__alone") > 0, whole(lambda piece: _names_replaced(piece, F.col("__names")))
+    ).otherwise(whole(lambda piece: piece))
+    replaced = moved.select(*columns(new_text, F.col("__count")))
     return marked.where(~several).select(*columns(F.col(text_col), F.lit(0))).unionByName(replaced)
