@@ -10,7 +10,7 @@ from wattframe.functions.calendar import ANNUAL, MONTHLY, WEEKLY, calendar_colum
 from wattframe.functions.labels import column_label, lookup, place_name, state_code
 from wattframe.functions.measures import mean
 from wattframe.functions.parsing import code_part, day, month_start, number, trimmed, whole, year_number
-from wattframe.operators.changes import change_from_previous
+from wattframe.operators.changes import change_from_previous, change_in_long_series
 from wattframe.operators.pivots import (
     pivot_discovered,
     pivot_named,
@@ -429,6 +429,52 @@ def three_column_change(spark, sf_dir):
     )
 
 
+@check(
+    "q37d_change_in_one_long_series",
+    f"""WITH g AS (SELECT CAST(l_shipdate AS DATE) AS day, l_orderkey, l_linenumber, {PRICE_SQL} AS price
+  FROM lineitem),
+p AS (SELECT *, lag(price) OVER (ORDER BY day NULLS FIRST, l_orderkey NULLS FIRST,
+  l_linenumber NULLS FIRST, price NULLS FIRST) AS previous FROM g)
+SELECT day, l_orderkey, l_linenumber, CAST(price AS DOUBLE) AS price,
+  CAST(price - previous AS DOUBLE) AS change, {_pct("(price - previous)", "previous", 2)} + 0.0 AS change_pct FROM p""",
+)
+def one_long_series(spark, sf_dir):
+    """Every line item against the one shipped before it: one series over all rows."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.to_date("l_shipdate").alias("day"), "l_orderkey", "l_linenumber", money("l_extendedprice").alias("price")
+    )
+    return doubles(
+        change_in_long_series(
+            rows, [], "day", "price", change="change", change_pct="change_pct",
+            ties=("l_orderkey", "l_linenumber"),
+        )
+    )
+
+
+@check(
+    "q37e_change_between_neighbouring_months",
+    f"""WITH g AS (SELECT CAST(year(l_shipdate) * 12 + month(l_shipdate) AS INTEGER) AS month_number, l_suppkey,
+  sum({PRICE_SQL}) AS line_value FROM lineitem GROUP BY ALL),
+p AS (SELECT *, CASE WHEN month_number - lag(month_number) OVER w = 1 THEN lag(line_value) OVER w END AS previous
+  FROM g WINDOW w AS (PARTITION BY l_suppkey ORDER BY month_number NULLS FIRST))
+SELECT month_number, l_suppkey, CAST(line_value AS DOUBLE) AS line_value,
+  CAST(line_value - previous AS DOUBLE) AS change, {_pct("(line_value - previous)", "previous", 2)} AS change_pct FROM p""",
+)
+def change_between_neighbouring_months(spark, sf_dir):
+    """A supplier's month against the month before, if it has one: gaps leave the change NULL."""
+    month_number = (F.year("l_shipdate") * 12 + F.month("l_shipdate")).alias("month_number")
+    groups = (
+        table(spark, sf_dir, "lineitem").groupBy(month_number, "l_suppkey")
+        .agg(F.sum(money("l_extendedprice")).alias("line_value"))
+    )
+    return doubles(
+        change_from_previous(
+            groups, ["l_suppkey"], "month_number", "line_value",
+            change="change", change_pct="change_pct", consecutive_only=True,
+        )
+    )
+
+
 @check(
     "q07_price_statistics",
     f"""WITH g AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, l_returnflag, l_linestatus,

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wattframe.operators import shares
-from wattframe.operators.changes import change_from_previous
+from wattframe.operators.changes import change_from_previous, change_in_long_series
 from wattframe.operators.pivots import (
     discover_codes,
     sums_by_code,
@@ -282,3 +282,33 @@ def test_shares_with_large_keys_are_the_same(spark, monkeypatch):
         shared = shares.group_share(groups, "v", ["key"], total="t", share="p")
         found.append((shared.columns, sorted(shared.collect(), key=lambda r: r["id"])))
     assert found[0] == found[1] == found[2] and len(found[0][1]) == 9000
+
+
+def test_long_series_change_as_short_ones(spark):
+    """Series that end, start and go on at partition edges, with NULL keys, times, values and gaps."""
+    rows = spark.range(3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'long' WHEN id % 50 = 1 THEN NULL ELSE concat('s', id % 40) END AS s",
+        "IF(id % 211 = 0, NULL, CAST(id * 7 % 3001 AS INT)) AS t", "IF(id % 17 = 0, NULL, CAST(id % 23 AS DOUBLE)) AS v",
+        "CAST(id AS INT) AS n",
+    )
+    names = {"change": "d", "change_pct": "p", "ties": ("n",)}
+    spread = {}
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for strict in (False, True):
+            for series in (["s"], []):
+                short = change_from_previous(rows, series, "t", "v", consecutive_only=strict, **names)
+                long = change_in_long_series(rows, series, "t", "v", consecutive_only=strict, **names)
+                assert long.columns == short.columns
+                found = long.withColumn("task", F.spark_partition_id()).collect()
+                for r in found:
+                    spread.setdefault(len(series), set()).add(r["task"])
+                assert sorted((r["n"], r["d"], r["p"]) for r in found if r["d"] is not None) == sorted(
+                    (r["n"], r["d"], r["p"]) for r in short.collect() if r["d"] is not None
+                ) and len(found) == 3000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(spread[0]) > 2 and len(spread[1]) > 2
+    nothing = change_in_long_series(rows.limit(0), ["s"], "t", "v", **names)
+    assert nothing.collect() == [] and nothing.columns == ["s", "t", "v", "n", "d", "p"]
