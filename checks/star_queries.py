@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from wattframe.functions.labels import column_label, lookup, place_name, state_c
 from wattframe.functions.measures import mean
 from wattframe.functions.parsing import code_part, day, month_start, number, trimmed, whole, year_number
 from wattframe.operators.changes import change_from_previous, change_in_long_series
+from wattframe.operators.distincts import distinct_counts, stored_bitmaps
 from wattframe.operators.pivots import (
     pivot_discovered,
     pivot_named,
@@ -429,6 +432,31 @@ def three_column_change(spark, sf_dir):
     )
 
 
+@check(
+    "q08b_distinct_customers_by_level",
+    f"""WITH g AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, n_name AS nation, o_orderpriority AS priority,
+  o_custkey FROM {_ORDERS_SQL})
+SELECT year, nation, priority, count(DISTINCT o_custkey) AS customers FROM g
+GROUP BY GROUPING SETS ((year, nation, priority), (year, nation), (nation, priority), (year), ())""",
+)
+def distinct_customers_by_level(spark, sf_dir):
+    """One pass over the orders; the coarser levels unite the stored bitmaps of the finest."""
+    orders = _orders_by_nation(spark, sf_dir).select(
+        F.year("o_orderdate").alias("year"), F.col("n_name").alias("nation"),
+        F.col("o_orderpriority").alias("priority"), "o_custkey",
+    )
+    finest = ["year", "nation", "priority"]
+    stored = stored_bitmaps(orders, finest, "o_custkey")
+    types = dict(stored.dtypes)
+    levels = [
+        distinct_counts(stored, keys, "customers").select(
+            *[F.col(k) if k in keys else F.lit(None).cast(types[k]).alias(k) for k in finest], "customers"
+        )
+        for keys in (finest, ["year", "nation"], ["nation", "priority"], ["year"], [])
+    ]
+    return reduce(DataFrame.unionByName, levels)
+
+
 @check(
     "q37d_change_in_one_long_series",
     f"""WITH g AS (SELECT CAST(l_shipdate AS DATE) AS day, l_orderkey, l_linenumber, {PRICE_SQL} AS price
