@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from wattframe.functions.calendar import calendar_columns, period_bounds, period_label
 from wattframe.functions.fixed_values import FUEL_COLUMN_LABELS, REGIONS, STATES
-from wattframe.functions.labels import column_label, lookup, place_name, state_code
+from wattframe.functions.labels import BLANKS, column_label, lookup, place_name, state_code
 from wattframe.functions.measures import mean, percent, ratio
 from wattframe.functions.parsing import code_part, day, month_start, number, whole, year_number
 
@@ -113,3 +113,13 @@ def test_period_bounds():
     assert first == after
     first, after = period_bounds("monthly", 2024, 13)
     assert first == after
+
+
+def test_places_lose_any_blanks_at_their_ends(spark):
+    """Tabs, line breaks and wide blanks as well as spaces; blanks inside stay."""
+    assert set(BLANKS) == {chr(i) for i in range(0x110000) if chr(i).isspace()}
+    written = ["\tTX", "TEXAS\r\n", " USA-NM 　", " new\tmexico ", "\n", "", None, "New Mexico\t"]
+    rows = spark.createDataFrame([(i, name) for i, name in enumerate(written)], "i int, name string")
+    found = rows.select("i", place_name(F.col("name")), state_code(F.col("name"))).orderBy("i").collect()
+    assert [r[1] for r in found] == ["Texas", "Texas", "New Mexico", "new\tmexico", "", "", None, "New Mexico"]
+    assert [r[2] for r in found] == [None] * 7 + ["NM"]
