@@ -125,3 +125,41 @@ def test_components(spark):
     got = {r.node: r.root for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
     assert components(edges.limit(0)).collect() == []
+
+
+def differing(seed, count):
+    """Texts of several lengths around shared passages: some linked, some by little, most not."""
+    rng = random.Random(seed)
+    bases = [prose(seed * 100 + i, 40 + 25 * i) for i in range(4)]
+    texts = []
+    for i in range(count):
+        words = list(rng.choice(bases))
+        for _ in range(rng.choice([0, 1, 2, 3, 8])):
+            words[rng.randrange(len(words))] = f"z{rng.randrange(10**6)}"
+        if rng.random() < 0.5:
+            words += prose(seed * 1000 + i, rng.randint(1, 25))
+        texts.append(" ".join(words[rng.choice([0, 0, 3, 9]) :]))
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("small, seed", [(1, 1), (2, 2), (6, 3)])
+def test_groups_of_all_sizes_against_brute_force(docs, monkeypatch, small, seed):
+    monkeypatch.setattr(ngram_join, "SMALL_GROUP", small)
+    rows = differing(seed, 90)
+    assert result(linked_components(docs(rows))) == brute(rows)
+    assert result(linked_components(docs(rows), 3, 60)) == brute(rows, 3, 60)
+
+
+@pytest.mark.parametrize("small", [2, 32])
+def test_sets_only_of_documents_that_can_be_linked(docs, monkeypatch, small):
+    """Documents that share a passage of a tenth of their words need no comparing of whole sets."""
+    monkeypatch.setattr(ngram_join, "SMALL_GROUP", small)
+    fetched = []
+    sets = ngram_join._sets
+    monkeypatch.setattr(ngram_join, "_sets", lambda own, wanted, size: fetched.append(wanted.count()) or sets(own, wanted, size))
+    passages = [prose(900 + i, 20) for i in range(12)]
+    rows = [(i, " ".join(passages[i % 12] + prose(5000 + i, 180))) for i in range(120)]
+    twin = " ".join(rows[0][1].split()[:-2] + ["some", "other"])
+    rows.append((500, twin))
+    assert result(linked_components(docs(rows))) == brute(rows)
+    assert fetched[0] <= 20

@@ -6,9 +6,11 @@ an n-gram among the first ``size - needed + 1`` of each. The order puts n-grams
 first, and among these the rare before the frequent. So only those have to be counted, what nobody
 else has comes first, and most documents end with a prefix of such n-grams and no candidates at all.
 
-Documents that share a prefix n-gram meet in one of two ways. A small group gives its pairs, pruned by
-the places of the shared n-grams, and the two sets are compared. In a large group, the sets are put
-into a prefix tree, most frequent n-gram first; each document is looked up in the tree of those before
+Documents that share a prefix n-gram meet in one of two ways, by the first that they share. Nothing
+before its place is common, so the places bound the overlap. A small group gives its pairs, pruned by
+that bound and by the n-grams with small hashes that both have; only what these let through is
+compared whole. From a large group go the members that the bound lets link with no other member.
+The sets of the rest are put into a prefix tree, most frequent n-gram first; each document is looked up in the tree of those before
 it. What many documents share is one path there, compared once for all of them, and a subtree is left
 as soon as its remaining lengths cannot make up the overlap or all of it is already connected. So a
 large group gives at most one edge per document. Groups beyond ``BLOCK`` are split into blocks that
@@ -36,6 +38,8 @@ SMALL_GROUP = 32
 BLOCK, BLOCK_GRAMS = 2_000, 600_000
 #: Above so many, the documents to compare are found by a shuffle instead of a broadcast (16 MB).
 BROADCAST_ROWS = 500_000
+#: Size classes of a factor e in a large group: 32 differ by 3 %.
+CLASSES = 32
 _TOP = 1 << 63
 _HOT = 1 << 60  # stands for the count of an n-gram that is frequent in the sample
 
@@ -211,12 +215,44 @@ def _without_nested(large: DataFrame) -> DataFrame:
     return large.join(kept, "gram", "left_semi")
 
 
+def _with_partners(large: DataFrame, percent: int) -> DataFrame:
+    """The members of large groups that the places let link with another member of the group.
+
+    Two documents need to meet in the group of the first n-gram they share only. If that is this one,
+    they have at most what stands from its place on in common, so the place gives the size ``most`` of
+    the largest partner: x and y meet if ``n_y <= most_x`` and ``n_x <= most_y``. Members are counted
+    by classes of both sizes, rounded down alike, so no pair is lost by the rounding.
+    """
+    most = F.floor((F.col("n") - F.col("place")) * (100 + percent) / percent) - F.col("n")
+    size_class, most_class = (
+        F.floor(F.log(F.greatest(size, F.lit(1))) * CLASSES).cast("int") for size in (F.col("n"), most)
+    )
+    members = large.withColumns({"size_class": size_class, "most_class": most_class})
+    # A class of ``most`` is near that of the size, so a group has a bounded number of them.
+    counts = members.groupBy("gram", "size_class", "most_class").agg(F.count("*").alias("number"))
+    cells = counts.groupBy("gram").agg(F.collect_list(F.struct("size_class", "most_class", "number")).alias("cells"))
+    fitting = F.aggregate(
+        "cells",
+        F.lit(0).cast("long"),
+        lambda number, cell: number
+        + F.when(
+            (cell["size_class"] <= F.col("most_class")) & (cell["most_class"] >= F.col("size_class")), cell["number"]
+        ).otherwise(F.lit(0).cast("long")),
+    )
+    itself = (F.col("size_class") <= F.col("most_class")).cast("long")
+    return members.join(cells, "gram").where(fitting > itself).select(*large.columns)
+
+
 def _needed_column(total: Column, percent: int) -> Column:
-    return F.ceil(total * percent / (100 + percent))
+    # In whole numbers: a quotient above a whole one by rounding would ask for one more.
+    return F.floor((total * percent + 99 + percent) / (100 + percent))
 
 
 def _small_pairs(posted: DataFrame, percent: int) -> DataFrame:
-    """``x, y`` from groups of at most ``SMALL_GROUP``, each pair once, that the places allow."""
+    """``x, y`` from groups of at most ``SMALL_GROUP``, each pair once, that the places allow.
+
+    Only the first shared n-gram's place counts: of those after it, some may be in large groups.
+    """
     small = posted.where(F.col("members") <= SMALL_GROUP)
     left = small.select("gram", *[F.col(c).alias(f"{c}_x") for c in ("key", "n", "place")])
     right = small.select("gram", *[F.col(c).alias(f"{c}_y") for c in ("key", "n", "place")])
@@ -225,16 +261,45 @@ def _small_pairs(posted: DataFrame, percent: int) -> DataFrame:
         left.join(right, "gram")
         .where((F.col("key_x") < F.col("key_y")) & (shorter * 100 >= longer * percent))
         .groupBy("key_x", "key_y")
-        .agg(
-            F.count("*").alias("common"),
-            *[F.max(f"{c}_{side}").alias(f"{c}_{side}") for c in ("n", "place") for side in "xy"],
-        )
+        .agg(*[F.min(f"{c}_{side}").alias(f"{c}_{side}") for c in ("n", "place") for side in "xy"])
     )
-    left_over = F.least(*[F.col(f"n_{side}") - F.col(f"place_{side}") - 1 for side in "xy"])
-    enough = F.col("common") + left_over >= _needed_column(F.col("n_x") + F.col("n_y"), percent)
+    from_there = F.least(*[F.col(f"n_{side}") - F.col(f"place_{side}") for side in "xy"])
+    enough = from_there >= _needed_column(F.col("n_x") + F.col("n_y"), percent)
     return pairs.where(enough).select(F.col("key_x").alias("x"), F.col("key_y").alias("y"))
 
 
+def _likely(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """The pairs that can be linked by the n-grams with small hashes: all others count as common."""
+    keys = pairs.select(F.explode(F.array("x", "y")).alias("key")).distinct()
+    keys = keep(keys)
+    if keys.count() <= BROADCAST_ROWS:
+        keys = F.broadcast(keys)
+    known = keep(
+        rows.withColumnRenamed("row", "key").join(keys, "key", "left_semi").select("key", "n", "inside", "region")
+    )
+
+    def of(side: str) -> DataFrame:
+        return known.select(F.col("key").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in known.columns[1:]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches):
+            fine = []
+            for total, low_x, low_y, rest, x, y in zip(*(column.to_pylist() for column in batch.columns[2:])):
+                x, y = np.frombuffer(x, np.int64)[:low_x], np.frombuffer(y, np.int64)[:low_y]
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                fine.append(common + rest >= _needed(total, percent))
+            yield pa.RecordBatch.from_arrays(list(batch.columns[:2]), names=["x", "y"]).filter(
+                pa.array(fine, pa.bool_())
+            )
+
+    rest = F.least(F.col("n_x") - F.col("inside_x"), F.col("n_y") - F.col("inside_y"))
+    both = pairs.join(of("x"), "x").join(of("y"), "y")
+    total = F.col("n_x") + F.col("n_y")
+    return both.select(
+        "x", "y", total.alias("total"), "inside_x", "inside_y", rest.alias("rest"), "region_x", "region_y"
+    ).mapInArrow(run, "x long, y long")
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """``key, grams`` of the wanted classes, from the text of one document of each."""
     if wanted.count() <= BROADCAST_ROWS:
@@ -489,8 +554,9 @@ def linked_components(
     posted = keep(_postings(classes, frequent, percent))
     groups = posted.groupBy("gram").agg(F.count("*").alias("members")).where("members > 1")
     posted = keep(posted.join(groups, "gram"))
-    pairs = keep(_small_pairs(posted, percent))
-    large = keep(_without_nested(posted.where(F.col("members") > SMALL_GROUP)))
+    pairs = keep(_likely(keep(_small_pairs(posted, percent)), rows, percent))
+    large = _without_nested(posted.where(F.col("members") > SMALL_GROUP))
+    large = keep(_with_partners(keep(large), percent))
     names = keep(classes.select("key", "smallest", "doc_id", "digest"))
     keys = (
         pairs.select(F.col("x").alias("key"))
