@@ -1,11 +1,14 @@
 import random
+import sys
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+import wattframe.llm.packing as packing
 from conftest_llm import AWKWARD, prose
 from wattframe.llm.packing import _Words, cutting_plan, packed
 from wattframe.llm.queries import TOKENIZER
@@ -28,6 +31,41 @@ def test_words_give_the_tokenizers_ids(tokenizer):
             assert np.frombuffer(raw, "<u4").tolist() == ids
 
 
+def test_signs_behind_letters(tokenizer):
+    """Whatever signs end a word, its letters and its signs give the tokenizer's ids."""
+    texts = [
+        " ".join(f"{word}{signs}" for signs in (".", ",%%%", "###", "'.", "''", "_", "_-", "!!", "'", ".'\"", "^`|~"))
+        for word in ("word", "Straße", "it's", "élan", "x1", "a.b", "ªº", "'s", "x\xad", "don't")
+    ]
+    words = _Words(TOKENIZER)
+    for text, raw in zip(texts * 2, words.encode(texts) + words.encode(texts)):
+        assert np.frombuffer(raw, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    asked = []
+    words._whole = lambda text: asked.append(text) or b""
+    words.encode([f"abc{word}.,%" for word in "defgh"])
+    assert asked == [".,%"]  # letters and signs are known apart
+
+
+def test_words_in_memory_are_bounded():
+    """Texts with ever new words leave a worker with at most some 40 MB of them."""
+    words = _Words(TOKENIZER)
+    text = [" ".join("n" + "".join(chr(97 + int(c)) for c in str(i)) for i in range(at, at + 50_000)) for at in range(0, 700_000, 50_000)]
+    for one in text:
+        words.encode([one])
+    held = [words.known, words.before]
+    assert sum(sys.getsizeof(x) for part in held for item in part.items() for x in item) < 40e6
+
+
+def test_portions_follow_the_bytes_of_texts():
+    lengths = [10, 399_000, 2_000_000, 5, 0, 300_000, 300_000, 0]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(lengths)), pa.int64()), pa.array(["x" * n for n in lengths])], names=["doc_id", "text"]
+    )
+    parts = [part.column(0).to_pylist() for part in packing._portions(iter([batch, batch.slice(0, 0)]))]
+    assert sum(parts, []) == list(range(len(lengths)))
+    assert all(sum(lengths[i] for i in part[1:]) < packing.PORTION for part in parts)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_plan_meets_the_demand(seed):
     rng = random.Random(seed)

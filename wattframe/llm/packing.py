@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import sys
 import types
 import zlib
@@ -19,18 +20,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattframe.llm.tables import in_slices, texts
+from wattframe.llm.tables import texts
 from wattframe.operators.ranking import rank_all
 from wattframe.session import keep
 
 SEQUENCE, END_ID = 2048, 1
 #: Token counts that share a bin; a bin counts as its largest length. Divides the sequence.
 BIN = 16
-#: Words whose ids a Python worker remembers; of more, those not met lately go. Bounds its memory.
-REMEMBERED = 600_000
+#: Words whose ids a Python worker remembers; of more, those not met lately go. Bounds its memory:
+#: about 200 bytes each.
+REMEMBERED = 200_000
+#: About so many bytes of text a task splits into words at once.
+PORTION = 400_000
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _ARROW = pa.schema(
@@ -43,27 +48,40 @@ _WITH_IDS = _ARROW.append(pa.field("ids", pa.list_(pa.int32())))
 _PLAIN = re.compile("[\t-\r\x20-\x7e\xa1-\u012f\u0131-\u024f]*")
 #: Ends the last token of every word in the vocabulary.
 _WORD_END = "</w>"
+#: A run of these behind letters is a word of its own for the tokenizer.
+_SIGNS = string.punctuation
 
 
 class _Words:
     """Token ids of texts, word by word.
 
     The tokenizer treats white space as a border that no token crosses, so a text's ids are those of
-    its words in a row, and of letters with a stop behind them those of the letters and of the stop.
+    its words in a row, and of letters with signs behind them those of the letters and of the signs.
     Only new words go to the tokenizer. Texts with other than plain characters go to it whole.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
         self.by_words = bool(self.ends.any()) and not self._whole(" \t\n\v\f\r ")
+        # The same merges for plain small letters, which nothing has to normalise or split.
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = Sequence(
+            [WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        probe = ["probe", "\u00e0b\u00e7", "it", "\u00df\u00f1"]
+        self.by_merges = self.by_words and self._encoded(self.merges, " ".join(probe)) == b"".join(
+            map(self._whole, probe)
+        )
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {}
 
     @classmethod
     def of_worker(cls, path: str) -> _Words:
@@ -76,32 +94,45 @@ class _Words:
             memory[path] = cls(path)
         return memory[path]
 
+    @staticmethod
+    def _encoded(tokenizer, text: str) -> bytes:
+        (found,) = tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found.ids, "<u4").tobytes()
+
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self._encoded(self.tokenizer, text)
 
     def _letters(self, words: list[str]) -> list[bytes]:
         """Words of letters only, each one run of tokens that a word end closes, in one call."""
-        found = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
-        ids = np.array(found.ids, "<u4")
-        ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
+        raw = self._encoded(self.merges if self.by_merges else self.tokenizer, " ".join(words))
+        ends = (np.flatnonzero(self.ends[np.frombuffer(raw, "<u4")]) + 1) * 4
         if len(ends) != len(words):  # not such a vocabulary
             return [self._whole(word) for word in words]
-        raw, starts = ids.tobytes(), [0, *ends.tolist()]
+        starts = [0, *ends.tolist()]
         return [raw[i:j] for i, j in zip(starts, starts[1:])]
 
     def _learn(self, words: set[str]) -> None:
-        known = self.known
-        letters = [word for word in words if word.isalpha()]
-        rest = [word for word in words if not word.isalpha()]
-        stopped = [word for word in rest if word[-1] in ".," and word[:-1].isalpha()]
-        fresh = list({word[:-1] for word in stopped} - known.keys() - set(letters)) + letters
-        if fresh:
-            known.update(zip(fresh, self._letters(fresh)))
-        if stopped:
-            stops = {stop: self._whole(stop) for stop in ".,"}
-            known.update((word, known[word[:-1]] + stops[word[-1]]) for word in stopped)
-            rest = set(rest).difference(stopped)
-        known.update((word, self._whole(word)) for word in rest)
+        known, signs = self.known, self.signs
+        letters, signed = [], []
+        for word in words:
+            if word.isalpha():
+                letters.append(word)
+            elif (stem := word.rstrip(_SIGNS)).isalpha():
+                signed.append((word, stem))
+            else:
+                known[word] = self._whole(word)
+        fresh = list({stem for _, stem in signed}.difference(known, letters))
+        if letters or fresh:
+            found = self._letters(letters + fresh)
+            known.update(zip(letters, found))
+            stems = dict(zip(fresh, found[len(letters) :]))
+        for word, stem in signed:
+            behind = word[len(stem) :]
+            if behind not in signs:
+                if len(signs) > 1000:
+                    signs.clear()
+                signs[behind] = self._whole(behind)
+            known[word] = (stems.get(stem) or known[stem]) + signs[behind]
 
     def encode(self, batch: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
@@ -124,11 +155,20 @@ class _Words:
         ]
 
 
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of less than ``PORTION`` bytes of text behind their first row's."""
+    for batch in batches:
+        lengths = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)
+        starts = [0, *(np.flatnonzero(np.diff(np.cumsum(lengths, dtype=np.int64) // PORTION)) + 1).tolist()]
+        for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+            yield batch.slice(start, end - start)
+
+
 def _tokenised(path: str, size: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words.of_worker(path)
         end = np.array([end_id], "<u4").tobytes()
-        for batch in in_slices(batches):
+        for batch in _portions(batches):
             rows, ids = [], []
             found = words.encode(batch.column(1).to_pylist())
             for doc_id, raw in zip(batch.column(0).to_pylist(), found):
