@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import wattframe.llm.ngram_join as ngram_join
@@ -163,3 +164,40 @@ def test_sets_only_of_documents_that_can_be_linked(docs, monkeypatch, small):
     rows.append((500, twin))
     assert result(linked_components(docs(rows))) == brute(rows)
     assert fetched[0] <= 20
+
+
+@pytest.mark.parametrize("size_x, size_y", [(300, 280), (5000, 4500), (4300, 4000), (0, 10)])
+def test_marks_never_hide_common_ngrams(size_x, size_y):
+    rng = np.random.default_rng(size_x)
+    pool = rng.integers(0, 1 << 62, 6000, dtype=np.uint64)
+    for common in (0, min(size_x, size_y) // 2, min(size_x, size_y)):
+        sets = [np.unique(np.concatenate([pool[:common], rng.integers(0, 1 << 62, size - common, dtype=np.uint64)])) for size in (size_x, size_y)]
+        batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([x.tobytes() for x in sets])], names=["key", "grams"])
+        (found,) = ngram_join._marks(iter([batch]))
+        _, n, marks = (column.to_pylist() for column in found.columns)
+        most = ngram_join.most_common(n[0], marks[0], n[1], marks[1])
+        assert most >= len(np.intersect1d(*sets))
+        if size_x == 300:
+            assert most <= common + 8
+
+
+@pytest.mark.parametrize("broadcast", [0, 500_000])
+def test_whole_sets_only_of_pairs_alike_and_regions_not_shuffled(docs, monkeypatch, broadcast):
+    """Pairs with half of their n-grams in common, and those of repeated rows, are told apart before whole sets move."""
+    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", broadcast)
+    passed = []
+    alike = ngram_join._alike
+
+    def counted(pairs, sets, percent):
+        left = alike(pairs, sets, percent)
+        passed.append((pairs.count(), left.count()))
+        return left
+
+    monkeypatch.setattr(ngram_join, "_alike", counted)
+    rows = []
+    for i in range(40):
+        base = prose(7000 + i, 160)
+        rows += [(10 * i + 1, " ".join(base[:110] + prose(8000 + i, 50))), (10 * i, " ".join(base))]
+    rows += [(901, rows[0][1]), (902, rows[0][1]), (903, rows[1][1] + " more")]
+    assert result(linked_components(docs(rows))) == brute(rows)
+    assert passed[0][0] > passed[0][1] == 1

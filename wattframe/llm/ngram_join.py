@@ -38,6 +38,8 @@ SMALL_GROUP = 32
 BLOCK, BLOCK_GRAMS = 2_000, 600_000
 #: Above so many, the documents to compare are found by a shuffle instead of a broadcast (16 MB).
 BROADCAST_ROWS = 500_000
+#: Sets of at most so many n-grams are first compared by 16 bits of each, larger ones by 32.
+NARROW = 4_096
 #: Size classes of a factor e in a large group: 32 differ by 3 %.
 CLASSES = 32
 _TOP = 1 << 63
@@ -160,6 +162,18 @@ def _frequent(rows: DataFrame) -> np.ndarray:
     return np.array(sorted(row["gram"] for row in counts.collect()), np.int64)
 
 
+def _one_of_each(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """``key, n, inside, region`` of the row that stands for its class. Regions are not shuffled for
+    that: it is the other rows of a class, most often few, that are looked up."""
+    repeated = keep(names.where("copies > 1").select("digest", "key"))
+    if repeated.count() <= BROADCAST_ROWS:
+        repeated = F.broadcast(repeated)
+    others = keep(rows.select("row", "digest").join(repeated, "digest").where("row != key").select("row"))
+    if others.count() <= BROADCAST_ROWS:
+        others = F.broadcast(others)
+    return rows.join(others, "row", "left_anti").select(F.col("row").alias("key"), "n", "inside", "region")
+
+
 def _postings(classes: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
     """``gram, key, n, place``: the n-grams of each class's prefix that another class has too."""
     region = classes.select("key", "region").mapInArrow(_exploded(frequent), "gram long, key long")
@@ -322,6 +336,58 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return keep(rows.mapInArrow(run, "key long, grams binary"))
 
 
+def _of_pairs(table: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows of ``table`` whose ``key`` is in one of the pairs ``x, y``."""
+    keys = keep(pairs.select(F.explode(F.array("x", "y")).alias("key")).distinct())
+    if keys.count() <= BROADCAST_ROWS:
+        keys = F.broadcast(keys)
+    return table.join(keys, "key", "left_semi")
+
+
+def _both(pairs: DataFrame, table: DataFrame) -> DataFrame:
+    """The pairs with the columns of both their rows, as ``_x`` and ``_y``."""
+    for side in "xy":
+        named = [F.col(c).alias(f"{c}_{side}") for c in table.columns if c != "key"]
+        pairs = pairs.join(table.select(F.col("key").alias(side), *named), side)
+    return pairs
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The low bits of each set's n-grams, distinct, and the set's size."""
+    for batch in in_slices(batches):
+        sets = [np.frombuffer(raw, np.uint64) for raw in batch.column(1).to_pylist()]
+        marks = [np.unique(grams.astype(np.uint16 if len(grams) <= NARROW else np.uint32)) for grams in sets]
+        columns = [pa.array([len(grams) for grams in sets], pa.int64()), pa.array([m.tobytes() for m in marks], pa.binary())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["key", "n", "marks"])
+
+
+def most_common(n_x: int, marks_x: bytes, n_y: int, marks_y: bytes) -> int:
+    """The overlap that two sets have at most by their marks.
+
+    Common n-grams have common marks, and no set has fewer marks than n-grams but by those that share one.
+    """
+    x, y = (np.frombuffer(raw, np.uint16 if n <= NARROW else np.uint32) for n, raw in ((n_x, marks_x), (n_y, marks_y)))
+    if x.dtype != y.dtype:
+        x, y = (np.unique(marks.astype(np.uint16)) for marks in (x, y))
+    return len(np.intersect1d(x, y, assume_unique=True)) + min(n_x - len(x), n_y - len(y))
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that can be linked by their marks: a quarter of the bytes of whole sets, or half."""
+    names = pairs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches):
+            rows = zip(*(column.to_pylist() for column in batch.columns[4:]))
+            fine = [most_common(*row) >= _needed(row[0] + row[2], percent) for row in rows]
+            kept = pa.RecordBatch.from_arrays(list(batch.columns[:4]), names=names)
+            yield kept.filter(pa.array(fine, pa.bool_()))
+
+    marks = _of_pairs(sets, pairs).mapInArrow(_marks, "key long, n long, marks binary")
+    both = _both(pairs, marks).select(*names, "n_x", "marks_x", "n_y", "marks_y")
+    return keep(both.mapInArrow(run, pairs.schema))
+
+
 def _compared(percent: int):
     """Of pairs with both sets, those that are linked."""
 
@@ -542,22 +608,21 @@ def linked_components(
     )
     able = rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     frequent = _frequent(able)
-    # The region is the same for all of a class: carried by one row of it only.
-    classes = able.groupBy("digest").agg(
-        F.min("row").alias("key"),
-        F.min("doc_id").alias("smallest"),
-        F.min_by("doc_id", "row").alias("doc_id"),
-        F.first("n").alias("n"),
-        F.first("inside").alias("inside"),
-        F.first("region").alias("region"),
+    names = keep(
+        able.groupBy("digest").agg(
+            F.min("row").alias("key"),
+            F.min("doc_id").alias("smallest"),
+            F.min_by("doc_id", "row").alias("doc_id"),
+            F.count("*").alias("copies"),
+        )
     )
+    classes = _one_of_each(able, names)
     posted = keep(_postings(classes, frequent, percent))
     groups = posted.groupBy("gram").agg(F.count("*").alias("members")).where("members > 1")
     posted = keep(posted.join(groups, "gram"))
     pairs = keep(_likely(keep(_small_pairs(posted, percent)), rows, percent))
     large = _without_nested(posted.where(F.col("members") > SMALL_GROUP))
     large = keep(_with_partners(keep(large), percent))
-    names = keep(classes.select("key", "smallest", "doc_id", "digest"))
     keys = (
         pairs.select(F.col("x").alias("key"))
         .unionByName(pairs.select(F.col("y").alias("key")))
@@ -590,15 +655,15 @@ def linked_components(
         .where("root_x != root_y")
         .select("x", "y", "root_x", "root_y")
     )
+    unknown = _alike(keep(unknown), sets, percent)
     checked = (
-        unknown.join(sets.select(F.col("key").alias("x"), F.col("grams").alias("grams_x")), "x")
-        .join(sets.select(F.col("key").alias("y"), F.col("grams").alias("grams_y")), "y")
+        _both(unknown, _of_pairs(sets, unknown))
         .select("root_x", "root_y", "grams_x", "grams_y")
         .mapInArrow(_compared(percent), "x long, y long")
     )
     roots = keep(components(more.unionByName(checked))).toDF("component", "last")
     rooted = (
-        names.join(known.withColumnRenamed("node", "key"), "key", "left")
+        names.drop("copies").join(known.withColumnRenamed("node", "key"), "key", "left")
         .withColumn("component", F.coalesce("root", "key"))
         .join(roots, "component", "left")
         .select("digest", "smallest", F.coalesce("last", "component").alias("root"))
