@@ -201,3 +201,42 @@ def test_whole_sets_only_of_pairs_alike_and_regions_not_shuffled(docs, monkeypat
     rows += [(901, rows[0][1]), (902, rows[0][1]), (903, rows[1][1] + " more")]
     assert result(linked_components(docs(rows))) == brute(rows)
     assert passed[0][0] > passed[0][1] == 1
+
+
+def test_sets_move_once_for_groups_of_almost_the_same_members(docs, monkeypatch):
+    """Near copies that share many n-grams, but are not all linked, do not move for each of these."""
+    monkeypatch.setattr(ngram_join, "SMALL_GROUP", 8)
+    moved = []
+    in_trees = ngram_join._in_trees
+
+    def counted(members, sets, percent, across=True):
+        if across:
+            moved.append((members.count(), members.select("key").distinct().count()))
+        return in_trees(members, sets, percent, across)
+
+    monkeypatch.setattr(ngram_join, "_in_trees", counted)
+    texts = [t for seed in range(3) for t in family(700 + seed, 14, 300, 12)]
+    rows = list(enumerate(texts))
+    assert result(linked_components(docs(rows))) == brute(rows)
+    ((sent, documents),) = moved
+    assert documents > 20 and sent <= 4 * documents
+
+
+def test_merged_groups_lose_no_pair_and_make_no_more(spark):
+    near = [(g, k) for g in range(20) for k in range(100, 140) if (g * 7 + k) % 11]
+    unlike = [(50 + g, k) for g in range(6) for k in [*range(200 + 10 * g, 210 + 10 * g), 900]]
+    rows = [(g, k, 5 + k, k // 2) for g, k in near + unlike]
+    members = spark.createDataFrame(rows, "gram long, key long, n long, component long")
+    merged = [tuple(r) for r in ngram_join._merged(members).collect()]
+
+    def pairs(members):
+        groups = {}
+        for gram, key, *_ in members:
+            groups.setdefault(gram, set()).add(key)
+        return {(x, y) for keys in groups.values() for x in keys for y in keys}
+
+    assert pairs(rows) <= pairs(merged)
+    assert {(k, n, c) for _, k, n, c in merged} == {(k, n, c) for _, k, n, c in rows}
+    assert len([r for r in merged if r[0] < 0]) <= 120  # of the 728 of the groups that are alike
+    assert sorted(r for r in merged if r[0] >= 0) == sorted(r for r in rows if r[0] >= 50)
+    assert ngram_join._merged(members.limit(0)).collect() == []

@@ -13,8 +13,10 @@ compared whole. From a large group go the members that the bound lets link with
 The sets of the rest are put into a prefix tree, most frequent n-gram first; each document is looked up in the tree of those before
 it. What many documents share is one path there, compared once for all of them, and a subtree is left
 as soon as its remaining lengths cannot make up the overlap or all of it is already connected. So a
-large group gives at most one edge per document. Groups beyond ``BLOCK`` are split into blocks that
-meet two by two.
+large group gives at most one edge per document. Each document first goes into the tree of its largest
+group; of the groups that this leaves unconnected, those with almost the same members become one, so
+that sets of near copies do not move once for each n-gram they share. Groups beyond ``BLOCK`` are split
+into blocks that meet two by two.
 """
 
 from __future__ import annotations
@@ -336,14 +338,19 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return keep(rows.mapInArrow(run, "key long, grams binary"))
 
 
-def _of_pairs(table: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The rows of ``table`` whose ``key`` is in one of the pairs ``x, y``."""
-    keys = keep(pairs.select(F.explode(F.array("x", "y")).alias("key")).distinct())
+def _of_keys(table: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``table`` whose ``key`` is among the keys."""
+    keys = keep(keys.distinct())
     if keys.count() <= BROADCAST_ROWS:
         keys = F.broadcast(keys)
     return table.join(keys, "key", "left_semi")
 
 
+def _of_pairs(table: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows of ``table`` whose ``key`` is in one of the pairs ``x, y``."""
+    return _of_keys(table, pairs.select(F.explode(F.array("x", "y")).alias("key")))
+
+
 def _both(pairs: DataFrame, table: DataFrame) -> DataFrame:
     """The pairs with the columns of both their rows, as ``_x`` and ``_y``."""
     for side in "xy":
@@ -549,6 +556,31 @@ def _tree_edges(percent: int):
     return run
 
 
+def _merged(members: DataFrame) -> DataFrame:
+    """``gram, key, n, component`` with groups that have most members in common as one group.
+
+    Near copies share most n-grams of their prefixes, and each such group would move all their sets
+    again. The groups that have the same member of most groups become one, unless that makes more pairs
+    than they have apart. Whoever shares a group before shares one after.
+    """
+    often = members.groupBy("key").agg(F.count("*").alias("often"))
+    hub = F.max(F.struct("often", "key"))["key"].alias("hub")
+    groups = keep(members.join(often, "key").groupBy("gram").agg(hub, F.count("*").alias("rows")))
+    dealt = members.join(groups.select("gram", "hub"), "gram")
+    together = keep(
+        dealt.groupBy("hub", "key").agg(*[F.first(c).alias(c) for c in ("n", "component")])
+    )
+    apart = groups.groupBy("hub").agg(F.sum(F.col("rows") * F.col("rows")).alias("apart"))
+    fewer = together.groupBy("hub").agg((F.count("*") * F.count("*")).alias("together")).join(apart, "hub")
+    fewer = fewer.where("together <= apart").select("hub")
+    named = (-1 - F.col("hub")).alias("gram")  # no n-gram is negative
+    return (
+        together.join(fewer, "hub", "left_semi")
+        .select(named, "key", "n", "component")
+        .unionByName(dealt.join(fewer, "hub", "left_anti").select("gram", "key", "n", "component"))
+    )
+
+
 def _in_trees(members: DataFrame, sets: DataFrame, percent: int, across: bool = True) -> DataFrame:
     """Connected components within groups; ``members`` has ``gram, key, n, component``.
 
@@ -567,7 +599,8 @@ def _in_trees(members: DataFrame, sets: DataFrame, percent: int, across: bool =
         "gram", "key", "component", block.alias("block"), F.explode(others).alias("other")
     )
     part = F.xxhash64("gram", F.least("block", "other"), F.greatest("block", "other"))
-    rows = dealt.select(part.alias("part"), "key", "component").join(sets, "key")
+    dealt = dealt.select(part.alias("part"), "key", "component")
+    rows = dealt.join(_of_keys(sets, dealt.select("key")), "key")
     return (
         rows.select("part", "component", "grams")
         .repartition("part")
@@ -642,8 +675,8 @@ def linked_components(
         "gram", "key", "n", F.coalesce("root", "key").alias("component")
     )
     open_ = named.groupBy("gram").agg(F.min("component").alias("a"), F.max("component").alias("b"))
-    apart = named.join(open_.where("a != b").select("gram"), "gram", "left_semi")
-    more = keep(_in_trees(apart, sets, percent))
+    apart = keep(named.join(open_.where("a != b").select("gram"), "gram", "left_semi"))
+    more = keep(_in_trees(keep(_merged(apart)), sets, percent))
 
     def root_of(side: str) -> DataFrame:
         return known.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
